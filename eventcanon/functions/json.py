@@ -90,28 +90,31 @@ def _to_type(node) -> T.DataType:
     return T.StructType([T.StructField(k, _to_type(v)) for k, v in node.items()])
 
 
-def _follow(col: Column, steps: list) -> Column:
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _follow(root: str, steps: list) -> str:
+    """SQL for the place a path leads to below a parsed column."""
+    sql = root
     for step in steps:
         if isinstance(step, int):
-            if step >= 0:
-                col = F.get(col, step)
+            sql = sql if step < 0 else f"get({sql}, {step})"
         else:
-            col = col.getField(step)
-    return col
+            sql = f"{sql}.{_quoted(step)}"
+    return sql
 
 
 def _variant_path(steps: list) -> str:
-    return "$" + "".join(f"[{s}]" if isinstance(s, int) else f"['{s}']" for s in steps)
+    return "$" + "".join(f"[{s}]" if isinstance(s, int) else f'["{s}"]' for s in steps)
 
 
-def _scalar_only(text: Column, payload: Column, steps: list) -> Column:
+def _scalar_only(text: str, payload: str, steps: list) -> str:
     # Only text that starts like an object or array needs the second, exact look. The tests are
     # nested CASEs so that the extra parse runs for those rows alone.
-    kind = F.schema_of_variant(
-        F.try_variant_get(F.try_parse_json(payload), _variant_path(steps), "variant")
-    )
-    exact = F.when(F.substring(kind, 1, 6).isin("OBJECT", "ARRAY<"), F.lit(None)).otherwise(text)
-    return F.when(F.substring(text, 1, 1).isin("{", "["), exact).otherwise(text)
+    found = f"try_variant_get(try_parse_json({payload}), '{_variant_path(steps)}', 'variant')"
+    exact = f"CASE WHEN substring(schema_of_variant({found}), 1, 6) IN ('OBJECT', 'ARRAY<') THEN NULL ELSE {text} END"
+    return f"CASE WHEN substring({text}, 1, 1) IN ('{{', '[') THEN {exact} ELSE {text} END"
 
 
 def with_json(
@@ -143,34 +146,31 @@ def with_json(
 
     parsed = {f"__json{i}": F.from_json(F.col(payload), _to_type(t)) for i, t in enumerate(trees)}
     out = df.withColumns(parsed)
-    cols = {}
+    made = []
     for name, steps, kind, where in plan:
-        col = _follow(F.col(f"__json{where}"), steps)
+        sql = _follow(f"__json{where}", steps)
         if kind == "value":
-            col = _scalar_only(col, F.col(payload), steps)
+            sql = _scalar_only(sql, _quoted(payload), steps)
         elif kind == "query":
             # A variant null is a value of its own; the reports treat it as missing.
-            col = F.when(F.is_variant_null(col), F.lit(None)).otherwise(F.to_json(col))
-        cols[name] = col
-    return out.withColumns(cols).drop(*parsed)
+            sql = f"CASE WHEN is_variant_null({sql}) THEN NULL ELSE to_json({sql}) END"
+        made.append(f"{sql} AS {_quoted(name)}")
+    names = {name for name, *_ in plan}
+    kept = [_quoted(c) for c in df.columns if c not in names]
+    return out.selectExpr(*kept, *made)
 
 
-def json_value(payload: str | Column, path: str) -> Column:
+def json_value(payload: str, path: str) -> Column:
     """Scalar at one path of a JSON text column. For many paths use `with_json`."""
-    payload = F.col(payload) if isinstance(payload, str) else payload
-    text = F.get_json_object(payload, _plain_path(path))
-    return _scalar_only(text, payload, parse_path(path))
+    steps = parse_path(path)
+    plain = "$" + "".join(f"[{s}]" if isinstance(s, int) else f"[\\'{s}\\']" for s in steps)
+    return F.expr(_scalar_only(f"get_json_object({_quoted(payload)}, '{plain}')", _quoted(payload), steps))
 
 
-def json_query(payload: str | Column, path: str) -> Column:
+def json_query(payload: str, path: str) -> Column:
     """JSON text at one path; JSON null and missing give NULL."""
-    payload = F.col(payload) if isinstance(payload, str) else payload
-    got = F.try_variant_get(F.try_parse_json(payload), _variant_path(parse_path(path)), "variant")
-    return F.when(F.is_variant_null(got), F.lit(None)).otherwise(F.to_json(got))
-
-
-def _plain_path(path: str) -> str:
-    return "$" + "".join(f"[{s}]" if isinstance(s, int) else f"['{s}']" for s in parse_path(path))
+    got = f"try_variant_get(try_parse_json({_quoted(payload)}), '{_variant_path(parse_path(path))}', 'variant')"
+    return F.expr(f"CASE WHEN is_variant_null({got}) THEN NULL ELSE to_json({got}) END")
 
 
 def to_json_full(*cols: str | Column) -> Column:

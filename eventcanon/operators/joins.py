@@ -35,7 +35,8 @@ def left_lookup(
     """``left LEFT JOIN right ON left_key = right_key``; both key columns stay.
 
     Rows whose key is NULL match nothing, yet a plain join sends them all to one task. They get a
-    second join key that spreads them over `spread` groups.
+    second join key that spreads them over `spread` groups. Whether `right` is broadcast stays
+    Spark's choice, by its size.
 
     A hot key on the left is split by AQE at run time. With `hot_share` it is also split in the
     plan itself: keys above that share are found first (at most ``1 / hot_share`` of them, which
@@ -43,8 +44,6 @@ def left_lookup(
     rows are repeated. Worth it when the join feeds an operator that needs its partitioning, where
     AQE leaves skew alone.
     """
-    if is_small(right):
-        return left.join(right, F.col(left_key) == F.col(right_key), "left")
     salt = F.pmod(F.xxhash64(*[c for c in left.columns if _hashable(left, c)]), F.lit(spread)).cast("int")
     if hot_share is None:
         salted = left.withColumn("__salt", F.when(F.col(left_key).isNull(), salt).otherwise(0))

@@ -117,37 +117,37 @@ def _with(*ctes: str) -> str:
 
 @query("proj_clients", _with(CLIENTS) + "SELECT * FROM proj_clients")
 def _(spark, sf):
-    return cv.proj_clients(d.canonical_objects(spark, sf))
+    return cv.proj_clients(d.canonical_objects(spark, sf, d.contacts))
 
 
 @query("proj_sessions", _with(SESSIONS) + "SELECT * EXCLUDE (o_orderdate) FROM proj_sessions")
 def _(spark, sf):
-    return cv.proj_sessions(d.canonical_objects(spark, sf))
+    return cv.proj_sessions(d.canonical_objects(spark, sf, d.sessions))
 
 
 @query("proj_transcripts", _with(TRANSCRIPTS) + "SELECT * FROM proj_transcripts")
 def _(spark, sf):
-    return cv.proj_transcripts(d.canonical_objects(spark, sf))
+    return cv.proj_transcripts(d.canonical_objects(spark, sf, d.transcripts))
 
 
 @query("proj_clinical_documents", _with(DOCUMENTS) + "SELECT * FROM proj_docs")
 def _(spark, sf):
-    return cv.proj_clinical_documents(d.canonical_objects(spark, sf))
+    return cv.proj_clinical_documents(d.canonical_objects(spark, sf, d.clinical_documents))
 
 
 @query("proj_form_responses", _with(CONTACTS, FORMS) + "SELECT * FROM proj_forms")
 def _(spark, sf):
-    return cv.proj_form_responses(d.canonical_objects(spark, sf))
+    return cv.proj_form_responses(d.canonical_objects(spark, sf, d.contacts, d.form_responses))
 
 
 @query("therapy_clients", _with(CLIENTS) + "SELECT * FROM therapy")
 def _(spark, sf):
-    return cv.therapy_clients(d.canonical_objects(spark, sf))
+    return cv.therapy_clients(d.canonical_objects(spark, sf, d.contacts))
 
 
 @query("billing_customers", _with(CUSTOMERS) + "SELECT * FROM custs")
 def _(spark, sf):
-    return cv.billing_customers(d.canonical_objects(spark, sf))
+    return cv.billing_customers(d.canonical_objects(spark, sf, d.customers))
 
 
 TIMELINE = {
@@ -277,22 +277,22 @@ ARTIFACT_FOLD = _fold(
 
 @query("view_pm_projects", PROJECT_FOLD)
 def _(spark, sf):
-    return ev.view_pm_projects(d.domain_events(spark, sf))
+    return ev.view_pm_projects(d.domain_events(spark, sf, d.project_log))
 
 
 @query("view_pm_deliverables", DELIVERABLE_FOLD)
 def _(spark, sf):
-    return ev.view_pm_deliverables(d.domain_events(spark, sf))
+    return ev.view_pm_deliverables(d.domain_events(spark, sf, d.deliverable_log))
 
 
 @query("view_pm_opsstreams", OPSSTREAM_FOLD)
 def _(spark, sf):
-    return ev.view_pm_opsstreams(d.domain_events(spark, sf))
+    return ev.view_pm_opsstreams(d.domain_events(spark, sf, d.opsstream_log))
 
 
 @query("view_pm_artifacts", f"SELECT * REPLACE (substr(content, 1, 500) AS content) FROM ({ARTIFACT_FOLD})")
 def _(spark, sf):
-    return ev.view_pm_artifacts(d.domain_events(spark, sf))
+    return ev.view_pm_artifacts(d.domain_events(spark, sf, d.artifact_log))
 
 
 HIERARCHY = f"WITH wi AS ({WORK_ITEM_FOLD}), dl AS ({DELIVERABLE_FOLD}), os AS ({OPSSTREAM_FOLD})\n"
@@ -301,7 +301,7 @@ HIERARCHY = f"WITH wi AS ({WORK_ITEM_FOLD}), dl AS ({DELIVERABLE_FOLD}), os AS (
 @query("view_pm_work_items", HIERARCHY + """
 SELECT wi.*, coalesce(wi.project_id, dl.project_id) AS effective_project_id FROM wi LEFT JOIN dl ON wi.deliverable_id = dl.deliverable_id""")
 def _(spark, sf):
-    return ev.view_pm_work_items(d.domain_events(spark, sf))
+    return ev.view_pm_work_items(d.domain_events(spark, sf, d.work_item_log, d.deliverable_log))
 
 
 @query("effective_opsstream", HIERARCHY + f""", pr AS ({PROJECT_FOLD}),
@@ -310,7 +310,7 @@ x AS (SELECT wi.work_item_id, wi.opsstream_id, coalesce(wi.project_id, dl.projec
 SELECT work_item_id, effective_project_id, coalesce(opsstream_id, pr.owner) AS effective_opsstream_id
 FROM x LEFT JOIN pr ON effective_project_id = pr.project_id""")
 def _(spark, sf):
-    log = d.domain_events(spark, sf)
+    log = d.domain_events(spark, sf, d.work_item_log, d.deliverable_log, d.project_log)
     out = ev.effective_opsstreams(
         ev.fold_entity(log, "work_item"), ev.view_pm_deliverables(log), ev.view_pm_projects(log), project_stream="owner"
     )
@@ -334,12 +334,12 @@ NEWEST = "QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) =
 
 @query("domain_objects", _objects_sql(NEWEST, "WHERE event_type NOT LIKE '%.deleted'"))
 def _(spark, sf):
-    return ev.domain_objects(d.domain_events(spark, sf)).drop("payload")
+    return ev.domain_objects(d.domain_events(spark, sf, d.object_log)).drop("payload")
 
 
 @query("domain_objects_not_deleted", _objects_sql(NEWEST + " AND event_type NOT LIKE '%.deleted'", ""))
 def _(spark, sf):
-    return ev.domain_objects(d.domain_events(spark, sf), drop_deleted="after").drop("payload")
+    return ev.domain_objects(d.domain_events(spark, sf, d.object_log), drop_deleted="after").drop("payload")
 
 
 # --- context tables -------------------------------------------------------------------------
@@ -360,7 +360,7 @@ SELECT email_id, thread_id,
   contact_id AS clinical_contact_id, is_clinical, source_system, 'acct1' AS connection_name, idem_key, TIMESTAMP '2024-01-31' AS projected_at
 FROM found""")
 def _(spark, sf):
-    return xv.context_emails(d.canonical_objects(spark, sf), d.CLINICAL_DOMAINS, d.PRACTICE_MAILBOXES, d.AS_OF)
+    return xv.context_emails(d.canonical_objects(spark, sf, d.contacts, d.emails), d.CLINICAL_DOMAINS, d.PRACTICE_MAILBOXES, d.AS_OF)
 
 
 @query("context_calendar", _with(CONTACTS) + f"""
@@ -372,7 +372,7 @@ SELECT 'S' || o_orderkey AS session_id, o_orderpriority AS title,
 FROM orders LEFT JOIN contacts ON contact_id = 'C' || o_custkey
 WHERE o_orderdate BETWEEN TIMESTAMP '1998-10-03' - INTERVAL 14 DAY AND TIMESTAMP '1998-10-03' + INTERVAL 14 DAY""")
 def _(spark, sf):
-    return xv.context_calendar(d.canonical_objects(spark, sf), "1998-10-03 00:00:00")
+    return xv.context_calendar(d.canonical_objects(spark, sf, d.contacts, d.sessions), "1998-10-03 00:00:00")
 
 
 @query("context_actions", """
@@ -441,7 +441,7 @@ def _(spark, sf):
 
 
 def _views(spark, sf):
-    canonical = d.canonical_objects(spark, sf)
+    canonical = d.canonical_objects(spark, sf, d.contacts, d.sessions, d.transcripts, d.clinical_documents)
     return cv.proj_clients(canonical), cv.proj_sessions(canonical), cv.proj_transcripts(canonical), cv.proj_clinical_documents(canonical)
 
 
@@ -468,7 +468,7 @@ def _(spark, sf):
 @query("client_forms", _with(CLIENTS, FORMS) + """
 SELECT c.client_folder, c.first_name, f.submitted_at, f.answers_json FROM proj_clients c JOIN proj_forms f ON c.client_id = f.client_id""")
 def _(spark, sf):
-    canonical = d.canonical_objects(spark, sf)
+    canonical = d.canonical_objects(spark, sf, d.contacts, d.form_responses)
     return rp.client_forms(cv.proj_clients(canonical), cv.proj_form_responses(canonical))
 
 
