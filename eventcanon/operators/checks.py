@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventcanon.operators.validate import as_array, as_object
+from eventcanon.operators.validate import sql_text
 
 # Columns and payload members that differ between equal runs.
 TIMESTAMP_COLUMNS = ("canonicalized_at", "created_at", "first_seen", "last_seen")
@@ -62,28 +62,45 @@ def coverage(df: DataFrame, by: Sequence[str], columns: Mapping[str, Column]) ->
     return df.groupBy(*by).agg(F.count("*").alias("total"), *[F.count(c).alias(n) for n, c in columns.items()])
 
 
-def flat_json(v: Column, drop: Sequence[str] = (), depth: int = JSON_DEPTH) -> Column:
-    """A variant as ``array<string>`` of ``path=value`` leaves, without members named in `drop`.
+def flat_json(v: str, drop: Sequence[str] = (), depth: int = JSON_DEPTH) -> str:
+    """SQL for a variant as ``array<string>`` of ``path=value`` leaves, without members named in `drop`.
 
     250.0 and 250 read the same. Two documents are equal when their sorted leaves are.
     """
-    members = F.filter(F.map_entries(as_object(v)), lambda e: ~e["key"].isin(*drop)) if drop else F.map_entries(as_object(v))
-    items = F.transform(as_array(v), lambda e, i: F.struct(F.concat(F.lit("#"), i.cast("string")).alias("key"), e.alias("value")))
-    children = F.coalesce(members, items)
-    number = F.try_variant_get(v, "$", "double")
-    whole = (F.schema_of_variant(v).rlike("^(DOUBLE|DECIMAL)")) & (number == F.floor(number)) & (F.abs(number) < 1e15)
-    leaf = F.when(whole, number.try_cast("long").cast("string")).otherwise(F.to_json(v))
-    mine = F.array(F.concat(F.lit("="), leaf))
+    e, i, p = f"e{depth}", f"i{depth}", f"p{depth}"
+    members = f"map_entries(try_variant_get({v}, '$', 'map<string,variant>'))"
+    if drop:
+        members = f"filter({members}, {e} -> {e}.key NOT IN ({', '.join(sql_text(d) for d in drop)}))"
+    items = f"transform(try_variant_get({v}, '$', 'array<variant>'), ({e}, {i}) -> struct(concat('#', {i}) AS key, {e} AS value))"
+    children = f"coalesce({members}, {items})"
+    leaf = f"array(concat('=', to_json({v})))"
     if depth == 0:
-        too_deep = F.raise_error(F.lit(f"JSON nests deeper than {JSON_DEPTH} levels"))
-        return F.when(children.isNotNull(), too_deep.cast("array<string>")).otherwise(mine)
+        error = sql_text(f"JSON nests deeper than {JSON_DEPTH} levels")
+        return f"CASE WHEN {children} IS NULL THEN {leaf} ELSE cast(raise_error({error}) AS array<string>) END"
+    below = f"transform({flat_json(f'{e}.value', drop, depth - 1)}, {p} -> concat('/', {e}.key, {p}))"
+    nested = f"flatten(transform({children}, {e} -> {below}))"
+    # An empty container is a leaf of its own.
+    empty = f"array(CASE WHEN {members} IS NULL THEN '=[]' ELSE '={{}}' END)"
+    return f"CASE WHEN {children} IS NULL THEN {leaf} WHEN size({children}) = 0 THEN {empty} ELSE {nested} END"
 
-    def below(e: Column) -> Column:
-        return F.transform(flat_json(e["value"], drop, depth - 1), lambda p: F.concat(F.lit("/"), e["key"], p))
 
-    nested = F.flatten(F.transform(children, below))
-    empty = F.array(F.when(as_object(v).isNotNull(), F.lit("={}")).otherwise(F.lit("=[]")))
-    return F.when(children.isNull(), mine).when(F.size(children) == 0, empty).otherwise(nested)
+def canonical_json(text: Column) -> Column:
+    """JSON text with sorted keys and plain numbers; other text stays as it is."""
+    v = F.try_parse_json(text)
+    return F.when(v.isNull(), text).otherwise(F.to_json(v))
+
+
+def without_members(text: Column, names: Sequence[str]) -> Column:
+    """Canonical JSON text without scalar members of the given names, at any depth.
+
+    Quotes inside JSON strings are escaped, so the pattern can only match real members.
+    """
+    if not names:
+        return text
+    member = '"(?:' + "|".join(names) + r'")":(?:"(?:[^"\\]|\\.)*"|[-+.\w]+)'
+    text = F.regexp_replace(text, member + ",", "")
+    text = F.regexp_replace(text, "," + member, "")
+    return F.regexp_replace(text, member, "")
 
 
 def normalized(
@@ -94,7 +111,7 @@ def normalized(
     ignore: Sequence[str] = IGNORED_COLUMNS,
     volatile: Sequence[str] = VOLATILE_PAYLOAD_KEYS,
 ) -> DataFrame:
-    """All columns as comparable text: run times and ids blanked, JSON independent of key order."""
+    """All columns as comparable text: run times and ids blanked, JSON in canonical form."""
     out = []
     for c in df.columns:
         if c in keys:
@@ -104,16 +121,34 @@ def normalized(
         elif c in ignore:
             out.append(F.lit("(ignored)").alias(c))
         elif c in json_columns:
-            v = F.try_parse_json(F.col(c).cast("string"))
-            leaves = F.array_join(F.array_sort(flat_json(v, volatile)), "\n")
-            out.append(F.when(v.isNull(), F.col(c).cast("string")).otherwise(leaves).alias(c))
+            out.append(without_members(canonical_json(F.col(c).cast("string")), volatile).alias(c))
         else:
             out.append(F.col(c).cast("string").alias(c))
     return df.select(*out)
 
 
+def json_leaves(text: str, drop: Sequence[str]) -> Column:
+    """Sorted leaves of JSON text (given as SQL), one per line; other text stays as it is."""
+    v = f"try_parse_json({text})"
+    leaves = f"array_join(array_sort({flat_json('d', drop)}), '\\n')"
+    # The parsed document is bound to a lambda variable, so it is parsed once.
+    return F.expr(f"CASE WHEN {v} IS NULL THEN {text} ELSE element_at(transform(array({v}), d -> {leaves}), 1) END")
+
+
+def _changed(column: str, left: Column, right: Column) -> Column:
+    return F.struct(
+        F.lit("changed").alias("kind"), F.lit(column).alias("column"), left.alias("left_value"), right.alias("right_value")
+    )
+
+
 def table_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], normalize: bool = False, **options) -> DataFrame:
-    """One row per one-sided key and per differing column: keys, kind, column, left and right value."""
+    """One row per one-sided key and per differing column: keys, kind, column, left and right value.
+
+    With `normalize` the columns are compared as `normalized` gives them. JSON whose canonical text
+    differs is compared once more leaf by leaf, and shown that way.
+    """
+    json_columns = set(options.get("json_columns", ("payload",))) if normalize else set()
+    volatile = options.get("volatile", VOLATILE_PAYLOAD_KEYS)
     if normalize:
         left, right = normalized(left, keys, **options), normalized(right, keys, **options)
     columns = [c for c in left.columns if c not in keys]
@@ -127,17 +162,17 @@ def table_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], normalize
     a, b = side(left, "left"), side(right, "right")
     on = [F.col(f"left_{k}").eqNullSafe(F.col(f"right_{k}")) for k in keys]
     in_a, in_b = F.col("left").isNotNull(), F.col("right").isNotNull()
-    changed = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    ~F.col("left")[c].eqNullSafe(F.col("right")[c]),
-                    F.struct(F.lit("changed").alias("kind"), F.lit(c).alias("column"), F.col("left")[c].alias("left_value"), F.col("right")[c].alias("right_value")),
-                )
-                for c in columns
-            ]
-        )
-    )
+
+    def entry(c: str) -> Column:
+        x, y = F.col("left")[c], F.col("right")[c]
+        if c in json_columns:
+            lx, ly = json_leaves(f"left.`{c}`", volatile), json_leaves(f"right.`{c}`", volatile)
+            found = F.when(~lx.eqNullSafe(ly), _changed(c, lx, ly))
+        else:
+            found = _changed(c, x, y)
+        return F.when(~x.eqNullSafe(y), found)
+
+    changed = F.array_compact(F.array(*[entry(c) for c in columns]))
     null = F.lit(None).cast("string")
 
     def one(kind: str) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventcanon.functions.json import json_value, to_json_full
+from eventcanon.functions.json import to_json_full, with_json
 from eventcanon.functions.keys import EXTERNAL_ID_FIELDS, idem_key, suffixed
 from eventcanon.functions.time import Instant, as_of_lit
 
@@ -21,12 +21,19 @@ def _truthy(text: Column) -> Column:
     return F.when(~text.isin("", "0", "0.0", "false"), text)
 
 
-def external_id(df: DataFrame, payload: str | None = None, fields: Sequence[str] = EXTERNAL_ID_FIELDS) -> Column:
-    """The first usable id field, as text: from columns, or from JSON text in `payload`."""
+def with_external_id(
+    df: DataFrame, payload: str | None = None, fields: Sequence[str] = EXTERNAL_ID_FIELDS, name: str = "external_id"
+) -> DataFrame:
+    """Add the first usable id, as text: from columns, or from the JSON text in `payload` (parsed once)."""
     if payload:
-        found = [_truthy(json_value(payload, f"$.{f}")) for f in fields]
-    else:
-        found = [_truthy(F.col(f).cast("string")) for f in fields if f in df.columns]
+        probe = {f"__id{i}": f"$.{f}" for i, f in enumerate(fields)}
+        found = with_json(df, payload, values=probe)
+        return found.withColumn(name, F.coalesce(*[_truthy(F.col(c)) for c in probe])).drop(*probe)
+    return df.withColumn(name, _first_id({f: F.col(f) for f in fields if f in df.columns}))
+
+
+def _first_id(columns: Mapping[str, Column]) -> Column:
+    found = [_truthy(c.cast("string")) for c in columns.values()]
     return F.coalesce(*found) if found else F.lit(None).cast("string")
 
 
@@ -92,8 +99,7 @@ def shape_rows(
         out = out.select("__item", "__item.*")
     item = {c: F.col("__item").getField(c) for c in item_columns}
     if auto_external_id:
-        found = [_truthy(item[f].cast("string")) for f in EXTERNAL_ID_FIELDS if f in item]
-        out = out.withColumn("external_id", F.coalesce(*found) if found else F.lit(None).cast("string"))
+        out = out.withColumn("external_id", _first_id({f: item[f] for f in EXTERNAL_ID_FIELDS if f in item}))
     out = with_defaults(out, field_defaults)
     if timestamp_columns:
         out = out.withColumns({c: as_of_lit(as_of) for c in timestamp_columns})
@@ -132,9 +138,12 @@ def raw_rows(
 
     Rows without an id get a NULL key; split them off with `bad_rows` before merging.
     """
-    found = _truthy(json_value(payload, id_path)) if id_path else external_id(landed, payload)
+    if id_path:
+        rows = with_json(landed, payload, values={"__id": id_path}).withColumn("external_id", _truthy(F.col("__id")))
+    else:
+        rows = with_external_id(landed, payload)
     now = as_of_lit(as_of)
-    return landed.withColumn("external_id", found).select(
+    return rows.select(
         idem_key(source_system, connection_name, object_type, F.col("external_id")).alias("idem_key"),
         F.lit(source_system).alias("source_system"),
         F.lit(connection_name).alias("connection_name"),

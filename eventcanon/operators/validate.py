@@ -56,126 +56,166 @@ def known_paths(schema: dict) -> list[str]:
     return sorted(out)
 
 
-def as_object(v: Column) -> Column:
-    """A variant's members as ``map<string,variant>``; NULL when it is no object."""
-    return F.try_variant_get(v, "$", "map<string,variant>")
+# The builders below write SQL expression text: a schema gives hundreds of small expressions, and
+# parsing one text is much faster than making each of them through the Python API.
 
+_MAP = "map<string,variant>"
+_NO_TEXT = "cast(array() as array<string>)"
+_NO_ERRORS = "cast(array() as array<struct<kind:string,text:string>>)"
 
-def as_array(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "array<variant>")
 
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def object_paths(v: Column, depth: int = PAYLOAD_DEPTH) -> Column:
-    """Dotted paths of all members of nested objects; arrays are not entered."""
-    members = F.map_entries(as_object(v))
-    if depth == 0:
-        too_deep = F.raise_error(F.lit(f"payload nests deeper than {PAYLOAD_DEPTH} objects"))
-        return F.when(F.size(members) > 0, too_deep.cast("array<string>")).otherwise(F.array().cast("array<string>"))
 
-    def below(e: Column) -> Column:
-        inner = F.transform(object_paths(e["value"], depth - 1), lambda p: F.concat(e["key"], F.lit("."), p))
-        return F.concat(F.array(e["key"]), inner)
+def _get(v: str, path: str, kind: str) -> str:
+    return f"try_variant_get({v}, {sql_text(path)}, '{kind}')"
 
-    return F.coalesce(F.flatten(F.transform(members, below)), F.array().cast("array<string>"))
 
+def _step(path: str, name: str) -> str:
+    return f'{path}["{name}"]'
 
-def unknown_fields(payload: str, schema: dict) -> Column:
-    """Sorted paths of the payload that the schema lacks; NULL when there are none."""
-    known = F.array(*[F.lit(p) for p in known_paths(schema)]).cast("array<string>")
-    extra = F.array_sort(F.array_except(object_paths(F.try_parse_json(F.col(payload))), known))
-    return F.when(F.size(extra) > 0, extra)
 
+def _is_object(v: str, path: str) -> str:
+    # Casting to a one-field struct looks at the value's header only; no member is built.
+    return f"{_get(v, path, 'struct<x:variant>')} IS NOT NULL"
 
-def _is_type(v: Column, name: str) -> Column:
-    kind = F.schema_of_variant(v)
-    if name == "object":
-        return as_object(v).isNotNull()
-    if name == "array":
-        return as_array(v).isNotNull()
-    if name == "string":
-        return kind == "STRING"
-    if name == "boolean":
-        return kind == "BOOLEAN"
-    if name == "null":
-        return F.is_variant_null(v)
-    if name == "number":
-        return kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-    if name == "integer":
-        number = F.try_variant_get(v, "$", "double")
-        whole = kind.rlike(r"^DECIMAL\(\d+,0\)$") | (kind.isin("DOUBLE", "FLOAT") & (number == F.floor(number)))
-        return (kind == "BIGINT") | whole
-    raise ValueError(f"unknown JSON schema type {name!r}")
 
+def object_paths(v: str, depth: int = PAYLOAD_DEPTH) -> str:
+    """Dotted paths of all members of nested objects below a variant; arrays are not entered."""
+    members = f"map_entries({_get(v, '$', _MAP)})"
+    if depth == 0:
+        message = sql_text(f"payload nests deeper than {PAYLOAD_DEPTH} objects")
+        return f"CASE WHEN size({members}) > 0 THEN cast(raise_error({message}) as array<string>) ELSE {_NO_TEXT} END"
+    e, p = f"e{depth}", f"p{depth}"
+    inner = f"transform({object_paths(f'{e}.value', depth - 1)}, {p} -> concat({e}.key, '.', {p}))"
+    return f"coalesce(flatten(transform({members}, {e} -> concat(array({e}.key), {inner}))), {_NO_TEXT})"
 
-def _shown(v: Column) -> Column:
-    text = F.to_json(v)
-    return F.when(text.startswith('"'), F.concat(F.lit("'"), F.substring(text, F.lit(2), F.length(text) - 2), F.lit("'"))).otherwise(text)
 
+def _tree(paths: list[str]) -> dict:
+    tree: dict = {}
+    for path in paths:
+        node = tree
+        for name in path.split("."):
+            node = node.setdefault(name, {})
+    return tree
 
-_NO_ERRORS = "array<struct<kind:string,text:string>>"
 
+def _texts(names) -> str:
+    return f"cast(array({', '.join(sql_text(n) for n in names)}) as array<string>)"
 
-def _none() -> Column:
-    return F.array().cast(_NO_ERRORS)
 
+def _drifting(v: str, tree: dict, path: str) -> list[str]:
+    """Tests, one per object of the schema: does it hold members the schema lacks?"""
+    keys = f"map_keys({_get(v, path, _MAP)})"
+    test = f"CASE WHEN {_is_object(v, path)} THEN size(array_except({keys}, {_texts(tree)})) > 0 ELSE false END"
+    out = [test]
+    for name, child in tree.items():
+        out += _drifting(v, child, _step(path, name))
+    return out
 
-def _error(kind: str, text: Column) -> Column:
-    return F.array(F.struct(F.lit(kind).alias("kind"), text.alias("text")))
 
+def unknown_fields(variant: str, schema: dict) -> Column:
+    """Sorted paths of a parsed payload that the schema lacks; NULL when there are none.
 
-def _checks(v: Column, node: dict, root: dict, depth: int) -> list[Column]:
-    """Error arrays for one schema node applied to one variant."""
-    node = _resolve(node, root) or {}
-    out: list[Column] = []
+    A row without drift pays for the key list of each object the schema knows; the whole payload is
+    walked only where some object has an unknown member.
+    """
+    paths = known_paths(schema)
+    drift = " OR ".join(_drifting(variant, _tree(paths), "$"))
+    extra = f"array_sort(array_except({object_paths(variant)}, {_texts(paths)}))"
+    return F.expr(f"CASE WHEN {drift} THEN nullif({extra}, {_NO_TEXT}) END")
+
+
+def _is_type(v: str, path: str, name: str) -> str:
+    """Whether the value at a path has a JSON schema type."""
+    kind = f"schema_of_variant({_get(v, path, 'variant')})"
+    number = _get(v, path, "double")
+    tests = {
+        "object": _is_object(v, path),
+        "array": f"{_get(v, path, 'array<variant>')} IS NOT NULL",
+        "string": f"{kind} = 'STRING'",
+        "boolean": f"{kind} = 'BOOLEAN'",
+        "null": f"is_variant_null({_get(v, path, 'variant')})",
+        "number": f"substring({kind}, 1, 6) IN ('BIGINT', 'DECIMA', 'DOUBLE', 'FLOAT')",
+        "integer": f"(CASE WHEN {kind} = 'BIGINT' THEN true WHEN {kind} IN ('DOUBLE', 'FLOAT') THEN {number} = floor({number})"
+        f" ELSE {kind} LIKE 'DECIMAL(%,0)' END)",
+    }
+    if name not in tests:
+        raise ValueError(f"unknown JSON schema type {name!r}")
+    return tests[name]
+
+
+def _shown(v: str, path: str) -> str:
+    text = f"to_json({_get(v, path, 'variant')})"
+    return f"CASE WHEN substring({text}, 1, 1) = '\"' THEN concat('\\'', substring({text}, 2, length({text}) - 2), '\\'') ELSE {text} END"
+
+
+def _error(kind: str, text: str) -> str:
+    return f"named_struct('kind', '{kind}', 'text', {text})"
+
+
+def _tests(v: str, path: str, node: dict) -> list[tuple[str, str, str]]:
+    """(violated, kind, message) for the value at a path, apart from its members and items."""
+    out = []
     types = node.get("type")
     types = [types] if isinstance(types, str) else list(types or [])
     if types:
-        ok = _is_type(v, types[0])
-        for t in types[1:]:
-            ok = ok | _is_type(v, t)
+        ok = " OR ".join(_is_type(v, path, t) for t in types)
         names = ", ".join(f"'{t}'" for t in types)
-        out.append(F.when(ok, _none()).otherwise(_error("type", F.concat(_shown(v), F.lit(f" is not of type {names}")))))
+        out.append((f"NOT ({ok})", "type", f" is not of type {names}"))
     if "enum" in node:
-        allowed = [F.to_json(F.parse_json(F.lit(json.dumps(e)))) for e in node["enum"]]
-        ok = F.array_contains(F.array(*allowed), F.to_json(v))
-        out.append(F.when(ok, _none()).otherwise(_error("other", F.concat(_shown(v), F.lit(f" is not one of {node['enum']}")))))
-    number = F.try_variant_get(v, "$", "double")
-    text = F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
-    numeric = F.schema_of_variant(v).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-    bounds = {
-        "minimum": (numeric & (number < F.lit(node.get("minimum"))), "is less than the minimum of"),
-        "maximum": (numeric & (number > F.lit(node.get("maximum"))), "is greater than the maximum of"),
-        "minLength": (F.length(text) < F.lit(node.get("minLength")), "is shorter than"),
-        "maxLength": (F.length(text) > F.lit(node.get("maxLength")), "is longer than"),
+        allowed = ", ".join(f"to_json(parse_json({sql_text(json.dumps(e))}))" for e in node["enum"])
+        out.append((f"to_json({_get(v, path, 'variant')}) NOT IN ({allowed})", "other", f" is not one of {node['enum']}"))
+    number = f"CASE WHEN {_is_type(v, path, 'number')} THEN {_get(v, path, 'double')} END"
+    text = f"CASE WHEN {_is_type(v, path, 'string')} THEN {_get(v, path, 'string')} END"
+    limits = {
+        "minimum": (number, "<", "is less than the minimum of"),
+        "maximum": (number, ">", "is greater than the maximum of"),
+        "minLength": (f"length({text})", "<", "is shorter than"),
+        "maxLength": (f"length({text})", ">", "is longer than"),
     }
-    for word, (bad, message) in bounds.items():
+    for word, (value, op, message) in limits.items():
         if word in node:
-            out.append(F.when(bad, _error("other", F.concat(_shown(v), F.lit(f" {message} {node[word]}")))).otherwise(_none()))
+            out.append((f"({value}) {op} {float(node[word])}D", "other", f" {message} {node[word]}"))
     if "pattern" in node:
-        bad = ~text.rlike(node["pattern"])
-        out.append(F.when(bad, _error("other", F.concat(_shown(v), F.lit(f" does not match '{node['pattern']}'")))).otherwise(_none()))
+        out.append((f"NOT (({text}) RLIKE {sql_text(node['pattern'])})", "other", f" does not match '{node['pattern']}'"))
+    return [(bad, kind, f"concat({_shown(v, path)}, {sql_text(message)})") for bad, kind, message in out]
+
+
+def _checks(v: str, path: str, node: dict, root: dict, depth: int = 0) -> list[str]:
+    """Arrays of the errors of the value at a path, in schema order."""
+    node = _resolve(node, root) or {}
+    present = f"{_get(v, path, 'variant')} IS NOT NULL" if path != "$" else "true"
+    # CASE inside CASE: tests only run for present values, messages only for violations.
+    single = [f"CASE WHEN {present} THEN CASE WHEN {bad} THEN {_error(kind, text)} END END" for bad, kind, text in _tests(v, path, node)]
+    deeper: list[str] = []
     if depth < KNOWN_PATH_DEPTH:
-        members = as_object(v)
         for name in node.get("required", []):
-            absent = members.isNotNull() & ~F.map_contains_key(members, name)
-            out.append(F.when(absent, _error("missing", F.lit(f"'{name}' is a required property"))).otherwise(_none()))
+            absent = f"{_get(v, _step(path, name), 'variant')} IS NULL"
+            error = _error("missing", sql_text(f"'{name}' is a required property"))
+            single.append(f"CASE WHEN {absent} THEN CASE WHEN {_is_object(v, path)} THEN {error} END END")
         for name, child in node.get("properties", {}).items():
-            value = F.try_element_at(members, F.lit(name))
-            for check in _checks(value, child, root, depth + 1):
-                out.append(F.when(value.isNull(), _none()).otherwise(check))
-        if isinstance(node.get("items"), dict):
-            item = lambda e: F.coalesce(F.flatten(F.array(*_checks(e, node["items"], root, depth + 1))), _none())
-            if _checks(F.lit(None), node["items"], root, depth + 1):
-                out.append(F.coalesce(F.flatten(F.transform(as_array(v), item)), _none()))
-    return out
+            deeper += _checks(v, _step(path, name), child, root, depth + 1)
+        items = node.get("items")
+        if isinstance(items, dict):
+            e = f"i{depth}"
+            each = _checks(e, "$", items, root, depth + 1)
+            if each:
+                found = f"flatten(transform({_get(v, path, 'array<variant>')}, {e} -> {_joined(each)}))"
+                deeper.append(f"coalesce({found}, {_NO_ERRORS})")
+    return ([f"array_compact(array({', '.join(single)}))"] if single else []) + deeper
+
+
+def _joined(arrays: list[str]) -> str:
+    return f"concat({', '.join(arrays)})" if arrays else _NO_ERRORS
 
 
-def validation_errors(payload: str, schema: dict) -> Column:
-    """All errors of a payload as ``array<struct<kind,text>>``, in schema order."""
-    v = F.try_parse_json(F.col(payload))
-    checks = _checks(v, schema, schema, 0)
-    unreadable = _error("other", F.lit("payload is not JSON"))
-    return F.when(v.isNull(), unreadable).otherwise(F.flatten(F.array(*checks)) if checks else _none())
+def validation_errors(variant: str, schema: dict) -> Column:
+    """All errors of a parsed payload as ``array<struct<kind,text>>``, in schema order."""
+    unreadable = f"array({_error('other', sql_text('payload is not JSON'))})"
+    return F.expr(f"CASE WHEN {variant} IS NULL THEN {unreadable} ELSE {_joined(_checks(variant, '$', schema, schema))} END")
 
 
 def error_text(errors: Column) -> Column:
@@ -197,13 +237,14 @@ def validate(
     schema_source: str | None = None, stamp: str | None = None,
 ) -> DataFrame:
     """Add validation_status (pass/fail), validation_error and unknown_fields, and the stamp columns."""
-    out = df.withColumns({"__errors": validation_errors(payload, schema), "unknown_fields": unknown_fields(payload, schema)})
+    parsed = df.withColumn("__v", F.try_parse_json(F.col(payload)))
+    out = parsed.withColumns({"__errors": validation_errors("__v", schema), "unknown_fields": unknown_fields("__v", schema)})
     out = out.withColumns(
         {
             "validation_status": F.when(F.size("__errors") == 0, "pass").otherwise("fail"),
             "validation_error": error_text(F.col("__errors")),
         }
-    ).drop("__errors")
+    ).drop("__errors", "__v")
     extra = {"schema_iglu": schema_iglu, "schema_source": schema_source, "validation_stamp": stamp}
     return out.withColumns({n: F.lit(v) for n, v in extra.items() if v is not None})
 
