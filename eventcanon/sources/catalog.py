@@ -1,6 +1,6 @@
 """Named tables on a shared folder, kept as immutable snapshots.
 
-A table is a folder of Parquet directories ``v=N/part=value/...`` and a small JSON manifest per
+A table is a folder of Parquet directories ``snapshot_version=N-id/part=value/...`` and a small JSON manifest per
 version that lists the directories which make up that version. A new version may list directories
 of earlier ones, so a merge rewrites only the partitions it touches; files are never changed in
 place, and readers keep the version they started with. All file access goes through Spark's own
@@ -10,6 +10,7 @@ file-system layer, so any storage Spark can reach will do.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -118,7 +119,7 @@ class SnapshotTable:
         if not manifest["dirs"]:
             return self.spark.createDataFrame([], schema)
         paths = [f"{self.path}/{d}" for d in manifest["dirs"]]
-        with_version = T.StructType([*schema.fields, T.StructField("v", T.IntegerType())])
+        with_version = T.StructType([*schema.fields, T.StructField("snapshot_version", T.StringType())])
         raw = self.spark.read.schema(with_version).option("basePath", self.path).parquet(*paths)
         return raw.select(*schema.names)
 
@@ -136,12 +137,13 @@ class SnapshotTable:
         return df
 
     def _write_dirs(self, df: DataFrame, version: int, columns: list[str]) -> list[str]:
-        target = f"{self.path}/v={version}"
+        # A folder of its own per attempt: a writer that loses the race never touches the winner's files.
+        folder = f"snapshot_version={version}-{uuid.uuid4().hex[:12]}"
         writer = self._layout(df.select(*columns)).write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(target)
-        return self._leaf_dirs(f"v={version}", len(self.partition_by))
+        writer.parquet(f"{self.path}/{folder}")
+        return self._leaf_dirs(folder, len(self.partition_by))
 
     def _leaf_dirs(self, folder: str, depth: int) -> list[str]:
         if depth == 0:
@@ -202,7 +204,7 @@ class SnapshotTable:
     def _read_dirs(self, dirs: list[str], schema: T.StructType) -> DataFrame:
         if not dirs:
             return self.spark.createDataFrame([], schema)
-        with_version = T.StructType([*schema.fields, T.StructField("v", T.IntegerType())])
+        with_version = T.StructType([*schema.fields, T.StructField("snapshot_version", T.StringType())])
         paths = [f"{self.path}/{d}" for d in dirs]
         raw = self.spark.read.schema(with_version).option("basePath", self.path).parquet(*paths)
         return raw.select(*schema.names)
