@@ -80,7 +80,7 @@ def canonical_object(columns: dict[str, Column]) -> Column:
 
 def ascii_json(text: Column) -> Column:
     """JSON text with every non-ASCII character written as ``\\uXXXX``."""
-    utf16 = lambda c: F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(.{4})", r"\\\\u$1")
+    utf16 = lambda c: F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(.{4})", r"\\u$1")
     escaped = F.array_join(
         F.transform(F.split(text, ""), lambda c: F.when(c.rlike(r"[^\x00-\x7F]"), utf16(c)).otherwise(c)), ""
     )
