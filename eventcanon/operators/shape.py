@@ -133,9 +133,12 @@ def raw_rows(
     schema_ref: str | None = None,
     correlation_id: str | None = None,
     as_of: Instant | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Landed JSON text to rows of the raw table. Without `id_path` the usual id fields are probed.
 
+    Columns of `landed` named in `keep` are carried along.
+
     Rows without an id get a NULL key; split them off with `bad_rows` before merging.
     """
     if id_path:
@@ -154,6 +157,7 @@ def raw_rows(
         now.alias("first_seen"),
         now.alias("last_seen"),
         F.lit(correlation_id).cast("string").alias("correlation_id"),
+        *keep,
     )
 
 

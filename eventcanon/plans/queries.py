@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventcanon.session import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -20,7 +22,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf: str) -> DataFrame:
-            return plain(fn(spark, sf))
+            return plain(fn(tune(spark), sf))
 
         QUERIES[name] = run
         if sql is not None:
@@ -44,4 +46,4 @@ def plain(df: DataFrame) -> DataFrame:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from eventcanon.plans import queries_core, queries_reports, queries_views  # noqa: F401
+    from eventcanon.plans import queries_core, queries_reports, queries_tables, queries_views  # noqa: F401

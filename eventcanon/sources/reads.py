@@ -156,3 +156,8 @@ def landed_objects(spark: SparkSession, path: str, text: str = "payload") -> Dat
 def landed_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The same files read with a known schema; unreadable lines go to ``_corrupt``."""
     return spark.read.schema(f"{schema}, _corrupt string").json(path, columnNameOfCorruptRecord="_corrupt")
+
+
+def read_view(spark: SparkSession, name: str) -> DataFrame:
+    """All rows of a registered view, for export."""
+    return spark.table(name)

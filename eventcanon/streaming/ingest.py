@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from eventcanon.functions.json import with_json
 from eventcanon.functions.time import Instant
+from eventcanon.operators.latest import latest_per_key
 from eventcanon.operators.merge import merge_into
-from eventcanon.operators.shape import good_rows, raw_rows
+from eventcanon.operators.shape import bad_rows, good_rows, raw_rows
 from eventcanon.session import checkpoint_root
 from eventcanon.sources.catalog import SnapshotTable
 
@@ -32,11 +34,12 @@ def start_ingest(
     checkpoint: str | None = None,
     max_files: int | None = None,
     as_of: Instant | None = None,
+    order_path: str | None = None,
 ) -> StreamingQuery:
     """Land every file below `path` that has not been landed, then stop.
 
-    Among several states of one object in a batch the line from the newest file wins, then the
-    larger text. Rows without an id go to `rejects` if given. A batch that is run again after a
+    Among several states of one object in a batch the one with the largest text at `order_path`
+    wins (say, its time of change), then the line from the newest file, then the larger text. Rows without an id go to `rejects` if given. A batch that is run again after a
     failure is harmless: the merge is idempotent.
     """
     name = f"ingest/{source_system}/{connection_name}/{object_type}"
@@ -51,13 +54,17 @@ def start_ingest(
         run = f"{name}#{batch_id}"
         rows = raw_rows(
             batch.where(F.trim("payload") != ""), source_system, connection_name, object_type, id_path,
-            correlation_id=run, as_of=as_of,
+            correlation_id=run, as_of=as_of, keep=["__file_time"],
         )
+        if order_path:
+            rows = with_json(rows, values={"__order": order_path})
+        order = [*(["__order"] if order_path else []), "__file_time", "payload"]
         if rejects:
-            bad = rows.where(F.col("idem_key").isNull())
+            bad = bad_rows(rows).drop("__order", "__file_time")
             # Named by batch, so a repeated batch replaces its own rejects.
             bad.write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/batch={batch_id}")
-        merge_batch(table, good_rows(rows), ["idem_key"], ["last_seen", "payload"])
+        newest = latest_per_key(good_rows(rows), ["idem_key"], order).drop("__order", "__file_time")
+        merge_batch(table, newest, ["idem_key"], ["last_seen"])
 
     where = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/{name}"
     return (
