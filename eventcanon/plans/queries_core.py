@@ -573,6 +573,53 @@ def _(spark, sf):
     return with_json(out.select("payload"), values={n: f"$.{n}" for n in names}).drop("payload")
 
 
+@query("canonical_customer", "SELECT 'cus' || c_custkey AS customer_id, c_name AS name, c_custkey || '@example.com' AS email FROM customer")
+def _(spark, sf):
+    c = d.load(spark, sf, "customer")
+    payload = to_json_full(d.text("cus", F.col("c_custkey")).alias("id"), F.col("c_name").alias("name"), d.text(F.col("c_custkey"), "@example.com").alias("email"))
+    out = cn.billing("customer")(_raw(c, "stripe", "customer", d.text("st:", F.col("c_custkey")), payload))
+    return with_json(out.select("payload"), values={n: f"$.{n}" for n in ("customer_id", "name", "email")}).drop("payload")
+
+
+@query("canonical_invoice", f"""
+SELECT 'in' || o_orderkey AS invoice_id, {PRICE} AS amount_due, o_orderstatus AS status, strftime(o_orderdate, {ISO}) AS event_time, NULL::VARCHAR AS description FROM orders""")
+def _(spark, sf):
+    o = d.load(spark, sf, "orders")
+    payload = to_json_full(
+        d.text("in", F.col("o_orderkey")).alias("id"), d.money("o_totalprice").alias("amount_due"), F.col("o_orderstatus").alias("status"), d.iso("o_orderdate").alias("created"),
+    )
+    out = cn.billing("invoice")(_raw(o, "stripe", "invoice", d.text("st:", F.col("o_orderkey")), payload))
+    return with_json(out.select("payload"), values={n: f"$.{n}" for n in ("invoice_id", "amount_due", "status", "event_time", "description")}).drop("payload")
+
+
+@query("canonical_refund", """
+SELECT 're' || l_orderkey AS refund_id, 'pi' || l_partkey AS payment_intent_id, CAST(l_extendedprice AS DECIMAL(15,2))::VARCHAR AS amount, l_returnflag AS reason FROM lineitem""")
+def _(spark, sf):
+    x = d.load(spark, sf, "lineitem")
+    payload = to_json_full(
+        d.text("re", F.col("l_orderkey")).alias("id"), d.text("pi", F.col("l_partkey")).alias("payment_intent"), d.money("l_extendedprice").alias("amount"), F.col("l_returnflag").alias("reason"),
+    )
+    out = cn.billing("refund")(_raw(x, "stripe", "refund", d.text("st:", F.col("l_orderkey")), payload))
+    return with_json(out.select("payload"), values={n: f"$.{n}" for n in ("refund_id", "payment_intent_id", "amount", "reason")}).drop("payload")
+
+
+@query("canonical_report", """
+SELECT doc_id || '-progress-report' AS id, 'progress-report' AS doc_type, text AS content, 'markdown' AS format FROM documents""")
+def _(spark, sf):
+    docs = d.load(spark, sf, "documents")
+    payload = to_json_full(F.col("doc_id").alias("cre92_clientsessionid"), F.col("text").alias(cn.DOCUMENT_FIELDS["progress-report"]))
+    out = cn.clinical_document("progress-report")(_raw(docs, "dataverse", "report", d.text("dv:", F.col("doc_id")), payload))
+    return with_json(out.select("payload"), values={"id": "$.id", "doc_type": "$.docType", "content": "$.content.text", "format": "$.content.format"}).drop("payload")
+
+
+@query("parsed_json_columns", "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k, CASE WHEN event_type = 'error' THEN 'not json' END AS raw FROM events")
+def _(spark, sf):
+    e = d.load(spark, sf, "events").select("event_id", "props", "event_type")
+    mixed = e.select("event_id", "props", F.when(F.col("event_type") == "error", "not json").otherwise(F.col("props")).alias("x"))
+    out = reads.with_parsed_json(mixed, ["props", "x"])
+    return out.select("event_id", F.variant_get("props", "$.k", "long").alias("k"), F.col("x_raw").alias("raw"))
+
+
 # --- scoring --------------------------------------------------------------------------------
 
 # Which question belongs to which instrument, and what an answer is worth: settings, not data.
@@ -637,6 +684,15 @@ def _(spark, sf):
     return fm.observations(scored, d.AS_OF).drop("processed_at", "created_at")
 
 
+@query("rescored_observations", SCORES + OBSERVED)
+def _(spark, sf):
+    """Observations of a binding dropped and scored again; the second scoring changes nothing."""
+    me = _measured(spark, sf)
+    first = fm.observations(fm.scored_items(fm.scoring_items(me), *_key_tables(spark)), d.AS_OF)
+    kept = fm.without_binding(first, me, "intake_01")
+    return merge.merge_into(kept, first, ["idem_key"], order=["processed_at"]).drop("processed_at", "created_at")
+
+
 @query("unformed_responses", """
 SELECT 'google_forms:form_response:' || o_orderkey AS idem_key FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'""")
 def _(spark, sf):

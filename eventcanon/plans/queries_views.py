@@ -512,3 +512,18 @@ FROM proj_docs d JOIN proj_clients c ON d.client_id = c.client_id WHERE d.conten
 def _(spark, sf):
     c, _, _, docs = _views(spark, sf)
     return rp.file_reports(c, docs)
+
+
+@query("file_session_files", _with(SESSIONS, TRANSCRIPTS, DOCUMENTS) + """
+SELECT s.client_id, s.session_id, s.started_at, d.content AS session_summary_md, t.content AS transcript_md
+FROM proj_sessions s LEFT JOIN proj_transcripts t ON s.session_id = t.session_id
+LEFT JOIN proj_docs d ON s.session_id = d.session_id AND d.doc_type = 'client-summary'""")
+def _(spark, sf):
+    _, s, t, docs = _views(spark, sf)
+    return rp.file_session_files(s, t, docs)
+
+
+@query("proj_form_responses_hot_split", _with(CONTACTS, FORMS) + "SELECT * FROM proj_forms")
+def _(spark, sf):
+    """The same view with hot addresses split in the plan."""
+    return cv.proj_form_responses(d.canonical_objects(spark, sf, d.contacts, d.form_responses), hot_share=0.0005)

@@ -239,6 +239,14 @@ def file_reports(clients: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
+def file_session_files(sessions: DataFrame, transcripts: DataFrame, documents: DataFrame) -> DataFrame:
+    """One row per session for a file with its summary and transcript."""
+    t = transcripts.select("session_id", F.col("content").alias("transcript_md"))
+    d = documents.where(F.col("doc_type") == SUMMARY).select("session_id", F.col("content").alias("session_summary_md"))
+    out = sessions.select("session_id", "client_id", "started_at").join(t, "session_id", "left").join(d, "session_id", "left")
+    return out.select("client_id", "session_id", "started_at", "session_summary_md", "transcript_md")
+
+
 # --- reports on runs and measurements -------------------------------------------------------
 
 
