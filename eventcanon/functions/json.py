@@ -144,8 +144,11 @@ def with_json(
         _insert(tree, steps, leaf)
         plan.append((name, steps, kind, where))
 
-    parsed = {f"__json{i}": F.from_json(F.col(payload), _to_type(t)) for i, t in enumerate(trees)}
-    out = df.withColumns(parsed)
+    # The parsed object comes out of a generator: a later filter on a parsed field then stays above
+    # it. Pushed below a projection, the filter would carry a copy of the parse for every use.
+    out = df
+    for i, tree in enumerate(trees):
+        out = out.select("*", F.explode(F.array(F.from_json(F.col(payload), _to_type(tree)))).alias(f"__json{i}"))
     made = []
     for name, steps, kind, where in plan:
         sql = _follow(f"__json{where}", steps)
