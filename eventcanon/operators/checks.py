@@ -98,9 +98,7 @@ def without_members(text: Column, names: Sequence[str]) -> Column:
     if not names:
         return text
     member = '"(?:' + "|".join(names) + r'")":(?:"(?:[^"\\]|\\.)*"|[-+.\w]+)'
-    text = F.regexp_replace(text, member + ",", "")
-    text = F.regexp_replace(text, "," + member, "")
-    return F.regexp_replace(text, member, "")
+    return F.regexp_replace(text, f"{member},|,{member}|{member}", "")
 
 
 def normalized(

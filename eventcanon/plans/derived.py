@@ -63,7 +63,8 @@ def _canonical(df: DataFrame, kind: str, key: Column, payload: Column, source: C
     )
 
 
-OLD = F.lit("2020-01-01 00:00:00").cast("timestamp")
+def old() -> Column:
+    return F.lit("2020-01-01 00:00:00").cast("timestamp")
 
 
 def contacts(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,7 +86,7 @@ def contacts(spark: SparkSession, sf: str) -> DataFrame:
         cid.alias("id"), obj(email=email, emailSecondary=text("s", pair("c_custkey"), "@example.org")).alias("telecom"),
         obj(given=first, family=last).alias("name"),
     )
-    return _canonical(c, "contact", text("dataverse:clinic:contact:", cid), payload, "dataverse", "clinic", "contact", OLD)
+    return _canonical(c, "contact", text("dataverse:clinic:contact:", cid), payload, "dataverse", "clinic", "contact", old())
 
 
 def customers(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,7 +94,7 @@ def customers(spark: SparkSession, sf: str) -> DataFrame:
     c = load(spark, sf, "customer").withColumn("conn", F.explode(F.array(F.lit("old"), F.lit("new"))))
     email = when("conn = 'new'", text("C", pair("c_custkey"), "@EXAMPLE.com"), "gone@example.com")
     payload = to_json_full(text("U", F.col("c_custkey")).alias("customer_id"), email.alias("email"))
-    created = when("conn = 'new'", F.lit("2024-01-01 00:00:00").cast("timestamp"), OLD)
+    created = when("conn = 'new'", F.lit("2024-01-01 00:00:00").cast("timestamp"), old())
     return _canonical(c, "customer", text("stripe:", F.col("conn"), ":customer:", F.col("c_custkey")), payload, "stripe",
                       F.col("conn"), "customer", created)
 
@@ -124,7 +125,7 @@ def transcripts(spark: SparkSession, sf: str) -> DataFrame:
         obj(status="completed").alias("processing"), obj(createdAt="2024-01-05", updatedAt=F.col("url")).alias("meta"),
     )
     return _canonical(p, "session_transcript", text("dataverse:clinic:session:", F.col("page_id"), "#transcript"), payload,
-                      "dataverse", "clinic", "session", OLD)
+                      "dataverse", "clinic", "session", old())
 
 
 def clinical_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,7 +139,7 @@ def clinical_documents(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("2024-01-06").alias("date"), obj(createdAt="2024-01-06", updatedAt="2024-01-07").alias("meta"),
     )
     return _canonical(d, "clinical_document", text("dataverse:clinic:document:", F.col("doc_id")), payload, "dataverse", "clinic",
-                      "document", OLD)
+                      "document", old())
 
 
 def price_band() -> Column:

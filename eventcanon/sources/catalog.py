@@ -126,14 +126,18 @@ class SnapshotTable:
     # --- writing ----------------------------------------------------------------------------
 
     def _layout(self, df: DataFrame) -> DataFrame:
-        """Sort inside files by the cluster columns, so row groups can be skipped on read.
+        """Arrange rows so that a write makes few, well-sized files.
 
-        The range exchange uses partition and cluster columns together, so one big partition is
-        cut into several files instead of landing in one task.
+        With cluster columns: a range exchange over partition and cluster columns, sorted inside
+        files, so row groups can be skipped on read and one big partition is cut into several files.
+        Without: a rebalance on the partition columns, which AQE splits where a partition is large
+        and joins where partitions are small; otherwise every task would write to every partition.
         """
         if self.sort_by:
             keys = [*self.partition_by, *self.sort_by]
             return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        if self.partition_by:
+            return df.hint("rebalance", *self.partition_by)
         return df
 
     def _write_dirs(self, df: DataFrame, version: int, columns: list[str]) -> list[str]:

@@ -83,3 +83,24 @@ def test_two_writers_from_one_base(spark, catalog):
     with pytest.raises(ConcurrentWrite):
         t.replace(data(spark, ("a", 1, "z")), expect=0)
     assert rows(t.read()) == [("a", 1, "y")]
+
+
+def test_one_big_partition_is_written_by_several_tasks(spark, catalog):
+    """A partition with most of the rows does not land in one task."""
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        t = catalog.table("raw", "objects", partition_by=["part"])
+        big = spark.range(0, 40000, 1, 8).select(
+            F.when(F.col("id") % 10 == 0, F.concat(F.lit("p"), F.col("id") % 30)).otherwise("big").alias("part"), F.sha2(F.col("id").cast("string"), 512).alias("v")
+        )
+        t.replace(big)
+        files = t.read().select("part", F.input_file_name().alias("f")).distinct().groupBy("part").count()
+        got = {r["part"]: r["count"] for r in files.collect()}
+        assert got["big"] > 4, got
+        assert t.read().count() == 40000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
