@@ -142,6 +142,9 @@ def _changed(column: str, left: Column, right: Column) -> Column:
 def table_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], normalize: bool = False, **options) -> DataFrame:
     """One row per one-sided key and per differing column: keys, kind, column, left and right value.
 
+    Keys are to be unique on both sides (see `assert_unique`); rows that share a key are compared
+    with each other.
+
     With `normalize` the columns are compared as `normalized` gives them. JSON whose canonical text
     differs is compared once more leaf by leaf, and shown that way.
     """

@@ -133,8 +133,11 @@ def delete_where(target: DataFrame, filters: Filters) -> DataFrame:
 def stamp(
     target: DataFrame, stamps: DataFrame, keys: Sequence[str], columns: Sequence[str], constants: dict | None = None
 ) -> DataFrame:
-    """Set `columns` (and `constants`) on target rows that have a stamp row; insert nothing."""
-    stamps = _sided(stamps.select(*keys, *columns), "__s").alias("s")
+    """Set `columns` (and `constants`) on target rows that have a stamp row; insert nothing.
+
+    Two stamps for one key fail the job: which one should win is not for this operator to guess.
+    """
+    stamps = _sided(one_per_key(stamps.select(*keys, *columns), keys, None), "__s").alias("s")
     hit = F.col("s.__s").isNotNull()
     constants = constants or {}
     types = {f.name: f.dataType for f in target.schema.fields}
