@@ -58,7 +58,7 @@ def _(spark, sf):
     return rp.stale_raw_objects(d.raw_objects(spark, sf), "1998-10-03 00:00:00")
 
 
-@query("pipeline_status", "WITH" + LOG + """
+@query("stage_status", "WITH" + LOG + """
 SELECT source_system, connection_name, obj AS object_type,
   max(CASE WHEN event_type = 'ingestion.completed' THEN created_at END) AS last_ingestion,
   max(CASE WHEN event_type = 'validation.completed' THEN created_at END) AS last_validation,
