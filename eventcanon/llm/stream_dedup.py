@@ -25,6 +25,7 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "160",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # no space is set aside for each of the stores
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
@@ -77,25 +78,26 @@ def resolve(docs: DataFrame, states: DataFrame, digest: Callable[[Column], Colum
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256. `docs` is read from files."""
     rows = digests(docs, digest).withColumn("text_sha256", sha256(F.col("text")))
     held = states.select(F.col("digest").alias("digest"), "content", "group_size")
-    known = rows.join(held, "digest", "left")
-    here = (F.col("file") == F.col("content.file")) & (F.col("row") == F.col("content.row"))
-    content = known.where((F.col("group_size") > 1) & here).select("digest", F.col("text").alias("content_text"))
-    seen = known.select("*", here.alias("here")).join(content, "digest", "left")
-    checked = cut(seen.select(
-        "doc_id", "digest", "file", "row", "text_sha256", "group_size", F.col("content.doc_id").alias("keep_id"), "here",
-        (F.col("here") | F.col("text").eqNullSafe(F.col("content_text"))).alias("same"),
-    ))
-    good = checked.where("same")
-    other = checked.where("not same")
+    # Texts are dealt once; from then on only those of hits are carried.
+    known = cut(rows.join(held, "digest", "left").select(
+        "doc_id", "digest", "file", "row", "text_sha256", "group_size", F.col("content.doc_id").alias("keep_id"), here.alias("here"),
+        F.when(F.col("group_size") > 1, F.col("text")).alias("text")))
+    hits = known.where("group_size > 1")
+    content = hits.where("here").select("digest", F.col("text").alias("content_text"))
+    same = F.col("here") | F.col("text").eqNullSafe(F.col("content_text"))
+    checked = cut(hits.join(content, "digest").withColumn("same", same).drop("text", "content_text"))
+    alone = known.where("group_size = 1").drop("text")
+    good = checked.where("same").drop("same")
+    other = checked.where("not same").drop("same")
     if other.isEmpty():
-        return _result(good)
+        return _result(alone).union(_result(good))
     strays = other.groupBy("digest").agg(F.count(F.lit(1)).alias("strays"))
     good = good.join(strays, "digest", "left").withColumn("group_size", F.col("group_size") - F.coalesce("strays", F.lit(0)))
     texts = other.join(rows.select("digest", "file", "row", "text"), ["digest", "file", "row"])
     groups = texts.groupBy("digest", "text").agg(F.max(F.struct("doc_id", "file", "row")).alias("content"), F.count(F.lit(1)).alias("group_size"))
-    alone = texts.drop("keep_id", "group_size", "here").join(groups, ["digest", "text"])
-    alone = alone.withColumn("keep_id", F.col("content.doc_id")).withColumn("here", here)
-    return _result(good).unionByName(_result(alone))
+    apart = texts.drop("keep_id", "group_size", "here").join(groups, ["digest", "text"])
+    apart = apart.withColumn("keep_id", F.col("content.doc_id")).withColumn("here", here)
+    return _result(alone).union(_result(good)).union(_result(apart))
 
 
 def _result(df: DataFrame) -> DataFrame:
