@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping, Sequence
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -142,8 +145,8 @@ def _changed(column: str, left: Column, right: Column) -> Column:
 def table_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], normalize: bool = False, **options) -> DataFrame:
     """One row per one-sided key and per differing column: keys, kind, column, left and right value.
 
-    Keys are to be unique on both sides (see `assert_unique`); rows that share a key are compared
-    with each other.
+    Only keys that are unique on both sides are compared. A key that repeats on either side is one row of kind ``repeated`` with
+    the numbers of rows on each side, so that the result stays as small as the tables.
 
     With `normalize` the columns are compared as `normalized` gives them. JSON whose canonical text
     differs is compared once more leaf by leaf, and shown that way.
@@ -161,6 +164,17 @@ def table_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], normalize
         return df.select(*[F.col(k).alias(f"{name}_{k}") for k in keys], F.struct(*values).alias(name) if values else F.struct(F.lit(1)).alias(name))
 
     a, b = side(left, "left"), side(right, "right")
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*[F.col(k).alias(f"r_{k}") for k in keys]).agg(F.count(F.lit(1)).alias(name))
+
+    mine, theirs = counted(left, "n_left").withColumn("n_right", F.lit(0)), counted(right, "n_right").withColumn("n_left", F.lit(0))
+    sums = mine.unionByName(theirs).groupBy(*[f"r_{k}" for k in keys]).agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
+    repeated = sums.where("n_left > 1 or n_right > 1")
+    a, b = (
+        df.join(repeated.drop("n_left", "n_right"), reduce(operator.and_, [F.col(f"{name}_{k}").eqNullSafe(F.col(f"r_{k}")) for k in keys]), "left_anti")
+        for df, name in ((a, "left"), (b, "right"))
+    )
     on = [F.col(f"left_{k}").eqNullSafe(F.col(f"right_{k}")) for k in keys]
     in_a, in_b = F.col("left").isNotNull(), F.col("right").isNotNull()
 
@@ -181,4 +195,7 @@ def table_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], normalize
 
     found = F.when(~in_b, one("left_only")).when(~in_a, one("right_only")).otherwise(changed)
     key_columns = [F.coalesce(f"left_{k}", f"right_{k}").alias(k) for k in keys]
-    return a.join(b, on, "full_outer").select(*key_columns, F.explode(found).alias("d")).select(*keys, "d.*")
+    differing = a.join(b, on, "full_outer").select(*key_columns, F.explode(found).alias("d")).select(*keys, "d.*")
+    return differing.unionByName(repeated.select(
+        *[F.col(f"r_{k}").alias(k) for k in keys], F.lit("repeated").alias("kind"), null.alias("column"),
+        F.col("n_left").cast("string").alias("left_value"), F.col("n_right").cast("string").alias("right_value")))

@@ -17,8 +17,16 @@ from eventcanon.sources.reads import Filters, predicate
 ACTION = "_merge_action"
 
 
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`df`, whose keys are not NULL: a row without a key could never be found again, so it fails the job."""
+    missing = reduce(operator.or_, [F.col(k).isNull() for k in keys])
+    failed = F.raise_error(F.lit(f"a row has no {', '.join(keys)}")).cast("boolean")
+    return df.where(F.when(missing, failed).otherwise(True))
+
+
 def one_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None) -> DataFrame:
-    """At most one source row per key: the newest by `order`, or a failure without an order."""
+    """At most one source row per key: the newest by `order`, or a failure without an order. NULL keys fail."""
+    source = with_keys(source, keys)
     if order:
         return latest_per_key(source, keys, order)
     # Two rows of a key are enough to know; the limit runs before the shuffle.
@@ -154,7 +162,13 @@ def stamp(
     return joined.select(*[pick(c).alias(c) for c in target.columns])
 
 
-def new_rows_only(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Rows of `batch` to append so that no `key` is appended twice, now or on a repeat."""
-    fresh = batch.join(existing.select(key).distinct(), [key], "left_anti")
-    return fresh.dropDuplicates([key])
+def new_rows_only(existing: DataFrame, batch: DataFrame, key: str, order: Sequence[str | Column] | None = None) -> DataFrame:
+    """Rows of `batch` to append so that no `key` is appended twice, now or on a repeat.
+
+    Of several rows with one key the newest by `order` is taken; without an order, the one with the largest columns, in their
+    order. A NULL key fails the job.
+    """
+    fresh = with_keys(batch, [key]).join(existing.select(key).distinct(), [key], "left_anti")
+    if order is None:
+        order = [F.col(f.name) if f.dataType.simpleString().split("<")[0] not in ("map", "variant") else F.col(f.name).cast("string") for f in batch.schema.fields if f.name != key]
+    return latest_per_key(fresh, [key], order) if order else fresh.dropDuplicates([key])

@@ -16,14 +16,37 @@ KNOWN_PATH_DEPTH = 5
 ERRORS_PER_GROUP = 3
 ERROR_TEXT_LENGTH = 1000
 
+# How often a schema that contains itself is written out.
+UNROLLED = 4
+
 # How deep payload objects may nest. A deeper payload fails the job instead of being cut.
 PAYLOAD_DEPTH = 16
 
 
-def _resolve(node: dict, root: dict) -> dict | None:
-    if "$ref" not in node:
-        return node
-    return root.get("definitions", root.get("$defs", {})).get(node["$ref"].rsplit("/", 1)[-1])
+# Keywords that are compiled, and those that check nothing. Any other keyword raises when the schema is read.
+CHECKED = frozenset((
+    "type enum const minimum maximum exclusiveMinimum exclusiveMaximum multipleOf minLength maxLength pattern minItems maxItems uniqueItems "
+    "minProperties maxProperties required properties additionalProperties items allOf anyOf oneOf not $ref"
+).split())
+ANNOTATIONS = frozenset("$schema $id id $comment title description default examples definitions $defs format readOnly writeOnly deprecated".split())
+
+
+def _resolve(node: dict, root: dict) -> dict:
+    """The schema a node stands for: references are JSON pointers into the document."""
+    seen = set()
+    while isinstance(node, dict) and "$ref" in node:
+        ref = node["$ref"]
+        if ref in seen or not ref.startswith("#"):
+            raise ValueError(f"reference {ref!r} leads nowhere in the schema")
+        seen.add(ref)
+        node = root
+        for part in ref[1:].split("/")[1:]:
+            part = part.replace("~1", "/").replace("~0", "~")
+            try:
+                node = node[int(part)] if isinstance(node, list) else node[part]
+            except (KeyError, IndexError, ValueError, TypeError):
+                raise ValueError(f"reference {ref!r} leads nowhere in the schema") from None
+    return node
 
 
 def _children(node: dict, root: dict) -> list[dict]:
@@ -39,7 +62,7 @@ def _children(node: dict, root: dict) -> list[dict]:
     else:
         return []
     found = [_resolve(o, root) for o in options]
-    return [f for f in found if f and "properties" in f]
+    return [f for f in found if isinstance(f, dict) and "properties" in f]
 
 
 def known_paths(schema: dict) -> list[str]:
@@ -179,35 +202,104 @@ def _tests(v: str, path: str, node: dict) -> list[tuple[str, str, str]]:
     for word, (value, op, message) in limits.items():
         if word in node:
             out.append((f"({value}) {op} {float(node[word])}D", "other", f" {message} {node[word]}"))
+    items = f"size({_get(v, path, 'array<variant>')})"
+    members = f"CASE WHEN {_is_object(v, path)} THEN size(map_keys({_get(v, path, _MAP)})) END"
+    more = {
+        "exclusiveMinimum": (number, "<=", "is less than or equal to the minimum of"),
+        "exclusiveMaximum": (number, ">=", "is greater than or equal to the maximum of"),
+        "minItems": (items, "<", "has fewer items than"),
+        "maxItems": (items, ">", "has more items than"),
+        "minProperties": (members, "<", "has fewer properties than"),
+        "maxProperties": (members, ">", "has more properties than"),
+    }
+    for word, (value, op, message) in more.items():
+        if word in node:
+            if isinstance(node[word], bool):
+                raise ValueError(f"{word} is to be a number")
+            out.append((f"({value}) {op} {float(node[word])}D", "other", f" {message} {node[word]}"))
+    if "multipleOf" in node:
+        by = f"cast({number} as decimal(38,12)) % cast({float(node['multipleOf'])}D as decimal(38,12))"
+        out.append((f"({by}) <> 0", "other", f" is not a multiple of {node['multipleOf']}"))
+    if "const" in node:
+        wanted = f"to_json(parse_json({sql_text(json.dumps(node['const']))}))"
+        out.append((f"to_json({_get(v, path, 'variant')}) <> {wanted}", "other", f" is not {json.dumps(node['const'])}"))
+    if node.get("uniqueItems"):
+        texts = f"transform({_get(v, path, 'array<variant>')}, u -> coalesce(to_json(u), 'null'))"
+        out.append((f"size(array_distinct({texts})) < size({texts})", "other", " has repeated items"))
     if "pattern" in node:
         out.append((f"NOT (({text}) RLIKE {sql_text(node['pattern'])})", "other", f" does not match '{node['pattern']}'"))
     return [(bad, kind, f"concat({_shown(v, path)}, {sql_text(message)})") for bad, kind, message in out]
 
 
-def _checks(v: str, path: str, node: dict, root: dict, depth: int = 0) -> list[str]:
-    """Arrays of the errors of the value at a path, in schema order."""
-    node = _resolve(node, root) or {}
+def _checks(v: str, path: str, node: dict | bool, root: dict, depth: int = 0, refs: tuple[str, ...] = ()) -> list[str]:
+    """Arrays of the errors of the value at a path, in schema order. All levels of the schema are compiled. A schema that
+    contains itself is compiled UNROLLED times; what nests deeper is an error of its own, never a pass."""
     present = f"{_get(v, path, 'variant')} IS NOT NULL" if path != "$" else "true"
+    if isinstance(node, bool):
+        never = _error("other", f"concat({_shown(v, path)}, ' is not allowed')")
+        return [] if node else [f"array_compact(array(CASE WHEN {present} THEN {never} END))"]
+    if "$ref" in node:
+        if refs.count(node["$ref"]) >= UNROLLED:
+            beyond = _error("other", sql_text(f"nests {node['$ref']} more than {UNROLLED} times, which is not checked"))
+            return [f"array_compact(array(CASE WHEN {present} THEN {beyond} END))"]
+        return _checks(v, path, _resolve({"$ref": node["$ref"]}, root), root, depth, (*refs, node["$ref"]))
+    unknown = set(node) - CHECKED - ANNOTATIONS
+    if unknown:
+        raise ValueError(f"JSON schema keywords that are not checked: {', '.join(sorted(unknown))}")
     # CASE inside CASE: tests only run for present values, messages only for violations.
     single = [f"CASE WHEN {present} THEN CASE WHEN {bad} THEN {_error(kind, text)} END END" for bad, kind, text in _tests(v, path, node)]
     deeper: list[str] = []
-    if depth < KNOWN_PATH_DEPTH:
-        for name in node.get("required", []):
-            absent = f"{_get(v, _step(path, name), 'variant')} IS NULL"
-            error = _error("missing", sql_text(f"'{name}' is a required property"))
-            single.append(f"CASE WHEN {absent} THEN CASE WHEN {_is_object(v, path)} THEN {error} END END")
-        for name, child in node.get("properties", {}).items():
-            deeper += _checks(v, _step(path, name), child, root, depth + 1)
-        items = node.get("items")
-        if isinstance(items, dict):
-            e = f"i{depth}"
-            each = _checks(e, "$", items, root, depth + 1)
-            if each:
-                found = f"flatten(transform({_get(v, path, 'array<variant>')}, {e} -> {_joined(each)}))"
-                deeper.append(f"coalesce({found}, {_NO_ERRORS})")
+
+    def valid(option: dict | bool) -> str:
+        return f"size({_joined(_checks(v, path, option, root, depth + 1, refs))}) = 0"
+
+    def whole(bad: str, message: str) -> None:
+        text = f"concat({_shown(v, path)}, {sql_text(message)})"
+        single.append(f"CASE WHEN {present} THEN CASE WHEN {bad} THEN {_error('other', text)} END END")
+
+    for option in node.get("allOf", []):
+        deeper += _checks(v, path, option, root, depth + 1, refs)
+    if "anyOf" in node:
+        whole(f"NOT ({' OR '.join(valid(o) for o in node['anyOf'])})", " is not valid under any of the given schemas")
+    if "oneOf" in node:
+        held = " + ".join(f"cast({valid(o)} as int)" for o in node["oneOf"])
+        whole(f"({held}) = 0", " is not valid under any of the given schemas")
+        whole(f"({held}) > 1", " is valid under more than one of the given schemas")
+    if "not" in node:
+        whole(valid(node["not"]), " is valid under a schema that is not allowed")
+    for name in node.get("required", []):
+        absent = f"{_get(v, _step(path, name), 'variant')} IS NULL"
+        error = _error("missing", sql_text(f"'{name}' is a required property"))
+        single.append(f"CASE WHEN {absent} THEN CASE WHEN {_is_object(v, path)} THEN {error} END END")
+    for name, child in node.get("properties", {}).items():
+        deeper += _checks(v, _step(path, name), child, root, depth + 1, refs)
+    rest = node.get("additionalProperties", True)
+    if rest is not True:
+        e = f"a{depth}"
+        others = f"filter(map_entries({_get(v, path, _MAP)}), {e} -> NOT array_contains({_texts(node.get('properties', {}))}, {e}.key))"
+        if rest is False:
+            each = [f"array({_error('other', _concat(sql_text('additional property '), f'{e}.key', sql_text(' is not allowed')))})"]
+        else:
+            each = _checks(f"{e}.value", "$", rest, root, depth + 1, refs)
+        if each:
+            found = f"flatten(transform({others}, {e} -> {_joined(each)}))"
+            deeper.append(f"CASE WHEN {_is_object(v, path)} THEN coalesce({found}, {_NO_ERRORS}) ELSE {_NO_ERRORS} END")
+    items = node.get("items", True)
+    if isinstance(items, list):
+        raise ValueError("a list of item schemas is not checked")
+    if items is not True:
+        e = f"i{depth}"
+        each = _checks(e, "$", items, root, depth + 1, refs)
+        if each:
+            found = f"flatten(transform({_get(v, path, 'array<variant>')}, {e} -> {_joined(each)}))"
+            deeper.append(f"coalesce({found}, {_NO_ERRORS})")
     return ([f"array_compact(array({', '.join(single)}))"] if single else []) + deeper
 
 
+def _concat(*parts: str) -> str:
+    return f"concat({', '.join(parts)})"
+
+
 def _joined(arrays: list[str]) -> str:
     return f"concat({', '.join(arrays)})" if arrays else _NO_ERRORS
 

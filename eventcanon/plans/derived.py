@@ -313,7 +313,7 @@ def project_log(spark: SparkSession, sf: str) -> DataFrame:
     payload = to_json_full(
         only("signup", text("n", F.col("event_id"))).alias("name"), only("view", F.col("props")).alias("description"),
         only("click", text("u", F.floor("value"))).alias("owner"), only("purchase", money("value")).alias("status"),
-        F.lit(None).cast("string").alias("target_end_date"),
+        F.lit(None).cast("string").alias("target_end_date"), only("view", text("OS", F.col("user_id") % 5)).alias("opsstream_id"),
     )
     return _log(e, "project", text("PR", F.col("user_id")), F.lpad(F.col("event_id").cast("string"), 12, "0"), F.col("event_type"), F.col("ts"), payload)
 

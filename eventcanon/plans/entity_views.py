@@ -22,13 +22,15 @@ FIELDS = {
         "project_id", "opsstream_id", "contact_ref",
     ),
 }
+# What the hierarchy reads of a project, beside what its view shows.
+PROJECT_STATE = (*FIELDS["project"], "opsstream_id")
 JSON_FIELDS = {"assignees", "labels", "tags"}
 ARTIFACT_CONTENT_LENGTH = 500
 
 
-def entity_events(log: DataFrame, kind: str) -> DataFrame:
+def entity_events(log: DataFrame, kind: str, fields: tuple[str, ...] | None = None) -> DataFrame:
     """Events of one kind of entity with their payload fields as columns."""
-    fields = FIELDS[kind]
+    fields = fields or FIELDS[kind]
     rows = log.where(F.col("aggregate_type") == kind).select("aggregate_id", "event_id", "occurred_at", "payload")
     rows = with_json(
         rows,
@@ -38,8 +40,14 @@ def entity_events(log: DataFrame, kind: str) -> DataFrame:
     return rows.drop("payload")
 
 
-def fold_entity(log: DataFrame, kind: str) -> DataFrame:
-    return fold_latest(entity_events(log, kind), "aggregate_id", FIELDS[kind], key_name=f"{kind}_id")
+def fold_entity(log: DataFrame, kind: str, fields: tuple[str, ...] | None = None) -> DataFrame:
+    fields = fields or FIELDS[kind]
+    return fold_latest(entity_events(log, kind, fields), "aggregate_id", fields, key_name=f"{kind}_id")
+
+
+def project_states(log: DataFrame) -> DataFrame:
+    """Projects with their stream, as `effective_opsstreams` needs them."""
+    return fold_entity(log, "project", PROJECT_STATE)
 
 
 def view_pm_projects(log: DataFrame) -> DataFrame:

@@ -115,14 +115,14 @@ def _(spark, sf):
 
 @query("failed_today", "WITH" + LOG + f"""
 SELECT created_at, event_type, source_system, status, error_message, {PAYLOAD} AS payload FROM log
-WHERE created_at::DATE = DATE '2024-01-20' AND status = 'failed' ORDER BY created_at DESC, event_id DESC LIMIT 20""")
+WHERE created_at::DATE = DATE '2024-01-20' AND status = 'failed'""")
 def _(spark, sf):
     return rp.failed_today(d.event_log(spark, sf), "2024-01-20 12:00:00")
 
 
 @query("completed_today", "WITH" + LOG + f"""
 SELECT created_at, event_type, source_system, status, {PAYLOAD} AS payload FROM log
-WHERE created_at::DATE = DATE '2024-01-20' AND status = 'ok' AND event_type = 'ingestion.completed' ORDER BY created_at DESC, event_id DESC LIMIT 20""")
+WHERE created_at::DATE = DATE '2024-01-20' AND status = 'ok' AND event_type = 'ingestion.completed'""")
 def _(spark, sf):
     return rp.completed_today(d.event_log(spark, sf), "2024-01-20 12:00:00")
 

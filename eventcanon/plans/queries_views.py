@@ -223,15 +223,15 @@ def _fold(kind: str, key: str, fields: dict[str, str], event_id: str, at: str, t
 NONE = "NULL::VARCHAR"
 PRICE = "CAST(o_totalprice AS DECIMAL(15,2))::VARCHAR"
 
-PROJECT_FOLD = _fold(
-    "project", "'PR' || user_id",
-    {
-        "name": "CASE WHEN event_type = 'signup' THEN 'n' || event_id END", "description": "CASE WHEN event_type = 'view' THEN props END",
-        "owner": "CASE WHEN event_type = 'click' THEN 'u' || floor(value)::BIGINT END",
-        "status": "CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(15,2))::VARCHAR END", "target_end_date": NONE,
-    },
-    "lpad(event_id::VARCHAR, 12, '0')", "ts", "events",
-)
+PROJECT_FIELDS = {
+    "name": "CASE WHEN event_type = 'signup' THEN 'n' || event_id END", "description": "CASE WHEN event_type = 'view' THEN props END",
+    "owner": "CASE WHEN event_type = 'click' THEN 'u' || floor(value)::BIGINT END",
+    "status": "CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(15,2))::VARCHAR END", "target_end_date": NONE,
+}
+PROJECT_STREAM = {"opsstream_id": "CASE WHEN event_type = 'view' THEN 'OS' || user_id % 5 END"}
+PROJECT_FOLD, PROJECT_STATE_FOLD = [
+    _fold("project", "'PR' || user_id", fields, "lpad(event_id::VARCHAR, 12, '0')", "ts", "events") for fields in (PROJECT_FIELDS, PROJECT_FIELDS | PROJECT_STREAM)
+]
 DELIVERABLE_FOLD = _fold(
     "deliverable", "'DL' || o_custkey",
     {
@@ -304,15 +304,15 @@ def _(spark, sf):
     return ev.view_pm_work_items(d.domain_events(spark, sf, d.work_item_log, d.deliverable_log))
 
 
-@query("effective_opsstream", HIERARCHY + f""", pr AS ({PROJECT_FOLD}),
+@query("effective_opsstream", HIERARCHY + f""", pr AS ({PROJECT_STATE_FOLD}),
 x AS (SELECT wi.work_item_id, wi.opsstream_id, coalesce(wi.project_id, dl.project_id) AS effective_project_id
   FROM wi LEFT JOIN dl ON wi.deliverable_id = dl.deliverable_id)
-SELECT work_item_id, effective_project_id, coalesce(opsstream_id, pr.owner) AS effective_opsstream_id
+SELECT work_item_id, effective_project_id, coalesce(x.opsstream_id, pr.opsstream_id) AS effective_opsstream_id
 FROM x LEFT JOIN pr ON effective_project_id = pr.project_id""")
 def _(spark, sf):
     log = d.domain_events(spark, sf, d.work_item_log, d.deliverable_log, d.project_log)
     out = ev.effective_opsstreams(
-        ev.fold_entity(log, "work_item"), ev.view_pm_deliverables(log), ev.view_pm_projects(log), project_stream="owner"
+        ev.fold_entity(log, "work_item"), ev.view_pm_deliverables(log), ev.project_states(log)
     )
     return out.select("work_item_id", "effective_project_id", "effective_opsstream_id")
 

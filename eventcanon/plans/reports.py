@@ -134,14 +134,14 @@ def _today(log: DataFrame, as_of: Instant | None) -> Column:
     return (F.col("created_at") >= day.cast(dtype)) & (F.col("created_at") < F.date_add(day, 1).cast(dtype))
 
 
-def failed_today(log: DataFrame, as_of: Instant | None = None, limit: int | None = 20) -> DataFrame:
+def failed_today(log: DataFrame, as_of: Instant | None = None, limit: int | None = None) -> DataFrame:
     rows = log.where(_today(log, as_of) & (F.col("status") == "failed"))
     rows = rows.orderBy(F.desc("created_at"), F.desc("event_id")).limit(limit) if limit else rows
     return rows.select("created_at", "event_type", "source_system", "status", "error_message", "payload")
 
 
 def completed_today(
-    log: DataFrame, as_of: Instant | None = None, limit: int | None = 20, status: str = "ok", event_type: str = STAGES["ingestion"]
+    log: DataFrame, as_of: Instant | None = None, limit: int | None = None, status: str = "ok", event_type: str = STAGES["ingestion"]
 ) -> DataFrame:
     rows = log.where(_today(log, as_of) & (F.col("status") == status) & (F.col("event_type") == event_type))
     rows = rows.orderBy(F.desc("created_at"), F.desc("event_id")).limit(limit) if limit else rows

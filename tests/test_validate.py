@@ -156,3 +156,47 @@ def test_diff_of_equal_but_differently_written_rows(spark):
     assert got == {("left", "left_only", None), ("right", "right_only", None), ("text", "changed", "payload"), ("type", "changed", "payload")}
     plain = checks.table_diff(a, b, ["idem_key"]).where("kind = 'changed'").groupBy("idem_key").count()
     assert {r["idem_key"] for r in plain.collect()} == {"same", "nested", "text", "type", "empty"}
+
+
+KEYWORDS = [
+    ({"properties": {"a": {"const": 3}}}, '{"a": 3}', '{"a": 4}'),
+    ({"properties": {"a": {"exclusiveMaximum": 3}}}, '{"a": 2}', '{"a": 3}'),
+    ({"properties": {"a": {"exclusiveMinimum": 3}}}, '{"a": 4}', '{"a": 3}'),
+    ({"properties": {"a": {"multipleOf": 0.5}}}, '{"a": 1.5}', '{"a": 1.2}'),
+    ({"properties": {"a": {"minItems": 2, "maxItems": 3}}}, '{"a": [1, 2]}', '{"a": [1]}'),
+    ({"properties": {"a": {"uniqueItems": True}}}, '{"a": [1, 2]}', '{"a": [1, 2, 1]}'),
+    ({"minProperties": 1, "maxProperties": 1}, '{"a": 1}', '{"a": 1, "b": 2}'),
+    ({"properties": {"a": {}}, "additionalProperties": False}, '{"a": 1}', '{"a": 1, "b": 2}'),
+    ({"additionalProperties": {"type": "integer"}}, '{"a": 1}', '{"a": "x"}'),
+    ({"properties": {"a": {"anyOf": [{"type": "integer"}, {"minLength": 3, "type": "string"}]}}}, '{"a": "abc"}', '{"a": "ab"}'),
+    ({"properties": {"a": {"oneOf": [{"type": "integer"}, {"minimum": 3}]}}}, '{"a": 1}', '{"a": 5}'),
+    ({"properties": {"a": {"allOf": [{"minimum": 1}, {"maximum": 3}]}}}, '{"a": 2}', '{"a": 4}'),
+    ({"properties": {"a": {"not": {"type": "string"}}}}, '{"a": 2}', '{"a": "s"}'),
+    ({"properties": {"a": {"$ref": "#/properties/b"}, "b": {"type": "string"}}}, '{"a": "s"}', '{"a": 1}'),
+    ({"properties": {"a": False}}, "{}", '{"a": 1}'),
+]
+DEEP = {"type": "integer"}
+for _ in range(9):
+    DEEP = {"properties": {"a": DEEP}, "required": ["a"]}
+KEYWORDS.append((DEEP, '{"a": ' * 9 + "1" + "}" * 9, '{"a": ' * 9 + '"x"' + "}" * 9))
+
+
+@pytest.mark.parametrize("schema,good,bad", KEYWORDS)
+def test_each_keyword(spark, schema, good, bad):
+    df = spark.createDataFrame([(1, good), (2, bad)], "id int, p string").selectExpr("id", "try_parse_json(p) AS v")
+    out = {r.id: r.n for r in df.select("id", F.size(validate.validation_errors("v", schema)).alias("n")).collect()}
+    assert out[1] == 0 and out[2] >= 1
+
+
+@pytest.mark.parametrize("schema", [{"patternProperties": {"a": {}}}, {"$ref": "#/nowhere"}, {"$ref": "#"}, {"if": {}}])
+def test_what_is_not_checked_raises(schema):
+    with pytest.raises(ValueError):
+        validate.validation_errors("v", schema)
+
+
+def test_recursive_schemas_never_pass_unseen(spark):
+    schema = {"type": "object", "properties": {"v": {"type": "integer"}, "next": {"$ref": "#"}}}
+    nested = lambda n, v: '{"v": 1, "next": ' * n + f'{{"v": {v}}}' + "}" * n
+    df = spark.createDataFrame([(n, v, nested(n, v)) for n in range(9) for v in ("1", '"x"')], "n int, v string, p string").selectExpr("n", "v", "try_parse_json(p) AS j")
+    for r in df.select("n", "v", F.size(validate.validation_errors("j", schema)).alias("errors")).collect():
+        assert (r.errors == 0) == (r.v == "1" and r.n <= validate.UNROLLED)
