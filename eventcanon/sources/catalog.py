@@ -160,14 +160,20 @@ class SnapshotTable:
                 found += self._leaf_dirs(f"{folder}/{name}", depth - 1)
         return sorted(found)
 
-    def replace(self, df: DataFrame, expect: int | None = None) -> int:
+    def replace(self, df: DataFrame, expect: int | None = None, properties: dict | None = None) -> int:
         """Publish `df` as the whole next version. `expect` is the version `df` was made from."""
         base = self.version() if expect is None else expect
         version = 0 if base is None else base + 1
         dirs = self._write_dirs(df, version, df.columns)
-        self._publish(version, {"schema": _nullable(df).jsonValue(), "dirs": dirs})
+        kept = {} if base is None else self._manifest(base).get("properties", {})
+        self._publish(version, {"schema": _nullable(df).jsonValue(), "dirs": dirs, "properties": {**kept, **(properties or {})}})
         return version
 
+    def properties(self) -> dict:
+        """Settings that stay with the table from version to version."""
+        known = self.version()
+        return {} if known is None else self._manifest(known).get("properties", {})
+
     def append(self, df: DataFrame) -> int:
         """Publish the next version as the current directories plus `df`."""
         base = self.version()
@@ -179,18 +185,22 @@ class SnapshotTable:
         self._publish(base + 1, {**manifest, "dirs": manifest["dirs"] + dirs})
         return base + 1
 
-    def replace_touched(self, make, batch: DataFrame) -> int:
+    def replace_touched(self, make, batch: DataFrame, keys: Sequence[str] | None = None) -> int:
         """Rewrite only the partitions that occur in `batch`; keep the other directories.
 
-        `make(current)` gets the current rows of those partitions and returns their new rows; it
-        must not move rows to other partitions. `batch` is read twice: for the list of partition
-        values (metadata-sized, its length is checked) and by `make`.
+        `make(current)` gets the current rows of those partitions and returns their new rows. With `keys`, the partitions
+        where the batch's keys are now are rewritten too, so that a row may move to another partition; that reads the key
+        and partition columns of the whole table. Without, partitions are to be a function of the key. `batch` is read for the
+        list of partition values (metadata-sized; a longer list than MAX_TOUCHED_PARTITIONS rewrites the table) and by `make`.
         """
         base = self.version()
         if base is None:
             raise FileNotFoundError(f"no version of {self.path}")
         current = self.read(base)
         touched = self._touched(batch)
+        if touched is not None and keys and self.partition_by:
+            held = self._touched(current.select(*dict.fromkeys([*keys, *self.partition_by])).join(batch.select(*keys).distinct(), list(keys), "left_semi"))
+            touched = None if held is None else touched | held
         if touched is None:
             return self.replace(make(current), expect=base)
         manifest = self._manifest(base)

@@ -29,11 +29,15 @@ def fold_batch(
     version: str = "event_id",
     buckets: int = 256,
 ) -> int:
-    """Fold `events` into the state table; only the key buckets that occur in them are rewritten."""
+    """Fold `events` into the state table; only the key buckets that occur in them are rewritten.
+
+    The number of buckets is the table's: `buckets` counts when the table is made, and is read from it afterwards.
+    """
+    buckets = state.properties().get("buckets", buckets)
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
     fresh = fold_with_order(events, key, fields, order, version).withColumn(BUCKET, bucket)
     if not state.exists():
-        return state.replace(fresh)
+        return state.replace(fresh, properties={"buckets": buckets})
 
     def combine(current: DataFrame) -> DataFrame:
         both = current.drop(BUCKET).unionByName(fresh.drop(BUCKET))

@@ -15,11 +15,20 @@ from eventcanon.session import checkpoint_root
 from eventcanon.sources.catalog import SnapshotTable
 
 
-def merge_batch(table: SnapshotTable, batch: DataFrame, keys: list[str], order: list[str]) -> int:
-    """Merge one batch into a table. The same batch twice gives the same rows."""
+def merge_batch(table: SnapshotTable, batch: DataFrame, keys: list[str], order: list[str], order_path: str | None = None) -> int:
+    """Merge one batch into a table. The same batch twice gives the same rows; keys may move to other partitions."""
     if not table.exists():
         return table.replace(merge_into(batch.limit(0), batch, keys, order=order))
-    return table.replace_touched(lambda rows: merge_into(rows, batch, keys, order=order), batch)
+    return table.replace_touched(lambda rows: merge_into(rows, newer(rows, batch, keys, order_path), keys, order=order), batch, keys)
+
+
+def newer(rows: DataFrame, batch: DataFrame, keys: list[str], order_path: str | None) -> DataFrame:
+    """Rows of `batch` but those whose key has a later state in `rows` already, by the text at `order_path` of the payload."""
+    if not order_path:
+        return batch
+    held = with_json(rows.select(*keys, "payload"), values={"__held": order_path}).select(*keys, "__held")
+    given = with_json(batch, values={"__given": order_path}).join(held, keys, "left")
+    return given.where(F.col("__held").isNull() | (F.coalesce("__given", F.lit("")) >= F.col("__held"))).drop("__given", "__held")
 
 
 def start_ingest(
@@ -39,10 +48,12 @@ def start_ingest(
     """Land every file below `path` that has not been landed, then stop.
 
     Among several states of one object in a batch the one with the largest text at `order_path`
-    wins (say, its time of change), then the line from the newest file, then the larger text. Rows without an id go to `rejects` if given. A batch that is run again after a
+    wins (say, its time of change), then the line from the newest file, then the larger text; a state older than the
+    table's is left out, so that the result does not depend on how files fall into batches. Rows without an id go to `rejects` if given. A batch that is run again after a
     failure is harmless: the merge is idempotent.
     """
     name = f"ingest/{source_system}/{connection_name}/{object_type}"
+    where = (checkpoint or f"{checkpoint_root(spark).rstrip('/')}/{name}").rstrip("/")
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -64,9 +75,12 @@ def start_ingest(
             # Named by batch, so a repeated batch replaces its own rejects.
             bad.write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/batch={batch_id}")
         newest = latest_per_key(good_rows(rows), ["idem_key"], order).drop("__order", "__file_time")
-        merge_batch(table, newest, ["idem_key"], ["last_seen"])
+        # Shaped once: the merge reads the batch several times. Named by batch, so a repeated batch replaces its own rows.
+        staged = f"{where}-staged/batch={batch_id}"
+        newest.write.mode("overwrite").parquet(staged)
+        newest = batch.sparkSession.read.parquet(staged)
+        merge_batch(table, newest, ["idem_key"], ["last_seen"], order_path)
 
-    where = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/{name}"
     return (
         lines.writeStream.foreachBatch(each).option("checkpointLocation", where).trigger(availableNow=True).start()
     )

@@ -79,3 +79,22 @@ def test_checkpoint_folder_comes_from_the_session():
         checkpoint_root(Session())
     assert checkpoint_root(Session(), "/shared") == "/shared"
     assert checkpoint_root(Session(**{"spark.checkpoint.dir": "/cluster"}), "/shared") == "/cluster"
+
+
+def test_batches_do_not_change_the_result(spark, tmp_path):
+    inbox, out = tmp_path / "in", {}
+    land(inbox, "1.jsonl", {"id": "a", "at": "2024-02-01"}, {"id": "b", "at": "2024-01-01"})
+    land(inbox, "2.jsonl", {"id": "a", "at": "2024-01-01"}, {"id": "b", "at": "2024-03-01"})
+    for max_files in (None, 1):
+        table = Catalog(spark, str(tmp_path / f"wh{max_files}")).table("raw", "objects", partition_by=["source_system"])
+        start_ingest(spark, str(inbox), table, "crm", "main", "thing", "$.id", checkpoint=str(tmp_path / f"cp{max_files}"), as_of="2024-01-01 00:00:00", order_path="$.at", max_files=max_files).awaitTermination()
+        out[max_files] = sorted(json.loads(r.payload)["at"] for r in table.read().select(F.col("payload").cast("string").alias("payload")).collect())
+    assert out[None] == out[1] == ["2024-02-01", "2024-03-01"]
+
+
+def test_bucket_count_stays_with_the_state(spark, tmp_path):
+    events = spark.createDataFrame([(f"k{i % 20}", f"e{i:03d}", i, f"v{i}") for i in range(80)], "key string, event_id string, occurred_at int, f string")
+    state = Catalog(spark, str(tmp_path / "wh")).table("state", "keys", partition_by=["key_bucket"])
+    fold_batch(state, events.where("occurred_at < 40"), "key", ["f"], buckets=8)
+    fold_batch(state, events.where("occurred_at >= 40"), "key", ["f"])
+    assert state.read().count() == 20 and state.properties() == {"buckets": 8}
