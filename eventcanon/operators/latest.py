@@ -38,7 +38,8 @@ def fold_latest(
 
     Each field holds its newest non-NULL value by `order`; arrival order does not matter. Adds
     ``row_id`` (the key), ``row_version`` (`version` of the newest event) and ``row_state``.
-    One shuffle with map-side partial aggregation, whatever the number of fields.
+    One shuffle, whatever the number of fields, with partial aggregation before it: a hot key ships one row per task.
+    Text fields make Spark aggregate over sorted rows, before and after the shuffle.
     """
     at = F.struct(*[F.col(c) for c in order])
     aggs = [F.max_by(F.when(F.col(f).isNotNull(), F.col(f)), F.when(F.col(f).isNotNull(), at)).alias(f) for f in fields]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +19,10 @@ from eventcanon.plans.canonical import SCHEMAS
 THERAPY_CODE = "1"
 ACTIVE_STAGE = "active"
 
+# The mail systems of the timeline, and how much of a subject its event names show.
+MAIL_SYSTEMS = ("gmail", "exchange")
+SUBJECT_LENGTH = 50
+
 SUBJECT_ID = r"/(.+)$"
 
 TIMELINE_COLUMNS = (
@@ -158,23 +163,21 @@ def billing_customers(canonical: DataFrame) -> DataFrame:
     return newest.select("cust_id", F.lower("mail").alias("cust_email"))
 
 
-def _deduped(canonical: DataFrame, kind: str, key: str, values: dict[str, str], where: Column | None = None) -> DataFrame:
-    rows = of_schema(canonical, kind)
-    if where is not None:
-        rows = rows.where(where)
-    rows = with_json(rows.select("idem_key", "created_at", "payload"), values=values).drop("payload")
+def _deduped(canonical: DataFrame, kind: str, key: str, values: dict[str, str]) -> DataFrame:
+    rows = with_json(of_schema(canonical, kind).select("idem_key", "created_at", "payload"), values=values).drop("payload")
     return latest_per_key(rows, [key], ["created_at", "idem_key"])
 
 
-def _timeline(df: DataFrame, **cols: Column) -> DataFrame:
-    return df.select(*[cols[c].alias(c) for c in TIMELINE_COLUMNS])
+def _by_address(df: DataFrame, address: Column, **cols: Column) -> DataFrame:
+    """Timeline rows whose contact is still to be found by `address` (in ``__address``)."""
+    cols |= {"contact_id": F.lit(None).cast("string")}
+    return df.select(*[cols[c].alias(c) for c in TIMELINE_COLUMNS], address.alias("__address"))
 
 
-def form_events(measurement_events: DataFrame, clients: DataFrame) -> DataFrame:
-    rows = measurement_events.withColumn("__mail", F.lower("subject_id"))
-    return _timeline(
-        left_lookup(rows, clients, "__mail", "c_email"),
-        contact_id=F.col("c_id"), contact_email=F.col("subject_id"), event_type=F.col("event_type"),
+def form_events(measurement_events: DataFrame) -> DataFrame:
+    return _by_address(
+        measurement_events, F.lower("subject_id"),
+        contact_email=F.col("subject_id"), event_type=F.col("event_type"),
         event_name=F.col("event_subtype"), event_source=F.lit("google_forms"), event_timestamp=F.col("occurred_at").cast("timestamp"),
         source_system=F.lit("measurement_events"), source_record_id=F.col("measurement_event_id"),
         payload=to_json_full(
@@ -185,44 +188,58 @@ def form_events(measurement_events: DataFrame, clients: DataFrame) -> DataFrame:
 
 def session_events(canonical: DataFrame, clients: DataFrame, strict: bool = False) -> DataFrame:
     at = F.coalesce(text_to_timestamp("started_at", strict), text_to_timestamp("ended_at", strict))
-    return _timeline(
-        left_lookup(proj_sessions(canonical, strict), clients, "client_id", "c_id"),
+    cols = dict(
         contact_id=F.col("client_id"), contact_email=F.col("c_email"), event_type=F.lit("session"),
         event_name=F.col("session_status"), event_source=F.lit("dataverse"), event_timestamp=at,
         source_system=F.lit("dataverse_sessions"), source_record_id=F.col("session_id"), payload=to_json_full("session_num"),
     )
+    found = left_lookup(proj_sessions(canonical, strict), clients, "client_id", "c_id")
+    return found.select(*[cols[c].alias(c) for c in TIMELINE_COLUMNS])
 
 
 def email_events(
-    canonical: DataFrame, clients: DataFrame, source_system: str, own_addresses: list[str], strict: bool = False
+    canonical: DataFrame,
+    own_addresses: Sequence[str] | Mapping[str, Sequence[str]],
+    strict: bool = False,
+    subject_length: int | None = SUBJECT_LENGTH,
 ) -> DataFrame:
-    """Mail of one system, seen from the owner of `own_addresses`: who the other side is, and which way it went."""
-    rows = _deduped(
-        canonical, "email", "email_id",
-        {
+    """Mail seen from the owner of `own_addresses`: who the other side is, and which way it went.
+
+    All systems are read and parsed in one pass; `own_addresses` may differ by system. `subject_length` bounds
+    the subject shown in the event's name (None: whole); the payload always has it whole.
+    """
+    if not isinstance(own_addresses, Mapping):
+        own_addresses = dict.fromkeys(MAIL_SYSTEMS, own_addresses)
+    rows = of_schema(canonical, "email").where(F.col("source_system").isin(*own_addresses))
+    rows = with_json(
+        rows.select("idem_key", "created_at", "source_system", "payload"),
+        values={
             "email_id": "$.id", "subject": "$.subject", "sent_at": "$.sentAt", "thread_id": "$.threadId",
             "from_email": "$.from[0].email", "to_email": "$.to[0].email",
         },
-        F.col("source_system") == source_system,
-    )
-    outbound = F.lower("from_email").isin([a.lower() for a in own_addresses])
+    ).drop("payload")
+    rows = latest_per_key(rows, ["source_system", "email_id"], ["created_at", "idem_key"])
+    sender = F.lower("from_email")
+    ours = [(F.col("source_system") == s) & sender.isin([a.lower() for a in own]) for s, own in own_addresses.items()]
+    outbound = reduce(Column.__or__, ours)
     rows = rows.withColumns(
         {
             "direction": F.when(outbound, "outbound").otherwise("inbound"),
-            "other": F.when(outbound, F.lower("to_email")).otherwise(F.lower("from_email")),
+            "other": F.when(outbound, F.lower("to_email")).otherwise(sender),
         }
     )
-    subject = F.substring(F.coalesce("subject", F.lit("(no subject)")), 1, 50)
-    return _timeline(
-        left_lookup(rows, clients, "other", "c_email"),
-        contact_id=F.col("c_id"), contact_email=F.col("other"), event_type=F.lit("email"),
-        event_name=F.concat("direction", F.lit(": "), subject), event_source=F.lit(source_system),
-        event_timestamp=text_to_timestamp("sent_at", strict), source_system=F.lit(f"email_{source_system}"),
-        source_record_id=F.col("email_id"), payload=to_json_full("subject", "thread_id"),
+    shown = F.coalesce("subject", F.lit("(no subject)"))
+    shown = shown if subject_length is None else F.substring(shown, 1, subject_length)
+    return _by_address(
+        rows, F.col("other"),
+        contact_email=F.col("other"), event_type=F.lit("email"), event_name=F.concat("direction", F.lit(": "), shown),
+        event_source=F.col("source_system"), event_timestamp=text_to_timestamp("sent_at", strict),
+        source_system=F.concat(F.lit("email_"), "source_system"), source_record_id=F.col("email_id"),
+        payload=to_json_full("subject", "thread_id"),
     )
 
 
-def invoice_events(canonical: DataFrame, clients: DataFrame, strict: bool = False) -> DataFrame:
+def invoice_events(canonical: DataFrame, strict: bool = False) -> DataFrame:
     rows = _deduped(
         canonical, "invoice", "invoice_id",
         {
@@ -230,71 +247,74 @@ def invoice_events(canonical: DataFrame, clients: DataFrame, strict: bool = Fals
             "invoice_number": "$.invoice_number", "amount_due": "$.amount_due", "currency": "$.currency", "description": "$.description",
         },
     ).withColumn("mail", F.lower("mail"))
-    return _timeline(
-        left_lookup(rows, clients, "mail", "c_email"),
-        contact_id=F.col("c_id"), contact_email=F.col("mail"), event_type=F.lit("invoice"), event_name=F.col("status"),
+    return _by_address(
+        rows, F.col("mail"),
+        contact_email=F.col("mail"), event_type=F.lit("invoice"), event_name=F.col("status"),
         event_source=F.lit("stripe"), event_timestamp=text_to_timestamp("event_time", strict),
         source_system=F.lit("stripe_invoice"), source_record_id=F.col("invoice_id"),
         payload=to_json_full("invoice_number", "amount_due", "currency", "description"),
     )
 
 
-def payment_events(canonical: DataFrame, clients: DataFrame, customers: DataFrame, strict: bool = False) -> DataFrame:
-    rows = _deduped(
+def money_events(canonical: DataFrame, strict: bool = False) -> DataFrame:
+    """Payments and refunds. A refund belongs to the customer of its payment; customers are looked up once for both."""
+    payments = _deduped(
         canonical, "payment", "payment_id",
         {
             "payment_id": "$.payment_id", "customer_id": "$.customer_id", "status": "$.status", "event_time": "$.event_time",
             "amount": "$.amount", "currency": "$.currency", "payment_method_type": "$.payment_method_type",
         },
     )
-    rows = left_lookup(rows, customers, "customer_id", "cust_id")
-    return _timeline(
-        left_lookup(rows, clients, "cust_email", "c_email"),
-        contact_id=F.col("c_id"), contact_email=F.col("cust_email"), event_type=F.lit("payment"), event_name=F.col("status"),
-        event_source=F.lit("stripe"), event_timestamp=text_to_timestamp("event_time", strict),
-        source_system=F.lit("stripe_payment"), source_record_id=F.col("payment_id"),
-        payload=to_json_full("amount", "currency", "payment_method_type"),
-    )
-
-
-def refund_events(canonical: DataFrame, clients: DataFrame, customers: DataFrame, strict: bool = False) -> DataFrame:
-    rows = _deduped(
+    refunds = _deduped(
         canonical, "refund", "refund_id",
         {
             "refund_id": "$.refund_id", "status": "$.status", "event_time": "$.event_time", "amount": "$.amount",
             "currency": "$.currency", "reason": "$.reason", "payment_intent_id": "$.payment_intent_id",
         },
     )
-    payers = _deduped(
-        canonical, "payment", "p_id", {"p_id": "$.payment_id", "p_customer": "$.customer_id"}
-    ).select("p_id", "p_customer")
-    rows = left_lookup(rows, payers, "payment_intent_id", "p_id")
-    rows = left_lookup(rows, customers, "p_customer", "cust_id")
-    return _timeline(
-        left_lookup(rows, clients, "cust_email", "c_email"),
-        contact_id=F.col("c_id"), contact_email=F.col("cust_email"), event_type=F.lit("refund"), event_name=F.col("status"),
-        event_source=F.lit("stripe"), event_timestamp=text_to_timestamp("event_time", strict),
-        source_system=F.lit("stripe_refund"), source_record_id=F.col("refund_id"),
-        payload=to_json_full("amount", "currency", "reason"),
+    payers = payments.select(F.col("payment_id").alias("p_id"), F.col("customer_id").alias("p_customer"))
+    refunds = left_lookup(refunds, payers, "payment_intent_id", "p_id")
+    both = _money(payments, "payment", "payment_id", "customer_id", "payment_method_type").unionByName(
+        _money(refunds, "refund", "refund_id", "p_customer", "reason")
+    )
+    found = left_lookup(both, billing_customers(canonical), "customer", "cust_id")
+    return _by_address(
+        found, F.col("cust_email"),
+        contact_email=F.col("cust_email"), event_type=F.col("kind"), event_name=F.col("status"), event_source=F.lit("stripe"),
+        event_timestamp=text_to_timestamp("event_time", strict), source_system=F.concat(F.lit("stripe_"), "kind"),
+        source_record_id=F.col("record"), payload=F.col("details"),
+    )
+
+
+def _money(rows: DataFrame, kind: str, record: str, customer: str, detail: str) -> DataFrame:
+    return rows.select(
+        F.lit(kind).alias("kind"), F.col(record).alias("record"), F.col(customer).alias("customer"), "status", "event_time",
+        to_json_full("amount", "currency", detail).alias("details"),
     )
 
 
 def proj_contact_events(
-    canonical: DataFrame, measurement_events: DataFrame, own_addresses: list[str], strict: bool = False
+    canonical: DataFrame,
+    measurement_events: DataFrame,
+    own_addresses: Sequence[str] | Mapping[str, Sequence[str]],
+    strict: bool = False,
+    subject_length: int | None = SUBJECT_LENGTH,
 ) -> DataFrame:
     """Every touch of a contact in one ledger: forms, sessions, mail, invoices, payments, refunds.
 
-    The client and customer lookups are the same sub-plan in every branch, so Spark computes their
-    exchange once and reuses it.
+    All branches that know a contact by address are united first and share one lookup; sessions have one by id. Both
+    read the same clients, whose exchange Spark computes once. Clients are dealt again for each lookup, so that
+    AQE can split a contact with very many events.
     """
-    clients, customers = therapy_clients(canonical), billing_customers(canonical)
-    branches = [
-        form_events(measurement_events, clients),
-        session_events(canonical, clients, strict),
-        email_events(canonical, clients, "gmail", own_addresses, strict),
-        email_events(canonical, clients, "exchange", own_addresses, strict),
-        invoice_events(canonical, clients, strict),
-        payment_events(canonical, clients, customers, strict),
-        refund_events(canonical, clients, customers, strict),
-    ]
-    return reduce(DataFrame.unionByName, branches)
+    clients = therapy_clients(canonical)
+    addressed = reduce(
+        DataFrame.unionByName,
+        [
+            form_events(measurement_events),
+            email_events(canonical, own_addresses, strict, subject_length),
+            invoice_events(canonical, strict),
+            money_events(canonical, strict),
+        ],
+    )
+    found = left_lookup(addressed, clients, "__address", "c_email").withColumn("contact_id", F.col("c_id"))
+    return found.select(*TIMELINE_COLUMNS).unionByName(session_events(canonical, clients, strict))

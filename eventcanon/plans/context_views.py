@@ -31,6 +31,21 @@ def contact_addresses(
     return rows.select(F.col("cid").alias("clinical_contact_id"), F.explode(both).alias("__address"))
 
 
+def recent_dates(rows: DataFrame, date_column: str | None, first: Column, last: Column | None = None) -> DataFrame:
+    """Rows whose `date_column` lies between the days of two times, or is NULL; all rows without such a column.
+
+    Meant for a partition column that holds the day of a time inside the payload: older partitions are then never
+    listed or read. It only prunes; the exact test on the time itself stays with the caller.
+    """
+    if date_column is None:
+        return rows
+    day = F.col(date_column)
+    inside = day >= F.to_date(first)
+    if last is not None:
+        inside &= day <= F.to_date(last)
+    return rows.where(day.isNull() | inside)
+
+
 def redact_sender(email: Column) -> Column:
     """``a*****@domain``; NULL when the text has no domain."""
     return F.concat(F.lower(F.substring(email, 1, 1)), F.lit("*****@"), sender_domain(email))
@@ -47,15 +62,18 @@ def context_emails(
     as_of: Instant | None = None,
     days: int = MAIL_DAYS,
     hot_share: float | None = None,
+    date_column: str | None = None,
 ) -> DataFrame:
     """Mail of the last `days`. Clinical mail loses the sender's identity and its snippet.
 
     Clinical is: from an address of a contact, from a listed domain, or to a listed mailbox. A
     sender whose address several contacts share gives one row per contact. For mail without a
     sender the test is NULL unless a listed mailbox decides it; such mail is shown as it is.
+    `date_column` names a column with the UTC day of ``receivedAt``, by which older mail is left unread.
     """
+    since = as_of_lit(as_of) - F.make_dt_interval(F.lit(days))
     rows = with_json(
-        of_schema(canonical, "email").select("idem_key", "source_system", "connection_name", "payload"),
+        recent_dates(of_schema(canonical, "email"), date_column, since).select("idem_key", "source_system", "connection_name", "payload"),
         values={
             "email_id": "$.id", "thread_id": "$.threadId", "raw_sender": "$.from[0].email", "raw_name": "$.from[0].name",
             "subject": "$.subject", "raw_snippet": "$.preview", "received_text": "$.receivedAt",
@@ -63,7 +81,7 @@ def context_emails(
         },
         arrays={"labels": "$.labels", "recipients": "$.to[*].email"},
     ).withColumn("received_at", text_to_timestamp("received_text"))
-    rows = rows.where(F.col("received_at") > as_of_lit(as_of) - F.make_dt_interval(F.lit(days)))
+    rows = rows.where(F.col("received_at") > since)
     unread = F.coalesce("seen", F.lit("false")) != "true"
     sender = F.col("raw_sender")
     rows = rows.select(
@@ -91,17 +109,22 @@ def context_emails(
     )
 
 
-def context_calendar(canonical: DataFrame, as_of: Instant | None = None, days: int = CALENDAR_DAYS) -> DataFrame:
-    """Sessions from `days` before to `days` after, with the client's given name and initial."""
+def context_calendar(
+    canonical: DataFrame, as_of: Instant | None = None, days: int = CALENDAR_DAYS, date_column: str | None = None
+) -> DataFrame:
+    """Sessions from `days` before to `days` after, with the client's given name and initial.
+
+    `date_column` names a column with the UTC day of ``period.start``, by which other sessions are left unread.
+    """
+    now, span = as_of_lit(as_of), F.make_dt_interval(F.lit(days))
     rows = with_json(
-        of_schema(canonical, "clinical_session").select("idem_key", "payload"),
+        recent_dates(of_schema(canonical, "clinical_session"), date_column, now - span, now + span).select("idem_key", "payload"),
         values={
             "session_id": "$.id", "title": "$.title", "num": "$.sessionNumber", "start": "$.period.start", "end": "$.period.end",
             "changed": "$.meta.updatedAt", "minutes": "$.duration", "status": "$.status", "session_type": "$.type",
             "contact_id": "$.subject.reference",
         },
     ).withColumn("scheduled_start", text_to_timestamp("start"))
-    now, span = as_of_lit(as_of), F.make_dt_interval(F.lit(days))
     rows = rows.where(F.col("scheduled_start").between(now - span, now + span))
     rows = rows.withColumn("__subject", regex_group("contact_id", SUBJECT_ID)).drop("payload")
     names = with_json(

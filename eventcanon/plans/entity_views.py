@@ -62,9 +62,10 @@ def view_pm_opsstreams(log: DataFrame) -> DataFrame:
     return fold_entity(log, "opsstream")
 
 
-def view_pm_artifacts(log: DataFrame) -> DataFrame:
-    """Artifacts; the content is shown up to the length a sheet cell takes."""
-    return fold_entity(log, "artifact").withColumn("content", F.substring("content", 1, ARTIFACT_CONTENT_LENGTH))
+def view_pm_artifacts(log: DataFrame, content_length: int | None = ARTIFACT_CONTENT_LENGTH) -> DataFrame:
+    """Artifacts; the content is shown up to `content_length` characters (None: whole)."""
+    rows = fold_entity(log, "artifact")
+    return rows if content_length is None else rows.withColumn("content", F.substring("content", 1, content_length))
 
 
 def view_pm_work_items(log: DataFrame) -> DataFrame:
