@@ -47,6 +47,23 @@ def assert_schema(df: DataFrame, expected: Mapping[str, str]) -> dict[str, objec
     return {"ok": not missing and not extra and not wrong, "missing": missing, "extra": extra, "mismatched": wrong}
 
 
+def bad_values(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """One row per text column of `types`: rows, missing values, and texts that do not read as the named type.
+
+    Views turn such texts into NULL unless they are asked to be strict; this counts what that hides. One pass, one row per task shuffled.
+    """
+    counts = df.agg(
+        F.count("*").alias("__rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"__missing_{i}") for i, c in enumerate(types)],
+        *[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(f"__bad_{i}") for i, (c, t) in enumerate(types.items())],
+    )
+    each = [
+        F.struct(F.lit(c).alias("column_name"), F.col("__rows").alias("rows"), F.col(f"__missing_{i}").alias("missing"), F.col(f"__bad_{i}").alias("bad"))
+        for i, c in enumerate(types)
+    ]
+    return counts.select(F.inline(F.array(*each)))
+
+
 def assert_unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: how many keys occur more than once, and how many rows are surplus."""
     n = F.col("__n")

@@ -44,7 +44,7 @@ class Catalog:
 
     def isolated(self, namespace: str) -> "Catalog":
         """The same catalog with every data set and table routed to a name of its own."""
-        return Catalog(self.spark, self.root, f"smoke_{namespace}__", dict(self.datasets))
+        return Catalog(self.spark, self.root, f"trial_{namespace}__", dict(self.datasets))
 
     def table(
         self, dataset: str, name: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
@@ -185,6 +185,28 @@ class SnapshotTable:
         self._publish(base + 1, {**manifest, "dirs": manifest["dirs"] + dirs})
         return base + 1
 
+    def compact(self) -> int:
+        """Publish the newest version again with few files per partition. Runs only when called."""
+        base = self.version()
+        return self.replace(self.read(base), expect=base)
+
+    def expire(self, keep: int = 1) -> list[int]:
+        """Remove all but the newest `keep` versions, and the directories that only they list. Returns the versions removed.
+
+        Readers of removed versions fail from then on. Directories of writers that have not published are left alone.
+        """
+        if keep < 1:
+            raise ValueError("keep at least one version")
+        known = self.versions()
+        gone, kept = known[:-keep], known[-keep:]
+        held = {d for v in kept for d in self._manifest(v)["dirs"]}
+        for version in gone:
+            dirs = set(self._manifest(version)["dirs"]) - held
+            for name in [f"_manifest/{version:012d}.json", *sorted(dirs)]:
+                fs, path = self._fs(f"{self.path}/{name}")
+                fs.delete(path, True)
+        return gone
+
     def replace_touched(self, make, batch: DataFrame, keys: Sequence[str] | None = None) -> int:
         """Rewrite only the partitions that occur in `batch`; keep the other directories.
 

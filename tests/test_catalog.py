@@ -72,8 +72,8 @@ def test_names_and_isolation(spark):
     assert c.table("canonical", "t").path == "/root/x/canonical/t"
     assert c.table("other", "t").path == "/root/x/other/t"
     run = c.isolated("r1")
-    assert run.table("raw", "t").path == "/root/x/smoke_r1/smoke_r1__t"
-    assert run.table("raw", "smoke_r1__t").path == "/root/x/smoke_r1/smoke_r1__t"
+    assert run.table("raw", "t").path == "/root/x/trial_r1/trial_r1__t"
+    assert run.table("raw", "trial_r1__t").path == "/root/x/trial_r1/trial_r1__t"
 
 
 def test_two_writers_from_one_base(spark, catalog):
@@ -117,3 +117,17 @@ def test_a_key_that_moves_leaves_no_row_behind(spark, catalog, monkeypatch, most
     batch = spark.createDataFrame([("k1", "v3", 2), ("k4", "v2", 2)], "k string, p string, n int")
     table.replace_touched(lambda now: merge_into(now, batch, ["k"]), batch, ["k"])
     assert rows(table.read().select("k", "p", "n")) == [("k1", "v3", 2), ("k2", "v2", 1), ("k3", "v4", 1), ("k4", "v2", 2)]
+
+
+def test_compaction_and_removal_of_versions(spark, tmp_path):
+    table = Catalog(spark, str(tmp_path)).table("raw", "t", partition_by=["p"])
+    df = spark.range(6).selectExpr("id", "id % 2 AS p")
+    for i in range(3):
+        table.append(df.where(f"id div 2 = {i}"))
+    assert table.expire(keep=2) == [0] and rows(table.read()) == rows(df)  # appended directories are still listed
+    table.compact()
+    assert table.expire(keep=1) == [1, 2] and table.versions() == [3] and rows(table.read()) == rows(df)
+    folders = {f.name.split("-")[0] for f in (tmp_path / "raw" / "t").glob("snapshot_version=*") if list(f.rglob("*.parquet"))}
+    assert folders == {"snapshot_version=3"}
+    with pytest.raises(ValueError):
+        table.expire(keep=0)

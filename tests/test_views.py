@@ -81,6 +81,25 @@ def test_timeline_reaches_one_client_from_all_sources(spark):
     assert got[("stripe_payment", "p2")].contact_email is None and got[("stripe_payment", "p2")].event_timestamp is None
 
 
+def test_timeline_by_system_and_with_whole_subjects(spark):
+    mail = lambda mid, sender: {"id": mid, "subject": "y" * 60, "from": [{"email": sender}], "to": [{"email": "b@x"}]}
+    c = objects(spark, ("email", mail("m", "a@x"), "gmail"), ("email", mail("m", "a@x"), "exchange"), ("email", mail("m", "a@x"), "other"))
+    got = cv.email_events(c, {"gmail": ["A@x"], "exchange": []}, subject_length=None).select("source_system", "event_name", "__address")
+    assert rows(got) == [("email_exchange", "inbound: " + "y" * 60, "a@x"), ("email_gmail", "outbound: " + "y" * 60, "b@x")]
+
+
+def test_timeline_plan_shares_lookups(spark):
+    me = spark.createDataFrame([], "measurement_event_id string, subject_id string, event_type string, event_subtype string, binding_id string, binding_version string, form_id string, source_id string, canonical_object_id string, occurred_at timestamp")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(cv.proj_contact_events(objects(spark, contact("1", "A@x")), me, ["me@own.test"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 4  # by address, by id, customers, payers
+    assert plan.count("Exchange hashpartitioning") <= 18
+
+
 def test_form_responses_fan_out_over_shared_addresses(spark):
     c = objects(
         spark, contact("1", "A@x"), contact("2", "a@x", "9"), contact("3", None),
@@ -94,6 +113,18 @@ def test_form_responses_fan_out_over_shared_addresses(spark):
 AS_OF = "2024-01-31 00:00:00"
 
 
+def test_context_tables_prune_by_day(spark, tmp_path):
+    path = str(tmp_path / "canonical")
+    day = lambda p: F.to_date(F.get_json_object("payload", p).try_cast("timestamp"))
+    c = mails(spark).withColumn("day", F.coalesce(day("$.receivedAt"), day("$.period.start")))
+    c.write.partitionBy("day").parquet(path)
+    laid = spark.read.parquet(path)
+    pruned = xv.context_emails(laid, ["listed.test"], ["desk@practice.test"], AS_OF, date_column="day")
+    assert "PartitionFilters: [(isnull(day" in plan_of(pruned) and "2024-01-17" in plan_of(pruned)
+    assert rows(pruned) == rows(xv.context_emails(laid, ["listed.test"], ["desk@practice.test"], AS_OF))
+    assert "PartitionFilters: [(isnull(day" in plan_of(xv.context_calendar(laid, AS_OF, date_column="day"))
+
+
 def mails(spark):
     def mail(mid, sender, to="t@x", received="2024-01-30T00:00:00Z", **more):
         people = [{"email": sender, "name": "zoe q"}] if sender else []
