@@ -85,7 +85,8 @@ def coverage(df: DataFrame, by: Sequence[str], columns: Mapping[str, Column]) ->
 def flat_json(v: str, drop: Sequence[str] = (), depth: int = JSON_DEPTH) -> str:
     """SQL for a variant as ``array<string>`` of ``path=value`` leaves, without members named in `drop`.
 
-    250.0 and 250 read the same. Two documents are equal when their sorted leaves are.
+    250.0 and 250 read the same. Two documents are equal when their sorted leaves are. What nests deeper than `depth` levels is one
+    leaf: its canonical text, with all its members.
     """
     e, i, p = f"e{depth}", f"i{depth}", f"p{depth}"
     members = f"map_entries(try_variant_get({v}, '$', 'map<string,variant>'))"
@@ -95,8 +96,7 @@ def flat_json(v: str, drop: Sequence[str] = (), depth: int = JSON_DEPTH) -> str:
     children = f"coalesce({members}, {items})"
     leaf = f"array(concat('=', to_json({v})))"
     if depth == 0:
-        error = sql_text(f"JSON nests deeper than {JSON_DEPTH} levels")
-        return f"CASE WHEN {children} IS NULL THEN {leaf} ELSE cast(raise_error({error}) AS array<string>) END"
+        return leaf
     below = f"transform({flat_json(f'{e}.value', drop, depth - 1)}, {p} -> concat('/', {e}.key, {p}))"
     nested = f"flatten(transform({children}, {e} -> {below}))"
     # An empty container is a leaf of its own.

@@ -98,12 +98,25 @@ def test_drift_matches_python(spark):
         assert (unknown or []) == sorted(set(paths(payload)) - known)
 
 
-def test_too_deep_payload_fails_instead_of_being_cut(spark):
-    deep: dict = {}
-    for _ in range(validate.PAYLOAD_DEPTH + 2):
-        deep = {"x": deep}
-    with pytest.raises(Exception, match="nests deeper"):
-        check(spark, {**GOOD, "new": deep})
+@pytest.mark.parametrize("levels", [1, 15, 16, 17, 18, 40])
+def test_unknown_fields_at_any_depth(spark, levels):
+    deep: dict = {"end": 1, "empty": {}, "list": [{"q": 1}]}
+    for i in range(levels):
+        deep = {"x": deep, f"y{i}": i}
+    known = set(validate.known_paths(SCHEMA))
+    [(_, _, unknown)] = check(spark, {**GOOD, "new": deep})
+    assert unknown == sorted(set(paths({**GOOD, "new": deep})) - known)
+
+
+def test_documents_of_any_depth_are_compared(spark):
+    def nested(end):
+        for _ in range(30):
+            end = {"x": end, "list": [1]}
+        return json.dumps(end)
+
+    table = lambda *ends: spark.createDataFrame([(i, nested(e)) for i, e in enumerate(ends)], "k int, payload string")
+    diff = checks.table_diff(table({"a": 1, "b": 2}, {"a": 1}), table({"b": 2.0, "a": 1}, {"a": 2}), ["k"], normalize=True)
+    assert [(r.k, r.kind) for r in diff.collect()] == [(1, "changed")]
 
 
 def test_summary(spark):
