@@ -4,7 +4,9 @@ A fingerprint has a bit for each bit of the hash of a document's word shingles t
 radius are linked, links are followed to components. Only distinct fingerprints are compared; copies share one.
 
 Candidates meet in cells. With ``radius`` differing bits at most, two fingerprints cut into radius + 1 stretches agree on at least one
-stretch, so a cell for each stretch and value loses no link (`exact_keys`). A cell's fingerprints are sorted by Gray rank, so that
+stretch, so a cell for each stretch and value loses no link (`exact_keys`). Within a cell the same holds for the bits outside its
+stretch, so a cell that would need more chunks (below) than that takes copies is first parted by stretches of those bits (`finer_rows`),
+which loses no link either. A cell's fingerprints are sorted by Gray rank, so that
 neighbours differ in few bits; runs of them form leaves, runs of leaves upper nodes. A node holds the bits that all below
 it share (mask and pattern). Two nodes are compared by their masks first: bits shared on both sides that differ are a
 lower bound of any distance below, and pairs of groups beyond the radius are pruned whole; the rest is opened. Per cell
@@ -114,6 +116,27 @@ def cell_rows(fps: DataFrame, keys: list[list[int]]) -> DataFrame:
     return map_batches(fps.select("fp"), lambda: work, "table int, key bigint, fp binary")
 
 
+def finer_rows(cells: DataFrame, keys: list[list[int]], radius: int, bits: int = 64) -> DataFrame:
+    """cells (table, key, fp) of `keys` -> the same columns for parts of the cells: a row for each of radius + 1 stretches of the other bits."""
+    parts = [[p.tolist() for p in np.array_split(np.setdiff1d(np.arange(bits), k), radius + 1)] for k in keys]
+    wide = max(len(p) for own in parts for p in own)
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        table, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        set_bits = np.unpackbits(np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(len(table), -1), axis=1)
+        tables, inner, at = [], [], []
+        for t in np.unique(table).tolist():
+            own = np.flatnonzero(table == t)
+            for i, p in enumerate(parts[t]):
+                tables.append(np.full(len(own), len(keys) + t * (radius + 1) + i, np.int32))
+                inner.append((key[own] << wide) | (set_bits[own][:, p].astype(np.int64) @ (1 << np.arange(len(p), dtype=np.int64))))
+                at.append(own)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(tables)), pa.array(np.concatenate(inner)), batch.column(2).take(pa.array(np.concatenate(at)))], names=["table", "key", "fp"])
+
+    return map_batches(cells.select("table", "key", "fp"), lambda: work, "table int, key bigint, fp binary")
+
+
 def gray_rank(words: np.ndarray) -> np.ndarray:
     """Places of fingerprints (n x words, most significant first) in the reflected Gray code: each bit XORed with all before it."""
     g = words.copy()
@@ -204,10 +227,22 @@ def forest(n: int, a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> list[int]
     return out
 
 
-def cell_links(cells: DataFrame, radius: int, cell: int = CELL) -> DataFrame:
-    """Links (a, b: fingerprints) of a shortest forest of each cell; `cells` as made by `cell_rows`."""
-    large = cells.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell)
-    sized = cells.join(large.select("table", "key", F.ceil(F.col("n") / cell).cast("int").alias("chunks")), ["table", "key"], "left")
+def _large(cells: DataFrame, cell: int) -> DataFrame:
+    """table, key and chunks of the cells with more than `cell` fingerprints: at most one for each `cell` rows."""
+    counted = cells.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell)
+    return counted.select("table", "key", F.ceil(F.col("n") / cell).cast("int").alias("chunks"))
+
+
+def cell_links(cells: DataFrame, radius: int, cell: int = CELL, keys: list[list[int]] | None = None) -> DataFrame:
+    """Links (a, b: fingerprints) of a shortest forest of each cell; `cells` as made by `cell_rows`.
+
+    With `keys`, the 64-bit `exact_keys` that made the cells, cells of more than radius + 1 chunks are parted first.
+    """
+    large = _large(cells, cell)
+    sized = cells.join(large, ["table", "key"], "left")
+    if keys:
+        parted = finer_rows(cells.join(large.where(F.col("chunks") > radius + 1), ["table", "key"], "left_semi"), keys, radius)
+        sized = sized.where(F.coalesce("chunks", F.lit(1)) <= radius + 1).unionByName(parted.join(_large(parted, cell), ["table", "key"], "left"))
     n = F.coalesce("chunks", F.lit(1))
     chunk = F.pmod(F.xxhash64("fp"), n).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), n - 1), lambda o: F.struct(
@@ -297,7 +332,8 @@ def linked_components(docs: DataFrame, size: int = 4, radius: int = 4, cell: int
     """doc_id, fingerprint (hex) and component_id of each row: the least doc_id reachable over links of at most `radius` bits."""
     prints = cut(fingerprints(docs, size))
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    edges = cell_links(cell_rows(distinct, exact_keys(radius)), radius, cell)
+    keys = exact_keys(radius)
+    edges = cell_links(cell_rows(distinct, keys), radius, cell, keys)
     found = components(distinct.withColumnRenamed("fp", "node"), edges)
     own = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "least").alias("component"))
     return prints.join(own, "fp").select("doc_id", _hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))

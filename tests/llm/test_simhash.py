@@ -50,7 +50,7 @@ def variants(seed, n, length, changes):
 def test_same_as_all_pairs(docs_of, sample):
     rows = [(50 + i, t) for i, t in enumerate(variants(1, 60, 300, 2) + variants(2, 40, 150, 3))]
     rows += [(1, None), (2, ""), (3, " \t"), (4, "One two"), (5, "one  two"), (6, "é x y z w"), (7, "w " * 50_000), (7, "w " * 50_000)]
-    for cell in (8, simhash.CELL):  # small cells: the grid of chunks
+    for cell in (2, 8, simhash.CELL):  # small cells: parts of cells, and the grid of chunks
         out = simhash.linked_components(docs_of(rows, "fp FINGERPRINT key node"), cell=cell).collect()
         assert sorted((r.doc_id, r.fingerprint, r.component_id) for r in out) == brute(rows)
     out = simhash.linked_components(docs_of(sample)).collect()
@@ -79,6 +79,32 @@ def test_tree_finds_all_pairs():
             assert {(x, y + half) for x, y in zip(a.tolist(), b.tolist())} == {(i, j) for i, j in want if i < half <= j}
 
 
+def test_parts_of_cells_lose_no_link(spark):
+    """Random fingerprints with 0 to 4 bits changed: all links survive the parting, which cells of one size only would not show."""
+    rng = np.random.default_rng(8)
+    fps = rng.integers(0, 2**63, 40, dtype=np.uint64)[rng.integers(0, 40, 900)]
+    for _ in range(3):
+        fps ^= np.uint64(1) << rng.integers(0, 64, 900).astype(np.uint64)
+    fps = np.unique(fps)
+    df = spark.createDataFrame([(bytearray(int(f).to_bytes(8, "big")), i) for i, f in enumerate(fps.tolist())], "fp binary, least long")
+    keys = simhash.exact_keys(4)
+    cells = simhash.cell_rows(df, keys)
+    assert simhash._large(cells, 3).where("chunks > 5").count() > 20
+    root = list(range(len(fps)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(fps)):
+        for j in np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= 4).tolist():
+            root[max(top(i), top(j))] = min(top(i), top(j))
+    found = simhash.components(df.withColumnRenamed("fp", "node"), simhash.cell_links(cells, 4, 3, keys))
+    got = {int.from_bytes(r.node, "big"): r.component for r in found.collect()}
+    assert [got.get(f, i) for i, f in enumerate(fps.tolist())] == [top(i) for i in range(len(fps))]
+
+
 def test_gray_rank_orders_the_code():
     codes = [i ^ (i >> 1) for i in range(200)]
     wide = np.array([[0, c] for c in codes], np.uint64)
