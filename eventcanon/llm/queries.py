@@ -61,4 +61,33 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLES = {"op2_stream_dedup": DEDUP_SQL, "op9_mixing": mixing.MIX_SQL}
+LEAKS_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark
+), asked AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS said
+  FROM (SELECT item, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), held AS (
+  SELECT rid, i, n, array_to_string(w[i:i + n - 1], ' ') AS said
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM asked) WHERE len(w) >= n)
+), found AS (
+  SELECT DISTINCT rid, i, n, item FROM held JOIN asked USING (n, said)
+), items AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM found) GROUP BY rid
+), places AS (
+  SELECT rid, p, p - row_number() OVER (PARTITION BY rid ORDER BY p) AS run FROM (SELECT DISTINCT rid, unnest(range(i - 1, i - 1 + n)) AS p FROM found)
+), runs AS (
+  SELECT rid, min(p) AS a, max(p) + 1 AS b FROM places GROUP BY rid, run
+), spans AS (
+  SELECT rid, sum(b - a) AS n_hit, string_agg(a || ':' || b, ',' ORDER BY a) AS spans FROM runs GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated, coalesce(spans, '') AS spans
+FROM d LEFT JOIN items USING (rid) LEFT JOIN spans USING (rid)
+"""
+
+ORACLES = {"op2_stream_dedup": DEDUP_SQL, "op6_decontaminate": LEAKS_SQL, "op9_mixing": mixing.MIX_SQL}
