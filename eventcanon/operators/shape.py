@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventcanon.functions.json import to_json_full, with_json
-from eventcanon.functions.keys import EXTERNAL_ID_FIELDS, idem_key, suffixed
+from eventcanon.functions.keys import EXTERNAL_ID_FIELDS, ID_FIELD_BY_SOURCE, idem_key, suffixed
 from eventcanon.functions.time import Instant, as_of_lit
 
 
@@ -135,12 +135,17 @@ def raw_rows(
     as_of: Instant | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Landed JSON text to rows of the raw table. Without `id_path` the usual id fields are probed.
+    """Landed JSON text to rows of the raw table.
+
+    Without `id_path` the id is the field that `ID_FIELD_BY_SOURCE` names for the source and type; for others the usual id
+    fields are probed.
 
     Columns of `landed` named in `keep` are carried along.
 
     Rows without an id get a NULL key; split them off with `bad_rows` before merging.
     """
+    if id_path is None and (source_system, object_type) in ID_FIELD_BY_SOURCE:
+        id_path = f"$.{ID_FIELD_BY_SOURCE[source_system, object_type]}"
     if id_path:
         rows = with_json(landed, payload, values={"__id": id_path}).withColumn("external_id", _truthy(F.col("__id")))
     else:

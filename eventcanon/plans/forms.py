@@ -21,6 +21,9 @@ BINDINGS = {
     "followup": "google-forms-followup",
 }
 
+#: Stands for the subject of a form without an address.
+UNKNOWN_SUBJECT = "unknown@example.com"
+
 ANSWERS = "array<struct<question_id: string, answer_type: string, answer_value: string>>"
 
 
@@ -61,10 +64,10 @@ def measurement_events(
     )
 
 
-def scoring_items(events: DataFrame) -> DataFrame:
-    """Answers of each event as rows: field_key, position from 1, answer; subject ``contact::email``."""
+def scoring_items(events: DataFrame, unknown: str = UNKNOWN_SUBJECT) -> DataFrame:
+    """Answers of each event as rows: field_key, position from 1, answer; subject ``contact::email``, with `unknown` for none."""
     answers = F.from_json("metadata", f"answers {ANSWERS}")["answers"]
-    subject = F.concat(F.lit("contact::"), F.coalesce("subject_id", F.lit("unknown@example.com")))
+    subject = F.concat(F.lit("contact::"), F.coalesce("subject_id", F.lit(unknown)))
     return events.select(
         "measurement_event_id", "binding_id", "binding_version", "occurred_at", "correlation_id",
         subject.alias("subject_id"), F.posexplode(answers).alias("__pos", "__a"),
@@ -132,14 +135,14 @@ def without_binding(observed: DataFrame, events: DataFrame, binding_id: str) ->
     return observed.join(mine, ["measurement_event_id"], "left_anti")
 
 
-def scoring_input(events: DataFrame) -> DataFrame:
-    """Events as one scoring document each: form_id, submission id, subject, time and items."""
+def scoring_input(events: DataFrame, unknown: str = UNKNOWN_SUBJECT) -> DataFrame:
+    """Events as one scoring document each: form_id, submission id, subject (`unknown` for none), time and items."""
     answers = F.from_json("metadata", f"answers {ANSWERS}")["answers"]
     items = F.transform(
         answers,
         lambda a, i: F.struct(a["question_id"].alias("field_key"), (i + 1).alias("position"), a["answer_value"].alias("answer")),
     )
-    subject = F.concat(F.lit("contact::"), F.coalesce("subject_id", F.lit("unknown@example.com")))
+    subject = F.concat(F.lit("contact::"), F.coalesce("subject_id", F.lit(unknown)))
     return events.select(
         F.concat(F.lit("googleforms::"), "form_id").alias("form_id"), F.col("source_id").alias("form_submission_id"),
         subject.alias("subject_id"), F.col("occurred_at").alias("timestamp"), items.alias("items"),

@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventcanon.functions.json import to_json_full
-from eventcanon.operators import checks, merge
+from eventcanon.operators import checks, merge, shape
 from eventcanon.plans import context_views as xv
 from eventcanon.plans import derived as d
 from eventcanon.plans import forms as fm
+from eventcanon.plans import registry
 from eventcanon.plans import reports as rp
 from eventcanon.plans.queries import query
 from eventcanon.plans.queries_tables import workspace
+from eventcanon.plans.queries_views import PROJECT_FOLD
 from eventcanon.sources import reads, sinks
 from eventcanon.sources.catalog import Catalog
 
@@ -176,3 +178,26 @@ def _(spark, sf):
     label = F.get(F.filter("labels", lambda x: x != "INBOX"), 0)
     once = rows.dropDuplicates(["idem_key"])
     return once.groupBy(F.coalesce(label, F.lit("view")).alias("event_type")).agg(F.count("*").alias("mails"), F.min("received_at").alias("first_at"))
+
+
+@query("keys_by_source", """
+SELECT 'dataverse:main:session:' || o_orderkey AS idem_key, o_orderkey::VARCHAR AS external_id FROM orders WHERE o_orderstatus <> 'F'
+UNION ALL SELECT 'google_forms:main:form_response:r' || o_orderkey, 'r' || o_orderkey FROM orders
+UNION ALL SELECT NULL, NULL FROM orders WHERE o_orderstatus = 'F'""")
+def _(spark, sf):
+    """The id field depends on source and type; another field named id is not taken for it, and rows without the field have no key."""
+    o = d.load(spark, sf, "orders")
+    session = F.when(F.col("o_orderstatus") != "F", F.col("o_orderkey"))
+    sessions = o.select(to_json_full(session.alias("cre92_clientsessionid"), F.col("o_custkey").alias("id")).alias("payload"))
+    forms = o.select(to_json_full(F.concat(F.lit("r"), "o_orderkey").alias("responseId"), F.col("o_custkey").alias("id")).alias("payload"))
+    rows = [shape.raw_rows(r, *k, as_of=d.AS_OF) for r, k in ((sessions, ("dataverse", "main", "session")), (forms, ("google_forms", "main", "form_response")))]
+    return rows[0].union(rows[1]).select("idem_key", "external_id")
+
+
+@query("materialised_by_name", PROJECT_FOLD)
+def _(spark, sf):
+    """A view of the registry written as the next version of a table, twice, and read back."""
+    table = Catalog(spark, workspace(spark)).table("views", "view_pm_projects")
+    for _ in range(2):
+        registry.materialise("view_pm_projects", {"domain_events": d.domain_events(spark, sf, d.project_log)}, table)
+    return table.read()
