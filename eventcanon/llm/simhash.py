@@ -54,7 +54,10 @@ def shingles(text: str, size: int) -> list[bytes]:
 
 def fingerprint(text: str, size: int, words: int = 1) -> bytes:
     """`words` times 64 bits, most significant byte first; further words hash with the seeds that follow."""
-    said = shingles(text, size)
+    return print_of_shingles(shingles(text, size), words)
+
+
+def print_of_shingles(said: list[bytes], words: int = 1) -> bytes:
     out = b""
     for w in range(words):
         digest = xxhash.xxh64_digest
@@ -66,6 +69,12 @@ def fingerprint(text: str, size: int, words: int = 1) -> bytes:
     return out
 
 
+def set_print(text: str, size: int, words: int) -> bytes:
+    """A fingerprint, and behind it 128 bits that name the set of shingles: texts share it only if they have the same shingles."""
+    said = shingles(text, size)
+    return print_of_shingles(said, words) + xxhash.xxh3_128_digest(b"\n".join(sorted(set(said))))
+
+
 def fingerprints(docs: DataFrame, size: int, words: int = 1) -> DataFrame:
     """doc_id and fp (binary) of each row."""
 
@@ -233,9 +242,10 @@ def _large(cells: DataFrame, cell: int) -> DataFrame:
     return counted.select("table", "key", F.ceil(F.col("n") / cell).cast("int").alias("chunks"))
 
 
-def cell_links(cells: DataFrame, radius: int, cell: int = CELL, keys: list[list[int]] | None = None) -> DataFrame:
+def cell_links(cells: DataFrame, radius: int, cell: int = CELL, keys: list[list[int]] | None = None, width: int | None = None) -> DataFrame:
     """Links (a, b: fingerprints) of a shortest forest of each cell; `cells` as made by `cell_rows`.
 
+    With `width`, only so many leading bytes of fp are the fingerprint; what follows tells apart what has the same one.
     With `keys`, the 64-bit `exact_keys` that made the cells, cells of more than radius + 1 chunks are parted first.
     """
     large = _large(cells, cell)
@@ -254,7 +264,7 @@ def cell_links(cells: DataFrame, radius: int, cell: int = CELL, keys: list[list[
         fps, side = np.concatenate(rows), np.concatenate(sides)
         if len(fps) < 2:
             return
-        words = np.ascontiguousarray(fps).view(">u8").astype(np.uint64).reshape(len(fps), -1)
+        words = np.ascontiguousarray(fps[:, :width]).view(">u8").astype(np.uint64).reshape(len(fps), -1)
         order = np.lexsort([*gray_rank(words).T[::-1], side])
         fps, words, n_left = fps[order], words[order], int((side == 0).sum())
         a, b, apart = links(words, None, radius) if n_left in (0, len(fps)) else links(words[:n_left], words[n_left:], radius)
@@ -362,20 +372,20 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, cell: i
     `near_first`, true for the row that stands for its group (of equal rows, for each).
 
     128-bit fingerprints meet in 24 tables of 12 drawn bits and link within 32 bits; links are then verified on the
-    shingles themselves. Texts of one fingerprint are taken as one: all shingles make it, so they are copies but for the order of parts.
+    shingles themselves. Only texts with the same set of shingles are taken as one; different sets under one fingerprint are links like others.
     A document without doc_id goes by a negative number made from its text. Columns named like the new ones are replaced.
     """
     rid = F.coalesce(F.col("doc_id").cast("long"), -F.pmod(F.xxhash64(text_of()), F.lit(1 << 62)) - 1)
     keyed = docs.select(F.struct(rid.alias("rid"), F.xxhash64(text_of()).alias("tid")).alias("me"), text_of().alias("text"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps = [fingerprint(t, size, NEAR["bits"] // 64) for t in batch.column(1).to_pylist()]
+        fps = [set_print(t, size, NEAR["bits"] // 64) for t in batch.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary())], names=["me", "fp"])
 
     prints = cut(map_batches(keyed, lambda: work, "me struct<rid: bigint, tid: bigint>, fp binary"))
     distinct = cut(prints.groupBy("fp").agg(F.min("me").alias("least")))
     cells = cell_rows(distinct, drawn_keys(NEAR["tables"], NEAR["width"], NEAR["bits"]))
-    edges = cut(cell_links(cells, NEAR["radius"], cell).distinct())
+    edges = cut(cell_links(cells, NEAR["radius"], cell, width=NEAR["bits"] // 8).distinct())
     ends = edges.select(F.col("a").alias("fp")).union(edges.select("b")).distinct()
     chosen = distinct.join(ends, "fp", "left_semi").select("fp", F.col("least").alias("me"))
     read = chosen.join(keyed, "me").groupBy("fp").agg(F.min("text").alias("text"))

@@ -138,3 +138,16 @@ def test_stage_keeps_one_of_each(docs_of):
     assert len(missed) <= 0.1 * len(pairs) and len(pairs) > 60
     assert len(simhash.one_of_each(docs_of([(1, "a b c d e f"), (1, "a b c d e f")])).collect()) == 1
     assert simhash.one_of_each(docs_of([])).count() == 0
+
+
+def groups_of(docs):
+    return {r.doc_id: r.near_group for r in simhash.near_groups(docs).collect()}
+
+
+def test_one_repeated_line_does_not_join_texts(docs_of):
+    """Repeats outvote all else in a fingerprint with repeats; different sets of shingles are verified all the same."""
+    line = "this very line stands in many of the logs\n"
+    rows = [(i, line * 40 + " ".join(f"d{i}w{k}" for k in range(60))) for i in (1, 2)] + [(i, "again " * 120 + " ".join(f"d{i}w{k}" for k in range(100))) for i in (3, 4)]
+    assert simhash.fingerprint(rows[0][1], 5, 2) == simhash.fingerprint(rows[1][1], 5, 2)
+    rows += [(5, "a b c d e f " * 9), (6, "a b c d e f " * 11)]  # one set of shingles
+    assert groups_of(docs_of(rows)) == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 5}
