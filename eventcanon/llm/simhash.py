@@ -70,9 +70,9 @@ def print_of_shingles(said: list[bytes], words: int = 1) -> bytes:
 
 
 def set_print(text: str, size: int, words: int) -> bytes:
-    """A fingerprint, and behind it 128 bits that name the set of shingles: texts share it only if they have the same shingles."""
-    said = shingles(text, size)
-    return print_of_shingles(said, words) + xxhash.xxh3_128_digest(b"\n".join(sorted(set(said))))
+    """A fingerprint of the distinct shingles, and behind it 128 bits that name their set: texts share it only if they have the same shingles."""
+    said = sorted(set(shingles(text, size)))
+    return print_of_shingles(said, words) + xxhash.xxh3_128_digest(b"\n".join(said))
 
 
 def fingerprints(docs: DataFrame, size: int, words: int = 1) -> DataFrame:
@@ -371,7 +371,7 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, cell: i
     """Columns of `docs` with `near_group`, the least doc_id of the documents linked by a similarity of at least `similarity`, and
     `near_first`, true for the row that stands for its group (of equal rows, for each).
 
-    128-bit fingerprints meet in 24 tables of 12 drawn bits and link within 32 bits; links are then verified on the
+    128-bit fingerprints of the distinct shingles, whose similarity is what counts, meet in 24 tables of 12 drawn bits and link within 32 bits; links are then verified on the
     shingles themselves. Only texts with the same set of shingles are taken as one; different sets under one fingerprint are links like others.
     A document without doc_id goes by a negative number made from its text. Columns named like the new ones are replaced.
     """

@@ -151,3 +151,17 @@ def test_one_repeated_line_does_not_join_texts(docs_of):
     assert simhash.fingerprint(rows[0][1], 5, 2) == simhash.fingerprint(rows[1][1], 5, 2)
     rows += [(5, "a b c d e f " * 9), (6, "a b c d e f " * 11)]  # one set of shingles
     assert groups_of(docs_of(rows)) == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 5}
+
+
+def test_repeats_do_not_hide_near_copies(docs_of):
+    """Texts and the same with a line repeated 30 or 60 times are alike in the set of shingles, so nearly all of them meet."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(40):
+        words = [f"t{i}w{rng.randrange(4000)}" for _ in range(200)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words + words[-9:] * (30 + 30 * (i % 2))))]
+    sets = {d: set(simhash.shingles(t, 5)) for d, t in rows}
+    assert all(len(sets[d] & sets[d + 1]) >= 0.9 * len(sets[d] | sets[d + 1]) for d in range(0, 80, 2))
+    found = groups_of(docs_of(rows))
+    assert sum(found[d + 1] == d for d in range(0, 80, 2)) >= 36
+    assert all(found[d] // 2 == d // 2 for d in found)
