@@ -15,7 +15,8 @@ Cells with more than CELL fingerprints are split by hash into a grid of chunks;
 task, so no cell grows with the data and none is cut.
 
 For a similarity below what a small radius reaches (`near_groups`), cells come from drawn sets of bits of a 128-bit fingerprint, and links
-are verified by the shingles' Jaccard similarity; the recall is measured in the tests.
+are verified by the shingles' Jaccard similarity: first those of each cell's forest, then all others between groups that are still apart
+(`apart_links`), so no candidate goes unverified. The recall of the cells is measured in the tests.
 
 NULL and empty texts have fingerprint zero and link like any other. Repeated rows are copies. NULL ids are passed over when the
 least doc_id is taken; a component of NULL ids alone has a NULL id.
@@ -242,6 +243,16 @@ def _large(cells: DataFrame, cell: int) -> DataFrame:
     return counted.select("table", "key", F.ceil(F.col("n") / cell).cast("int").alias("chunks"))
 
 
+def _grid(sized: DataFrame) -> DataFrame:
+    """Cells with their number of chunks (NULL: one), dealt so that every pair of chunks (i, j) of a cell lies together."""
+    n = F.coalesce("chunks", F.lit(1))
+    chunk = F.pmod(F.xxhash64("fp"), n).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), n - 1), lambda o: F.struct(
+        F.least(chunk, o).alias("i"), F.greatest(chunk, o).alias("j"), F.when(chunk <= o, 0).otherwise(1).alias("side")))
+    grid = sized.select("table", "key", "fp", F.explode(pairs).alias("p")).select("table", "key", "p.i", "p.j", "p.side", "fp")
+    return grid.repartition("table", "key", "i", "j").sortWithinPartitions("table", "key", "i", "j", "side")
+
+
 def cell_links(cells: DataFrame, radius: int, cell: int = CELL, keys: list[list[int]] | None = None, width: int | None = None) -> DataFrame:
     """Links (a, b: fingerprints) of a shortest forest of each cell; `cells` as made by `cell_rows`.
 
@@ -253,12 +264,7 @@ def cell_links(cells: DataFrame, radius: int, cell: int = CELL, keys: list[list[
     if keys:
         parted = finer_rows(cells.join(large.where(F.col("chunks") > radius + 1), ["table", "key"], "left_semi"), keys, radius)
         sized = sized.where(F.coalesce("chunks", F.lit(1)) <= radius + 1).unionByName(parted.join(_large(parted, cell), ["table", "key"], "left"))
-    n = F.coalesce("chunks", F.lit(1))
-    chunk = F.pmod(F.xxhash64("fp"), n).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), n - 1), lambda o: F.struct(
-        F.least(chunk, o).alias("i"), F.greatest(chunk, o).alias("j"), F.when(chunk <= o, 0).otherwise(1).alias("side")))
-    grid = sized.select("table", "key", "fp", F.explode(pairs).alias("p")).select("table", "key", "p.i", "p.j", "p.side", "fp")
-    dealt = grid.repartition("table", "key", "i", "j").sortWithinPartitions("table", "key", "i", "j", "side")
+    dealt = _grid(sized)
 
     def solve(rows: list[np.ndarray], sides: list[np.ndarray], out: list) -> None:
         fps, side = np.concatenate(rows), np.concatenate(sides)
@@ -364,6 +370,132 @@ def jaccard_links(docs: DataFrame, edges: DataFrame, size: int, similarity: floa
     return map_batches(both.select("a", "b", "s", "t"), lambda: work, "a binary, b binary")
 
 
+def _by_cell(dealt: DataFrame, solve, schema: str) -> DataFrame:
+    """What ``solve(cell, rows)`` gives for the rows of each pair of chunks; rows start with table, key, i, j and lie together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None
+        rows: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)], 1)
+            cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1).tolist(), len(ids)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                this = tuple(ids[lo].tolist())
+                if this != held and rows:
+                    yield from solve(held, pa.Table.from_batches(rows))
+                    rows = []
+                held = this
+                rows.append(batch.slice(lo, hi - lo))
+        if rows:
+            yield from solve(held, pa.Table.from_batches(rows))
+
+    return dealt.mapInArrow(run, schema)
+
+
+def _apart(rows: pa.Table, table: int, keys: list[list[int]], radius: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The raw rows, and the pairs of places within the radius that are in two groups and meet in no table before this one.
+
+    Rows have side and fp: `width` bytes of fingerprint first, the 16 bytes of the group last.
+    """
+    raw = rows.column("fp").to_pylist()
+    fps, side = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1), rows.column("side").to_numpy()
+    words = np.ascontiguousarray(fps[:, :width]).view(">u8").astype(np.uint64)
+    order = np.lexsort([*gray_rank(words).T[::-1], side])
+    fps, side, words, n_left = fps[order], side[order], words[order], int((side == 0).sum())
+    one = n_left in (0, len(fps))
+    a, b, _ = links(words, None, radius) if one else links(words[:n_left], words[n_left:], radius)
+    b = b if one else b + n_left
+    group = np.unique(fps[:, -16:], axis=0, return_inverse=True)[1].reshape(-1)
+    other = group[a] != group[b]
+    a, b = a[other], b[other]
+    bits = np.unpackbits(fps[:, :width], axis=1)
+    for k in keys[:table]:
+        value = bits[:, k].astype(np.int64) @ (1 << np.arange(len(k), dtype=np.int64))
+        new = value[a] != value[b]
+        a, b = a[new], b[new]
+    return fps, side, a, b
+
+
+def verified_links(a: np.ndarray, b: np.ndarray, group: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links that pass, of the pairs (a, b) of places: enough of them to join all groups that any passing pair joins.
+
+    Every pair is verified unless links that passed have joined its ends before.
+    """
+    root = list(range(int(group.max()) + 1))
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], b[order]
+    sizes = np.array([len(s) for s in sets])
+    said, held = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(sizes)
+    has = np.zeros(len(said), np.int64)
+    out = []
+    cuts = np.flatnonzero(np.r_[True, a[1:] != a[:-1], True])
+    for lo, hi in zip(cuts.tolist(), cuts[1:].tolist()):
+        x = int(a[lo])
+        mine = held[ends[x] - sizes[x] : ends[x]]
+        has[mine] = 1
+        for y in b[lo:hi].tolist():
+            if top(int(group[x])) != top(int(group[y])):
+                both = int(has[held[ends[y] - sizes[y] : ends[y]]].sum())
+                if both >= similarity * (int(sizes[x]) + int(sizes[y]) - both):
+                    root[top(int(group[x]))] = top(int(group[y]))
+                    out.append((x, y))
+        has[mine] = 0
+    return out
+
+
+def apart_links(nodes: DataFrame, texts: DataFrame, keys: list[list[int]], size: int, similarity: float, radius: int, width: int, cell: int = CELL) -> DataFrame:
+    """Links that pass between groups: every two `nodes` (fp, group: 16 bytes) that share a cell, are within the radius and in two
+    groups are verified on their distinct shingles, but for those joined by such links in the same task before -> a, b: groups.
+
+    Fingerprints meet first; only those with such a partner get their shingles (`texts`: fp, text), and a pair counts in the first table it meets in.
+    """
+    cells = cell_rows(nodes.select(F.concat("fp", "group").alias("fp")), keys)
+    dealt = _grid(cells.join(_large(cells, cell), ["table", "key"], "left"))
+
+    def meet(at: tuple, rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        if rows.num_rows < 2:
+            return
+        fps, side, a, b = _apart(rows, at[0], keys, radius, width)
+        named = np.unique(np.concatenate([a, b]))
+        if len(named):
+            whole = [fps[k].tobytes() for k in named.tolist()]
+            ids = [pa.array(np.full(len(named), v), t) for v, t in zip(at, (pa.int32(), pa.int64(), pa.int32(), pa.int32()))]
+            yield pa.RecordBatch.from_arrays(
+                [*ids, pa.array(side[named], pa.int32()), pa.array(whole, pa.binary()), pa.array([w[:-16] for w in whole], pa.binary())],
+                names=["table", "key", "i", "j", "side", "fp", "node"])
+
+    met = cut(_by_cell(dealt, meet, "table int, key bigint, i int, j int, side int, fp binary, node binary"))
+
+    def hashes(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [b"".join(sorted({xxhash.xxh64_digest(s, SEED) for s in shingles(t, size)})) for t in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "said"])
+
+    named = texts.join(met.select(F.col("node").alias("fp")).distinct(), "fp", "left_semi").select(F.col("fp").alias("node"), "text")
+    sets = map_batches(named, lambda: hashes, "node binary, said binary")
+    again = met.join(sets, "node").select("table", "key", "i", "j", "side", "fp", "said").repartition("table", "key", "i", "j").sortWithinPartitions("table", "key", "i", "j", "side")
+
+    def verify(at: tuple, rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        said = dict(zip(rows.column("fp").to_pylist(), rows.column("said").to_pylist()))
+        fps, _, a, b = _apart(rows, at[0], keys, radius, width)
+        sets = [np.frombuffer(said[f.tobytes()], np.uint64) for f in fps]
+        group = np.unique(fps[:, -16:], axis=0, return_inverse=True)[1].reshape(-1)
+        out = verified_links(a, b, group, sets, similarity)
+        if out:
+            yield _pairs([(fps[x, -16:].tobytes(), fps[y, -16:].tobytes()) for x, y in out])
+
+    return _by_cell(again, verify, "a binary, b binary")
+
+
 NEAR = {"bits": 128, "tables": 24, "width": 12, "radius": 32}
 
 
@@ -372,7 +504,7 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, cell: i
     `near_first`, true for the row that stands for its group (of equal rows, for each).
 
     128-bit fingerprints of the distinct shingles, whose similarity is what counts, meet in 24 tables of 12 drawn bits and link within 32 bits; links are then verified on the
-    shingles themselves. Only texts with the same set of shingles are taken as one; different sets under one fingerprint are links like others.
+    shingles themselves: first those of the cells' forests, then every candidate whose ends are still in two groups. Only texts with the same set of shingles are taken as one; different sets under one fingerprint are links like others.
     A document without doc_id goes by a negative number made from its text. Columns named like the new ones are replaced.
     """
     rid = F.coalesce(F.col("doc_id").cast("long"), -F.pmod(F.xxhash64(text_of()), F.lit(1 << 62)) - 1)
@@ -384,13 +516,20 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, cell: i
 
     prints = cut(map_batches(keyed, lambda: work, "me struct<rid: bigint, tid: bigint>, fp binary"))
     distinct = cut(prints.groupBy("fp").agg(F.min("me").alias("least")))
-    cells = cell_rows(distinct, drawn_keys(NEAR["tables"], NEAR["width"], NEAR["bits"]))
-    edges = cut(cell_links(cells, NEAR["radius"], cell, width=NEAR["bits"] // 8).distinct())
+    keys, width = drawn_keys(NEAR["tables"], NEAR["width"], NEAR["bits"]), NEAR["bits"] // 8
+    edges = cut(cell_links(cell_rows(distinct, keys), NEAR["radius"], cell, width=width).distinct())
     ends = edges.select(F.col("a").alias("fp")).union(edges.select("b")).distinct()
     chosen = distinct.join(ends, "fp", "left_semi").select("fp", F.col("least").alias("me"))
-    read = chosen.join(keyed, "me").groupBy("fp").agg(F.min("text").alias("text"))
+    read = cut(chosen.join(keyed, "me").groupBy("fp").agg(F.min("text").alias("text")))
     found = components(distinct.withColumnRenamed("fp", "node"), jaccard_links(read, edges, size, similarity))
-    own = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "least").alias("group"))
+    own = cut(distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "least").alias("group")))
+    named = F.concat(*[F.unhex(F.lpad(F.hex(F.col(f"group.{c}")), 16, "0")) for c in ("rid", "tid")])
+    # the forests leave out links that hold where shorter ones joined their ends and then failed: those are verified here
+    more = cut(apart_links(own.join(ends, "fp", "left_semi").select("fp", named.alias("group")), read, keys, size, similarity, NEAR["radius"], width, cell).distinct())
+    if more.limit(1).count():
+        groups = own.select(named.alias("node"), F.col("group").alias("least")).distinct()
+        joined = components(groups, more).withColumnRenamed("component", "joined")
+        own = own.withColumn("node", named).join(joined, "node", "left").select("fp", F.coalesce("joined", "group").alias("group"))
     of_doc = prints.join(own, "fp").groupBy("me").agg(F.min("group").alias("group"))
     joined = docs.withColumn("__me", F.struct(rid.alias("rid"), F.xxhash64(text_of()).alias("tid"))).join(of_doc.withColumnRenamed("me", "__me").withColumnRenamed("group", "__group"), "__me")
     return with_new(joined, near_group=F.col("__group.rid"), near_first=F.col("__me") == F.col("__group")).select(

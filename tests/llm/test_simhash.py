@@ -165,3 +165,39 @@ def test_repeats_do_not_hide_near_copies(docs_of):
     found = groups_of(docs_of(rows))
     assert sum(found[d + 1] == d for d in range(0, 80, 2)) >= 36
     assert all(found[d] // 2 == d // 2 for d in found)
+
+
+def test_no_candidate_goes_unverified(docs_of):
+    """A family of alike texts, most below the similarity and within the radius: every pair above it that shares a cell is joined."""
+    rng = random.Random(6)
+    base = [f"b{k}" for k in range(400)]
+    rows = []
+    for i in range(150):
+        v = list(base)
+        for k in rng.sample(range(400), 16):
+            v[k] = f"x{i}y{k}"
+        rows.append((i, v))
+    for i in range(30):
+        v = list(rows[5 * i][1])
+        for k in rng.sample(range(400), 6):
+            v[k] = f"z{i}y{k}"
+        rows.append((1000 + i, v))
+    rows = [(d, " ".join(v)) for d, v in rows]
+    sets = [set(simhash.shingles(t, 5)) for _, t in rows]
+    bits = [np.unpackbits(np.frombuffer(simhash.set_print(t, 5, 2)[:16], np.uint8)) for _, t in rows]
+    keys = simhash.drawn_keys(24, 12, 128)
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if (bits[i] != bits[j]).sum() <= 32 and any((bits[i][k] == bits[j][k]).all() for k in keys)]
+    holds = [(i, j) for i, j in near if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert len(near) > 3000 and 20 <= len(holds) < 60
+    root = list(range(len(rows)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, j in holds:
+        root[max(top(i), top(j))] = min(top(i), top(j))
+    want = {rows[i][0]: rows[top(i)][0] for i in range(len(rows))}
+    for cell in (32, simhash.CELL):  # a small one: the grid of chunks
+        assert {r.doc_id: r.near_group for r in simhash.near_groups(docs_of(rows), cell=cell).collect()} == want
