@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventcanon.llm import chat, decontaminate, html_text, language_id, mixing, secrets, sharding, simhash, stream_dedup, toxicity
+from eventcanon.llm import chat, decontaminate, html_text, language_id, mixing, packing, periodic, secrets, sharding, simhash, stream_dedup, structure, toxicity
 from eventcanon.llm.common import table
 
 
@@ -51,9 +51,24 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.linked_components(table(spark, sf, "documents"))
 
 
+def op11_structure(spark: SparkSession, sf: str) -> DataFrame:
+    return structure.report(table(spark, sf, "conversations"))
+
+
+def op12_periodic(spark: SparkSession, sf: str) -> DataFrame:
+    return periodic.report(table(spark, sf, "documents"))
+
+
+def op13_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_secrets, op2_stream_dedup, op3_toxicity, op4_sharding, op5_language, op6_decontaminate, op7_html_text, op8_chat_format, op9_mixing, op10_simhash)
+        op1_secrets, op2_stream_dedup, op3_toxicity, op4_sharding, op5_language, op6_decontaminate, op7_html_text, op8_chat_format, op9_mixing, op10_simhash,
+        op11_structure, op12_periodic, op13_packing)
 }
 
 DEDUP_SQL = """
