@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import sys
 import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +56,28 @@ def with_new(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken], *[v.alias(n) for n, v in columns.items()])
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: a worker is used again by the next stage and would keep what this one grew to."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
+def modest(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run`, which gives its memory back when the task's rows are done."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def map_batches(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema) -> DataFrame:
     """What ``start()`` returns, called for each Arrow batch of `df` in the tasks that hold the rows; `start` runs once a task."""
 
@@ -62,7 +88,20 @@ def map_batches(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], pa
             if out.num_rows:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(modest(run), schema)
+
+
+def parts(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """`batch` in parts of about `most` bytes of text in a column, at least one row each, so that few texts are Python strings at a time."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    start, held = 0, 0
+    for i, n in enumerate(sizes):
+        if held and held + n > most:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if start < len(sizes):
+        yield batch.slice(start)
 
 
 def blocks(texts: list[str], most: int = 8_000_000) -> Iterator[tuple[int, int]]:

@@ -6,8 +6,10 @@ window fits there. The FM-index of the shard holds the Burrows-Wheeler transform
 positions of every SAMPLE-th place of the text. All windows are searched backwards together through wavelet ranks; occurrences are
 located by stepping to a sampled place, and the spans found are merged into removal spans.
 
-The benchmark is read in blocks of at most BLOCK_CHARS characters (or one item); each block is a pass over the documents, and passes add to
-each other without a shuffle, so that its size is not bounded by a task's memory.
+The benchmark is written to the shared folder once. Every task reads it from there as a stream of blocks of at most BLOCK_CHARS characters (or one
+item): first to learn which of its shard's words the benchmark asks for, then, with the shard's index built, to search block by
+block. So the index is built once, one block is held at a time, and the plan is one pass for a benchmark of any size. A
+benchmark of one block is kept by the task.
 
 NULL text has no words; items without words have no windows; a NULL item_id is written as an empty string; repeated items
 count once for each item_id. One row comes out per row that went in. Other columns are not read.
@@ -17,18 +19,21 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventcanon.llm.common import blocks, map_batches, text_of, with_new
+from eventcanon.llm.common import modest, parts, shared_folder, text_of, with_new
 
 WINDOW = 10
 SAMPLE = 16
-SHARD_CHARS = 8_000_000
+SHARD_CHARS = 4_000_000
 BLOCK_CHARS = 4_000_000
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")  # before lower-casing
 #: UTF-8 bytes: A-Z lower-cased, all that is in no word turned into a space.
@@ -145,135 +150,188 @@ class FMIndex:
 
 
 class Phrases:
-    """The windows of one block of benchmark items over word numbers (1 is the separator, words start at 2)."""
+    """The windows of one block of benchmark items."""
 
     def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
-        self.number: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set[int]] = {}
-        self.ids = [i for i, _ in items]
-        for k, (_, text) in enumerate(items):
-            ws = [self.number.setdefault(w, len(self.number) + 2) for w in words_of(text)]
+        found: dict[tuple[bytes, ...], set[str]] = {}
+        for item, text in items:
+            ws = words_of(text)
             for i in range(max(1, len(ws) - window + 1) if ws else 0):
-                found.setdefault(tuple(ws[i : i + window]), set()).add(k)
-        self.lengths = np.array([len(w) for w in found], np.int64)
-        self.windows = np.zeros((len(found), window), np.int64)
-        for r, w in enumerate(found):
-            self.windows[r, window - len(w) :] = w
-        self.items = [sorted(s) for s in found.values()]
-        self.shortest = int(self.lengths.min()) if found else 0
-
-    def scan(self, texts: list[str]) -> list[tuple[int, list[tuple[int, int]], set[int]]]:
-        """For each text: number of words, merged spans of words (end exclusive), items found."""
+                found.setdefault(tuple(ws[i : i + window]), set()).add(item)
+        self.window, self.windows, self.items = window, list(found), list(found.values())
+        self.words = {w for ws in found for w in ws}
+        self.shortest = min(map(len, found), default=0)
+
+
+class Shard:
+    """The texts of a shard, an FM-index over their words that the benchmark asks for, and what is found in them."""
+
+    def __init__(self, texts: list[str]):
         per_doc = [words_of(t) for t in texts]
-        counts = [len(w) for w in per_doc]
-        out = [(n, [], set()) for n in counts]
+        self.counts = np.array([len(w) for w in per_doc], np.int64)
+        self.number: dict[bytes, int] = {b"": 0}  # no word: the end of a text
+        setdefault = self.number.setdefault
+        self.ids = np.fromiter((setdefault(w, len(self.number)) for ws in per_doc for w in (*ws, b"")), np.int64, int(self.counts.sum()) + len(texts))
+        self.first = np.concatenate(([0], np.cumsum(self.counts + 1)))
+        self.asked = np.zeros(len(self.number), bool)
+        self.shortest = 0
+        self.index: FMIndex | None = None
+        self.cover = np.zeros(len(self.ids) + 1, np.int64)
+        self.items: list[set[str]] = [set() for _ in texts]
+
+    def ask(self, phrases: Phrases) -> None:
+        if phrases.shortest:
+            self.shortest = min(self.shortest or phrases.shortest, phrases.shortest)
+            get = self.number.get
+            self.asked[[k for k in (get(w) for w in phrases.words) if k]] = True
+
+    def build(self) -> None:
+        """The index over the stretches of words asked for that are long enough for a window."""
         if not self.shortest:
-            return out
-        get = self.number.get
-        ids = np.fromiter((get(w, 0) for ws in per_doc for w in (*ws, b"")), np.int64, sum(counts) + len(counts))
-        del per_doc
-        inside = np.concatenate(([False], ids > 0, [False]))
+            return
+        inside = np.concatenate(([False], self.asked[self.ids], [False]))
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[::2], edges[1::2]
         long = ends - starts >= self.shortest
-        starts, ends = starts[long], ends[long]
+        starts, lengths = starts[long], (ends - starts)[long]
         if not len(starts):
-            return out
-        lengths = ends - starts
+            return
         to = np.concatenate(([0], np.cumsum(lengths + 1)))
-        symbols = np.ones(to[-1], np.int64)
-        place = np.zeros(to[-1], np.int64)
-        spots = np.arange(lengths.sum()) + np.repeat(to[:-1] - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
-        source = np.arange(lengths.sum()) + np.repeat(starts - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths)
-        symbols[spots], place[spots] = ids[source], source
-        index = FMIndex(symbols, len(self.number) + 2)
-        lo, hi = index.search(self.windows, self.lengths)
+        before = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+        run = np.arange(lengths.sum())
+        spots, source = run + np.repeat(to[:-1] - before, lengths), run + np.repeat(starts - before, lengths)
+        self.symbol = np.zeros(len(self.number), np.int64)  # 1 is the separator, words asked for start at 2
+        self.symbol[self.asked] = np.arange(2, 2 + self.asked.sum())
+        symbols, self.place = np.ones(to[-1], np.int64), np.zeros(to[-1], np.int64)
+        symbols[spots], self.place[spots] = self.symbol[self.ids[source]], source
+        self.index = FMIndex(symbols, int(self.asked.sum()) + 2)
+
+    def search(self, phrases: Phrases) -> None:
+        if self.index is None or not phrases.windows:
+            return
+        get = self.number.get
+        known = [(k, [get(w, 0) for w in ws]) for k, ws in enumerate(phrases.windows)]
+        known = [(k, ws) for k, ws in known if all(ws)]
+        if not known:
+            return
+        lengths = np.array([len(ws) for _, ws in known], np.int64)
+        windows = np.zeros((len(known), phrases.window), np.int64)
+        for r, (_, ws) in enumerate(known):
+            windows[r, phrases.window - len(ws) :] = self.symbol[ws]
+        lo, hi = self.index.search(windows, lengths)
         hit = np.flatnonzero(hi > lo)
         if not len(hit):
-            return out
+            return
         many = hi[hit] - lo[hit]
         window = np.repeat(hit, many)
         rows = np.arange(many.sum()) + np.repeat(lo[hit] - np.concatenate(([0], np.cumsum(many)[:-1])), many)
-        begin = place[index.locate(rows)]
-        cover = np.zeros(len(ids) + 1, np.int64)
-        np.add.at(cover, begin, 1)
-        np.add.at(cover, begin + self.lengths[window], -1)
-        covered = np.concatenate(([False], np.cumsum(cover[:-1]) > 0, [False]))
+        begin = self.place[self.index.locate(rows)]
+        np.add.at(self.cover, begin, 1)
+        np.add.at(self.cover, begin + lengths[window], -1)
+        owner = np.searchsorted(self.first, begin, side="right") - 1
+        for p in np.unique(owner * len(known) + window).tolist():
+            self.items[p // len(known)].update(phrases.items[known[p % len(known)][0]])
+
+    def found(self) -> list[tuple[int, list[tuple[int, int]], list[str]]]:
+        """For each text: number of words, merged spans of words (end exclusive), items found, sorted."""
+        spans: list[list[tuple[int, int]]] = [[] for _ in self.items]
+        covered = np.concatenate(([False], np.cumsum(self.cover[:-1]) > 0, [False]))
         turns = np.flatnonzero(covered[1:] != covered[:-1])
-        first = np.concatenate(([0], np.cumsum(np.array(counts) + 1)))
-        owner = np.searchsorted(first, turns[::2], side="right") - 1
+        owner = np.searchsorted(self.first, turns[::2], side="right") - 1
         for d, a, b in zip(owner.tolist(), turns[::2].tolist(), turns[1::2].tolist()):
-            out[d][1].append((a - int(first[d]), b - int(first[d])))
-        pairs = np.unique((np.searchsorted(first, begin, side="right") - 1) * len(self.windows) + window)
-        for p in pairs.tolist():
-            out[p // len(self.windows)][2].update(self.items[p % len(self.windows)])
-        return out
+            spans[d].append((a - int(self.first[d]), b - int(self.first[d])))
+        return list(zip(self.counts.tolist(), spans, map(sorted, self.items)))
 
 
-def benchmark_blocks(benchmark: DataFrame, most: int = BLOCK_CHARS) -> Iterator[list[tuple[str, str]]]:
-    """The items in blocks of bounded size, one block on the driver at a time."""
+def scan(texts: list[str], blocks_of: Callable[[], Iterable[Phrases]]) -> list[tuple[int, list[tuple[int, int]], list[str]]]:
+    """What `Shard.found` gives for the texts and all blocks of the benchmark."""
+    shard = Shard(texts)
+    for phrases in blocks_of():
+        shard.ask(phrases)
+    shard.build()
+    if shard.index is not None:
+        for phrases in blocks_of():
+            shard.search(phrases)
+    return shard.found()
+
+
+def stored(benchmark: DataFrame) -> list[str]:
+    """Files in the shared folder with the benchmark's items and texts."""
+    spark = benchmark.sparkSession
+    path = f"{shared_folder(spark)}/benchmark/{uuid.uuid4().hex}"
+    benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), text_of().alias("t")).write.parquet(path)
+    return sorted(spark.read.parquet(path).inputFiles())
+
+
+def benchmark_blocks(files: list[str], most: int = BLOCK_CHARS) -> Iterator[list[tuple[str, str]]]:
+    """The items in blocks of bounded size, read as they are needed."""
     held, size = [], 0
-    for r in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), text_of().alias("t")).toLocalIterator():
-        if held and size + len(r.t) > most:
-            yield held
-            held, size = [], 0
-        held.append((r.i, r.t))
-        size += len(r.t)
+    for file in files:
+        system, path = pafs.FileSystem.from_uri(file)
+        with system.open_input_file(path) as opened:
+            for batch in pq.ParquetFile(opened).iter_batches(batch_size=256):
+                for item, text in zip(*(c.to_pylist() for c in batch.columns)):
+                    if held and size + len(text) > most:
+                        yield held
+                        held, size = [], 0
+                    held.append((item, text))
+                    size += len(text)
     if held:
         yield held
 
 
+class Blocks:
+    """The benchmark's blocks of windows, again and again; kept where there is but one."""
+
+    def __init__(self, files: list[str], most: int, window: int):
+        self.files, self.most, self.window = files, most, window
+        self.only: Phrases | None = None
+
+    def __call__(self) -> Iterator[Phrases]:
+        if self.only is not None:
+            yield self.only
+            return
+        n, phrases = 0, None
+        for items in benchmark_blocks(self.files, self.most):
+            n, phrases = n + 1, Phrases(items, self.window)
+            yield phrases
+        self.only = phrases if n == 1 else None
+
+
 FOUND = "n_words bigint, starts array<int>, ends array<int>, items array<string>"
 
 
-def find_phrases(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def find_phrases(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """Columns of `docs` (of plain types) with n_words, starts and ends (merged spans of words) and items (ids found, as text, sorted).
 
     Columns of those names are replaced.
     """
     none = F.array().cast("array<int>")
-    df = with_new(docs, n_words=F.lit(None).cast("long"), starts=none, ends=none, items=F.array().cast("array<string>"))
-    passes = 0
-    for items in benchmark_blocks(benchmark, block_chars):
-        df, passes = _pass(docs.sparkSession, df, items, window), passes + 1
-    return df if passes else _pass(docs.sparkSession, df, [], window)
-
-
-def _pass(spark: SparkSession, df: DataFrame, items: list[tuple[str, str]], window: int) -> DataFrame:
-    shared = spark.sparkContext.broadcast(items)
-    names = df.columns
-
-    def start():
-        phrases = Phrases(shared.value, window)
-
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [t or "" for t in batch.column(names.index("text")).to_pylist()]
-            old = [batch.column(names.index(c)).to_pylist() for c in ("starts", "ends", "items")]
-            n_words, starts, ends, found = [], [], [], []
-            for lo, hi in blocks(texts, SHARD_CHARS):
-                for k, (n, spans, which) in enumerate(phrases.scan(texts[lo:hi]), lo):
-                    spans = merged([*zip(old[0][k], old[1][k]), *spans])
-                    n_words.append(n)
-                    starts.append([a for a, _ in spans])
-                    ends.append([b for _, b in spans])
-                    found.append(sorted({*old[2][k], *(phrases.ids[i] for i in which)}))
-            new = {"n_words": pa.array(n_words, pa.int64()), "starts": pa.array(starts, pa.list_(pa.int32())), "ends": pa.array(ends, pa.list_(pa.int32())), "items": pa.array(found, pa.list_(pa.string()))}
-            return pa.RecordBatch.from_arrays([new.get(n, batch.column(i)) for i, n in enumerate(names)], names=names)
-
-        return work
-
-    return map_batches(df, start, df.schema)
-
-
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Overlapping and touching spans as one."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+    schema = with_new(docs, n_words=F.lit(None).cast("long"), starts=none, ends=none, items=F.array().cast("array<string>")).schema
+    names = schema.names
+    kept = docs.select(*[F.col(f"`{c}`") for c in names[:-4]])
+
+    def rows(part: pa.RecordBatch, found: list[tuple[int, list[tuple[int, int]], list[str]]]) -> pa.RecordBatch:
+        new = [
+            pa.array([n for n, _, _ in found], pa.int64()), pa.array([[a for a, _ in s] for _, s, _ in found], pa.list_(pa.int32())),
+            pa.array([[b for _, b in s] for _, s, _ in found], pa.list_(pa.int32())), pa.array([i for _, _, i in found], pa.list_(pa.string()))]
+        return pa.RecordBatch.from_arrays([*part.columns, *new], names=names)
+
+    return _shards(kept, benchmark, window, block_chars, shard_chars, rows, schema)
+
+
+def _shards(docs: DataFrame, benchmark: DataFrame, window: int, block_chars: int, shard_chars: int, rows, schema) -> DataFrame:
+    """What ``rows(part, found)`` makes of each shard of `docs`."""
+    at = [c.lower() for c in docs.columns].index("text")
+    files = stored(benchmark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks_of = Blocks(files, block_chars, window)
+        for batch in batches:
+            for part in parts(batch, at, shard_chars):
+                yield rows(part, scan([t or "" for t in part.column(at).to_pylist()], blocks_of))
+
+    return docs.mapInArrow(modest(run), schema)
 
 
 def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
@@ -291,19 +349,15 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """`docs` without the passages of the benchmark; documents of which no word is left go. Columns stay as they are."""
     names = docs.columns
-    found = find_phrases(docs, benchmark, window)
-    columns = found.columns
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        get = lambda c: batch.column(columns.index(c)).to_pylist()
-        keep, texts = [], []
-        for t, n, s, e in zip(get("text"), get("n_words"), get("starts"), get("ends")):
-            keep.append(not s or sum(e) - sum(s) < n)
-            texts.append(without_spans(t, list(zip(s, e))) if s else t)
-        out = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else batch.column(columns.index(n)) for n in names], names=names)
-        return out.filter(pa.array(keep, pa.bool_()))
-
-    return map_batches(found, lambda: work, found.select(*[F.col(f"`{n}`") for n in names]).schema)
+    at = [c.lower() for c in names].index("text")
+
+    def rows(part: pa.RecordBatch, found: list[tuple[int, list[tuple[int, int]], list[str]]]) -> pa.RecordBatch:
+        keep = [not spans or sum(b - a for a, b in spans) < n for n, spans, _ in found]
+        texts = [without_spans(t, spans) if spans else t for t, (_, spans, _) in zip(part.column(at).to_pylist(), found)]
+        columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(part.columns)]
+        return pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
+
+    return _shards(docs.select(*[F.col(f"`{c}`") for c in names]), benchmark, window, BLOCK_CHARS, SHARD_CHARS, rows, docs.schema)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

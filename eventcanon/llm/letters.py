@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventcanon.llm.common import blocks, text_of
+from eventcanon.llm.common import modest, parts, text_of
 
 OTHER, SIZE = 63, 64
 
@@ -46,15 +46,14 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SIZE**3, np.int64)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for lo, hi in blocks(texts, 4_000_000):
-                c = codes("\n".join(texts[lo:hi])).astype(np.int32)
+            for part in parts(batch, 0, 2_000_000):
+                c = codes("\n".join(part.column(0).to_pylist())).astype(np.int32)
                 total += np.bincount((c[:-2] << 12) | (c[1:-1] << 6) | c[2:], minlength=SIZE**3)
         at = np.flatnonzero(total)
         if len(at):
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["code", "n"])
 
-    counted = docs.select(text_of().alias("text")).mapInArrow(run, "code int, n bigint")
+    counted = docs.select(text_of().alias("text")).mapInArrow(modest(run), "code int, n bigint")
     return counted.groupBy("code").agg(F.sum("n").alias("n"))
 
 

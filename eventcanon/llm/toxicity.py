@@ -6,7 +6,7 @@ counted over all documents, is found with the Viterbi algorithm. Tokens with a s
 The score is a logistic regression on words and word beginnings of the restored text, and on how often beginnings occur.
 
 Labels are learned from rows whose crc32(doc_id as text) mod 3 is not 1 only, from at most SAMPLE labelled documents,
-those with the least hash of the doc_id. A document labelled more than once is toxic if any label says so. Only texts reach the score.
+those with the least hash of the doc_id. A document labelled more than once is toxic if any label says so; rows that share a doc_id count once, with their least text. Only texts reach the score.
 NULL and empty texts score as a text without any known feature. Without labels of both kinds every score is the smoothed share
 of toxic labels (0.5 without any). Repeated rows score alike; other columns are not read.
 """
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventcanon.llm.common import cut, fresh, learning_rows, map_batches, remainder, text_of
+from eventcanon.llm.common import cut, fresh, learning_rows, map_batches, modest, parts, remainder, text_of
 from eventcanon.llm.letters import ALPHABET, SIZE, log_probabilities, trigram_counts
 
 MODULUS, HELD_OUT = 3, 1
@@ -32,7 +32,9 @@ LEAST_DOCS, LEAST_Z = 2, 2.0
 THRESHOLD = 0.7
 BEGINNINGS = (4, 5, 6)
 SHARES = (0.003, 0.006, 0.012, 0.025, 0.05)
-CACHE = 300_000
+#: A task's memory of restored tokens is cleared beyond so many characters of them.
+CACHE_CHARS = 1_000_000
+PART_BYTES = 4_000_000
 
 #: What characters may stand for (fixed values).
 LEET = {
@@ -58,6 +60,7 @@ class Restorer:
     def __init__(self, logp: np.ndarray):
         self.logp = logp.reshape(-1).tolist()
         self.known: dict[str, tuple[str, ...]] = {}
+        self.chars = 0
 
     def lattice(self, token: str) -> list[list[tuple[str, float]]]:
         """For each character, or run of three and more equal ones, what it may stand for and at what cost."""
@@ -110,8 +113,10 @@ class Restorer:
     def words(self, token: str) -> tuple[str, ...]:
         out = self.known.get(token)
         if out is None:
-            if len(self.known) >= CACHE:
+            self.chars += len(token)
+            if self.chars > CACHE_CHARS:
                 self.known.clear()
+                self.chars = len(token)
             out = self.known[token] = tuple(WORDS.findall(self.restore(token)))
         return out
 
@@ -153,13 +158,16 @@ class Reader:
         self.restorer, self.names = restorer, set(names)
         self.begun = {n[: k + 1] for n in names if n[0] == "^" for k in BEGINNINGS if len(n) in (k + 1, k + 2)}
         self.known: dict[str, tuple[int, tuple[str, ...], tuple[str, ...]]] = {}
+        self.chars = 0
 
     def token(self, token: str) -> tuple[int, tuple[str, ...], tuple[str, ...]]:
         """Number of words, words and beginnings that matter."""
         out = self.known.get(token)
         if out is None:
-            if len(self.known) >= CACHE:
+            self.chars += len(token)
+            if self.chars > CACHE_CHARS:
                 self.known.clear()
+                self.chars = len(token)
             core = token.strip(EDGES)
             words = (core,) if core.isalpha() and not RUNS.search(core) else tuple(WORDS.findall(self.restorer.restore(token)))
             begun = tuple("^" + w[:k] for w in words for k in BEGINNINGS if len(w) > k and "^" + w[:k] in self.begun)
@@ -200,14 +208,16 @@ def learn(docs: DataFrame, labels: DataFrame, shared) -> tuple[dict[str, float],
     chosen = learning_rows(said, "doc_id", MODULUS, HELD_OUT).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     rows = fresh(docs, doc_id=F.col("doc_id").cast("long"), text=text_of())
-    rows = cut(rows.join(chosen, "doc_id").select("text", "toxic"))
+    # one text for each doc_id, however often its row is repeated
+    rows = cut(rows.join(chosen, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(shared.value)
         tally = (Counter(), Counter())
         for batch in batches:
-            for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tally[y > 0].update(restorer.features(t))
+            for part in parts(batch, 0, PART_BYTES):
+                for t, y in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    tally[y > 0].update(restorer.features(t))
         names = sorted(tally[0].keys() | tally[1].keys())
         if names:
             yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([tally[0][f] for f in names], pa.int64()), pa.array([tally[1][f] for f in names], pa.int64())], names=["feature", "clean", "toxic"])
@@ -217,7 +227,7 @@ def learn(docs: DataFrame, labels: DataFrame, shared) -> tuple[dict[str, float],
     prior = float(np.log((n_toxic + 0.5) / (n_clean + 0.5)))
     if not n_toxic or not n_clean:
         return {}, prior
-    counted = rows.mapInArrow(count, "feature string, clean bigint, toxic bigint").groupBy("feature").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t")).where(F.col("c") + F.col("t") >= LEAST_DOCS)
+    counted = rows.mapInArrow(modest(count), "feature string, clean bigint, toxic bigint").groupBy("feature").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t")).where(F.col("c") + F.col("t") >= LEAST_DOCS)
     a, b, c, d = F.col("t") + 0.5, F.lit(n_toxic) - F.col("t") + 0.5, F.col("c") + 0.5, F.lit(n_clean) - F.col("c") + 0.5
     z = F.log(a / b * d / c) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
     names = [r.feature for r in counted.withColumn("z", F.abs(z)).where(F.col("z") >= LEAST_Z).orderBy(F.col("z").desc(), "feature").limit(FEATURES).collect()]
@@ -264,22 +274,20 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     weights, bias = learn(docs, labels, shared)
     model = spark.sparkContext.broadcast((weights, bias))
     names = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
-    given = docs.select(*[F.col(f"`{c}`") for c in names], text_of().alias("__text"))
+    given = docs.select(*[F.col(f"`{c}`") for c in names])
+    at = [c.lower() for c in names].index("text")
 
-    def start():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = model.value
         reader = Reader(Restorer(shared.value), list(weights))
+        for batch in batches:
+            for part in parts(batch, at, PART_BYTES):
+                said = np.array([bias + sum(weights[f] for f in sorted(reader(t or ""))) for t in part.column(at).to_pylist()])
+                scores = 1 / (1 + np.exp(-np.clip(said, -30, 30)))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64()), pa.array((scores >= THRESHOLD).astype(np.int32))], names=[*names, "score", "predicted"])
 
-        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            said = np.array([bias + sum(weights[f] for f in sorted(reader(t))) for t in batch.column(len(names)).to_pylist()])
-            scores = 1 / (1 + np.exp(-np.clip(said, -30, 30)))
-            return pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in range(len(names))], pa.array(scores, pa.float64()), pa.array((scores >= THRESHOLD).astype(np.int32))], names=[*names, "score", "predicted"])
-
-        return work
-
-    fields = given.drop("__text").withColumns({"score": F.lit(0.0), "predicted": F.lit(0)})
-    return map_batches(given, start, fields.schema)
+    fields = given.withColumns({"score": F.lit(0.0), "predicted": F.lit(0)})
+    return given.mapInArrow(modest(run), fields.schema)
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
-from conftest import SF
+from conftest import SF, plan_of
 
 from eventcanon.llm import decontaminate as dc
 
@@ -50,9 +50,13 @@ def test_same_as_plain_search(spark, docs_of):
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     want = brute(docs, items)
     assert found(dc.report(docs_of(docs, "starts Items n_words"), bench)) == want
-    many = dc.find_phrases(docs_of(docs).select("doc_id", "text"), bench, block_chars=60)  # several passes
+    many = dc.find_phrases(docs_of(docs).select("doc_id", "text"), bench, block_chars=60)  # several blocks
+    small = dc.find_phrases(docs_of(docs).select("doc_id", "text"), bench, block_chars=60, shard_chars=300)
+    for df in (many, small):
+        assert plan_of(df).count("MapInArrow") == 1  # for any number of blocks
     one = dc.find_phrases(docs_of(docs).select("doc_id", "text"), bench)
-    assert Counter(map(str, many.collect())) == Counter(map(str, one.collect()))
+    assert len(list(dc.benchmark_blocks(dc.stored(bench), 60))) >= 12
+    assert Counter(map(str, many.collect())) == Counter(map(str, one.collect())) == Counter(map(str, small.collect()))
     assert dc.report(docs_of([]), bench).count() == 0
     none = dc.report(docs_of(docs), bench.limit(0)).collect()
     assert len(none) == len(docs) and not any(r.contaminated for r in none)
