@@ -32,12 +32,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventcanon.llm.common import cut, fresh, map_batches, text_of, with_new
+from eventcanon.llm.common import cut, fresh, map_batches, modest, text_of, with_new
 
 SEED = 42
 CELL = 1024
-LEAF = 32
-FAN = 8
+LEAF = 4
+FAN = 4
 SHINGLES_AT_ONCE = 65_536
 
 
@@ -186,13 +186,11 @@ class GrayTree:
         return first, np.minimum(first + step, len(self.every[level - 1])) - first
 
 
-def links(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All pairs within the radius, of `left` with itself or with `right`, and their distances."""
-    if right is None and len(left) <= LEAF:  # a single leaf
-        a, b = np.triu_indices(len(left), 1)
-        apart = np.bitwise_count(left[a] ^ left[b]).sum(axis=1).astype(np.int64)
-        near = apart <= radius
-        return a[near], b[near], apart[near]
+def links(left: np.ndarray, right: np.ndarray | None, radius: int, pruned: dict[int, int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pairs within the radius, of `left` with itself or with `right`, and their distances.
+
+    `pruned` counts, by level from the fingerprints (0) up, the pairs of nodes that were left closed.
+    """
     a_tree = GrayTree(left)
     b_tree = a_tree if right is None else GrayTree(right)
     level = min(len(a_tree.every), len(b_tree.every)) - 1
@@ -202,6 +200,8 @@ def links(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.n
         if right is None:
             a, b = a[a <= b], b[a <= b]
         near = a_tree.level_pairs(b_tree, level, a, b, radius)
+        if pruned is not None:
+            pruned[level] = pruned.get(level, 0) + int((~near).sum())
         a, b = a[near], b[near]
         if level == 0:
             break
@@ -308,7 +308,7 @@ def cell_links(cells: DataFrame, radius: int, cell: int = CELL, keys: list[list[
         if out:
             yield _pairs(out)
 
-    return dealt.mapInArrow(run, "a binary, b binary")
+    return dealt.mapInArrow(modest(run), "a binary, b binary")
 
 
 def _pairs(out: list) -> pa.RecordBatch:
@@ -391,7 +391,7 @@ def _by_cell(dealt: DataFrame, solve, schema: str) -> DataFrame:
         if rows:
             yield from solve(held, pa.Table.from_batches(rows))
 
-    return dealt.mapInArrow(run, schema)
+    return dealt.mapInArrow(modest(run), schema)
 
 
 def _apart(rows: pa.Table, table: int, keys: list[list[int]], radius: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
