@@ -206,20 +206,14 @@ def test_no_candidate_goes_unverified(docs_of):
 
 
 def test_groups_are_pruned_on_the_given_table(spark):
-    """The cells of the given fingerprints are searched through the tree, which leaves whole groups closed and loses no link."""
+    """The tree over the given fingerprints leaves whole groups closed and loses no link."""
     docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
     fps = sorted({r.fp for r in simhash.fingerprints(docs, 4).collect()})
     words = np.frombuffer(b"".join(fps), ">u8").astype(np.uint64).reshape(-1, 1)
     words = words[np.argsort(simhash.gray_rank(words)[:, 0])]
-    cells = {}
-    for w in words[:, 0].tolist():  # agree on the last four bits
-        cells.setdefault(w & 15, []).append(w)
-    pruned, n = {}, 0
-    for held in cells.values():
-        own = np.array(held, np.uint64)[:, None]
-        a, b, apart = simhash.links(own, None, 4, pruned)
-        x, y = np.triu_indices(len(own), 1)
-        near = np.bitwise_count(own[x] ^ own[y]).sum(axis=1) <= 4
-        assert sorted(zip(a.tolist(), b.tolist())) == list(zip(x[near].tolist(), y[near].tolist()))
-        n += len(a)
-    assert n and pruned[1] > 100
+    pruned = {}
+    a, b, _ = simhash.links(words, None, 4, pruned)
+    x, y = np.triu_indices(len(words), 1)
+    near = np.bitwise_count(words[x] ^ words[y]).sum(axis=1) <= 4
+    assert sorted(zip(a.tolist(), b.tolist())) == list(zip(x[near].tolist(), y[near].tolist())) and len(a)
+    assert pruned[1] > 1000 and pruned[2] > 0
