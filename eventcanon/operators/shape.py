@@ -10,15 +10,32 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eventcanon.functions.json import to_json_full, with_json
+from eventcanon.functions.json import _quoted, _variant_path, parse_path, to_json_full, with_json
 from eventcanon.functions.keys import EXTERNAL_ID_FIELDS, ID_FIELD_BY_SOURCE, idem_key, suffixed
 from eventcanon.functions.time import Instant, as_of_lit
 
 
-def _truthy(text: Column) -> Column:
-    """NULL for the values that do not count as an id: empty text, zero and false."""
-    return F.when(~text.isin("", "0", "0.0", "false"), text)
+def _usable(column: Column, kind: T.DataType) -> Column:
+    """A column as the text of an id; NULL for empty text, the number zero and false. Texts like "0" and "false" are ids."""
+    if isinstance(kind, T.BooleanType):
+        column = F.when(column, column)
+    elif isinstance(kind, T.NumericType):
+        column = F.when(column != 0, column)
+    text = column.cast("string")
+    return F.when(text != "", text)
+
+
+def _usable_json(name: str, payload: str, path: str) -> Column:
+    """Like `_usable` for the text `name` of the value at a path of JSON text.
+
+    Only a text that looks like zero or false needs the second look at the value's type.
+    """
+    value = f"try_variant_get(try_parse_json({_quoted(payload)}), '{_variant_path(parse_path(path))}', 'variant')"
+    text = _quoted(name)
+    looks = f"{text} RLIKE '^(-?0*[.]?0*([eE][+-]?[0-9]+)?|false)$'"
+    return F.expr(f"CASE WHEN {text} = '' THEN NULL WHEN {looks} THEN CASE WHEN schema_of_variant({value}) = 'STRING' THEN {text} END ELSE {text} END")
 
 
 def with_external_id(
@@ -28,12 +45,12 @@ def with_external_id(
     if payload:
         probe = {f"__id{i}": f"$.{f}" for i, f in enumerate(fields)}
         found = with_json(df, payload, values=probe)
-        return found.withColumn(name, F.coalesce(*[_truthy(F.col(c)) for c in probe])).drop(*probe)
-    return df.withColumn(name, _first_id({f: F.col(f) for f in fields if f in df.columns}))
+        return found.withColumn(name, F.coalesce(*[_usable_json(c, payload, p) for c, p in probe.items()])).drop(*probe)
+    return df.withColumn(name, _first_id(df, {f: F.col(f) for f in fields if f in df.columns}))
 
 
-def _first_id(columns: Mapping[str, Column]) -> Column:
-    found = [_truthy(c.cast("string")) for c in columns.values()]
+def _first_id(df: DataFrame, columns: Mapping[str, Column]) -> Column:
+    found = [_usable(c, df.schema[f].dataType) for f, c in columns.items()]
     return F.coalesce(*found) if found else F.lit(None).cast("string")
 
 
@@ -99,7 +116,7 @@ def shape_rows(
         out = out.select("__item", "__item.*")
     item = {c: F.col("__item").getField(c) for c in item_columns}
     if auto_external_id:
-        out = out.withColumn("external_id", _first_id({f: item[f] for f in EXTERNAL_ID_FIELDS if f in item}))
+        out = out.withColumn("external_id", _first_id(df, {f: item[f] for f in EXTERNAL_ID_FIELDS if f in item}))
     out = with_defaults(out, field_defaults)
     if timestamp_columns:
         out = out.withColumns({c: as_of_lit(as_of) for c in timestamp_columns})
@@ -147,7 +164,7 @@ def raw_rows(
     if id_path is None and (source_system, object_type) in ID_FIELD_BY_SOURCE:
         id_path = f"$.{ID_FIELD_BY_SOURCE[source_system, object_type]}"
     if id_path:
-        rows = with_json(landed, payload, values={"__id": id_path}).withColumn("external_id", _truthy(F.col("__id")))
+        rows = with_json(landed, payload, values={"__id": id_path}).withColumn("external_id", _usable_json("__id", payload, id_path))
     else:
         rows = with_external_id(landed, payload)
     now = as_of_lit(as_of)

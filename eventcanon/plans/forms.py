@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from eventcanon.functions.json import with_json
 from eventcanon.functions.time import Instant, as_of_lit, text_to_timestamp
 from eventcanon.plans.canonical import SCHEMAS
+from eventcanon.operators.merge import merge_into
+from eventcanon.sources.catalog import SnapshotTable
+from eventcanon.sources.changes import run_once
 from eventcanon.sources.incremental import missing_rows
 
 # Form bindings and the connection each one reads.
@@ -124,6 +127,24 @@ def unformed_responses(canonical: DataFrame, events: DataFrame, binding_id: str,
     return missing_rows(canonical, events, "idem_key", "canonical_object_id", filters=filters)
 
 
+def measure_new(
+    responses: SnapshotTable, events: SnapshotTable, binding_id: str, connection_name: str | None = None, as_of: Instant | None = None
+) -> int | None:
+    """One run of a binding over the responses that came or changed since its last run; the version of `events` that it published.
+
+    With nothing new neither table is read and None is returned. A changed response replaces its event.
+    """
+    filters = {"canonical_schema": SCHEMAS["form_response"], "connection_name": connection_name or BINDINGS[binding_id]}
+
+    def publish(made: DataFrame, properties: dict) -> int:
+        if not events.exists():
+            return events.replace(made, properties=properties)
+        return events.replace_touched(lambda now: merge_into(now, made, ["idem_key"], order=["processed_at"]), made, properties=properties)
+
+    return run_once(
+        responses, events, lambda rows: measurement_events(rows, binding_id, connection_name, as_of=as_of), publish, ["idem_key"], filters, binding_id)
+
+
 def unscored_events(events: DataFrame, observed: DataFrame, binding_id: str) -> DataFrame:
     """Measurement events of a binding that have no observation."""
     return missing_rows(events, observed, "measurement_event_id", "measurement_event_id", filters={"binding_id": binding_id})

@@ -46,4 +46,4 @@ def plain(df: DataFrame) -> DataFrame:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from eventcanon.plans import queries_core, queries_reports, queries_tables, queries_views, queries_writes  # noqa: F401
+    from eventcanon.plans import queries_changes, queries_core, queries_reports, queries_tables, queries_views, queries_writes  # noqa: F401

@@ -181,17 +181,28 @@ def _(spark, sf):
 
 
 @query("keys_by_source", """
-SELECT 'dataverse:main:session:' || o_orderkey AS idem_key, o_orderkey::VARCHAR AS external_id FROM orders WHERE o_orderstatus <> 'F'
+SELECT 'dataverse:main:session:' || o_orderkey AS idem_key, o_orderkey::VARCHAR AS external_id FROM orders WHERE o_orderstatus <> 'F' AND o_orderkey <> 0
+UNION ALL SELECT NULL, NULL FROM orders WHERE o_orderstatus = 'F' OR o_orderkey = 0
 UNION ALL SELECT 'google_forms:main:form_response:r' || o_orderkey, 'r' || o_orderkey FROM orders
-UNION ALL SELECT NULL, NULL FROM orders WHERE o_orderstatus = 'F'""")
+UNION ALL SELECT 'gmail:main:email:' || o_orderkey % 10, (o_orderkey % 10)::VARCHAR FROM orders
+UNION ALL SELECT CASE WHEN o_orderstatus = 'F' THEN 'stripe:main:customer:true' END, CASE WHEN o_orderstatus = 'F' THEN 'true' END FROM orders
+UNION ALL SELECT 'stripe:main:refund:' || (o_orderstatus = 'F'), (o_orderstatus = 'F')::VARCHAR FROM orders""")
 def _(spark, sf):
-    """The id field depends on source and type; another field named id is not taken for it, and rows without the field have no key."""
+    """The id field depends on source and type; another field named id is not taken for it, and rows without the field have no key.
+
+    The number 0 and false are no ids; the texts "0" and "false" are.
+    """
     o = d.load(spark, sf, "orders")
-    session = F.when(F.col("o_orderstatus") != "F", F.col("o_orderkey"))
-    sessions = o.select(to_json_full(session.alias("cre92_clientsessionid"), F.col("o_custkey").alias("id")).alias("payload"))
-    forms = o.select(to_json_full(F.concat(F.lit("r"), "o_orderkey").alias("responseId"), F.col("o_custkey").alias("id")).alias("payload"))
-    rows = [shape.raw_rows(r, *k, as_of=d.AS_OF) for r, k in ((sessions, ("dataverse", "main", "session")), (forms, ("google_forms", "main", "form_response")))]
-    return rows[0].union(rows[1]).select("idem_key", "external_id")
+    is_f = F.col("o_orderstatus") == "F"
+    payloads = {
+        ("dataverse", "main", "session"): [F.when(~is_f, F.col("o_orderkey")).alias("cre92_clientsessionid"), F.col("o_custkey").alias("id")],
+        ("google_forms", "main", "form_response"): [F.concat(F.lit("r"), "o_orderkey").alias("responseId"), F.col("o_custkey").alias("id")],
+        ("gmail", "main", "email"): [(F.col("o_orderkey") % 10).cast("string").alias("id")],
+        ("stripe", "main", "customer"): [is_f.alias("id")],
+        ("stripe", "main", "refund"): [is_f.cast("string").alias("id")],
+    }
+    rows = [shape.raw_rows(o.select(to_json_full(*fields).alias("payload")), *source, as_of=d.AS_OF) for source, fields in payloads.items()]
+    return reduce(lambda a, b: a.unionAll(b), rows).select("idem_key", "external_id")
 
 
 @query("materialised_by_name", PROJECT_FOLD)

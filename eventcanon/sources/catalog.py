@@ -21,9 +21,6 @@ from pyspark.sql import types as T
 # Logical data set names and the folder each stands for unless configured otherwise.
 LOGICAL_DATASETS = {"raw": "raw", "canonical": "canonical", "derived": "derived"}
 
-# More partitions than this in one batch: rewrite the table instead of naming partitions one by one.
-MAX_TOUCHED_PARTITIONS = 10_000
-
 
 class ConcurrentWrite(RuntimeError):
     """Another writer published the version this writer was about to publish."""
@@ -174,21 +171,65 @@ class SnapshotTable:
         known = self.version()
         return {} if known is None else self._manifest(known).get("properties", {})
 
-    def append(self, df: DataFrame) -> int:
+    def append(self, df: DataFrame, properties: dict | None = None) -> int:
         """Publish the next version as the current directories plus `df`."""
         base = self.version()
         if base is None:
-            return self.replace(df)
+            return self.replace(df, properties=properties)
         manifest = self._manifest(base)
         columns = T.StructType.fromJson(manifest["schema"]).names
         dirs = self._write_dirs(df, base + 1, columns)
-        self._publish(base + 1, {**manifest, "dirs": manifest["dirs"] + dirs})
+        self._publish(base + 1, _next(manifest, manifest["dirs"] + dirs, properties))
+        return base + 1
+
+    def set_properties(self, properties: dict) -> int:
+        """Publish the newest version again with other settings; no data is written or read."""
+        base = self.version()
+        if base is None:
+            raise FileNotFoundError(f"no version of {self.path}")
+        manifest = self._manifest(base)
+        self._publish(base + 1, _next(manifest, manifest["dirs"], properties))
         return base + 1
 
     def compact(self) -> int:
-        """Publish the newest version again with few files per partition. Runs only when called."""
+        """Publish the newest version again with few files per partition. Runs only when called.
+
+        The manifest says that the rows are those of the version before, so change feeds need not read them.
+        """
         base = self.version()
-        return self.replace(self.read(base), expect=base)
+        manifest = self._manifest(base)
+        df = self.read(base)
+        dirs = self._write_dirs(df, base + 1, df.columns)
+        self._publish(base + 1, {**_next(manifest, dirs), "same_rows": True})
+        return base + 1
+
+    def steps(self, since: int, until: int) -> list[tuple[int, list[str], list[str]]]:
+        """(version, directories left, directories new) for each version after `since` that changes rows, up to `until`.
+
+        Read from the manifests alone. Versions that were removed in between are passed over in one step, which has to compare
+        what the versions around them list.
+        """
+        known = [v for v in self.versions() if since <= v <= until]
+        if not known or known[0] != since or known[-1] != until:
+            raise FileNotFoundError(f"{self.path}: versions {since} and {until} are not both kept")
+        manifests = [self._manifest(v) for v in known]
+        out = []
+        for before, after, a, b in zip(known, known[1:], manifests, manifests[1:]):
+            if b.get("same_rows") and after == before + 1:
+                continue
+            old, new = set(a["dirs"]), set(b["dirs"])
+            if old != new:
+                out.append((after, sorted(old - new), sorted(new - old)))
+        return out
+
+    def schema(self, version: int | None = None) -> T.StructType:
+        """Columns of the newest (or a given) version; no data is read."""
+        version = self.version() if version is None else version
+        return T.StructType.fromJson(self._manifest(version)["schema"])
+
+    def read_dirs(self, dirs: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+        """Rows of some of the directories that versions list."""
+        return self._read_dirs(list(dirs), schema or self.schema())
 
     def expire(self, keep: int = 1) -> list[int]:
         """Remove all but the newest `keep` versions, and the directories that only they list. Returns the versions removed.
@@ -207,24 +248,24 @@ class SnapshotTable:
                 fs.delete(path, True)
         return gone
 
-    def replace_touched(self, make, batch: DataFrame, keys: Sequence[str] | None = None) -> int:
+    def replace_touched(self, make, batch: DataFrame, keys: Sequence[str] | None = None, properties: dict | None = None) -> int:
         """Rewrite only the partitions that occur in `batch`; keep the other directories.
 
         `make(current)` gets the current rows of those partitions and returns their new rows. With `keys`, the partitions
         where the batch's keys are now are rewritten too, so that a row may move to another partition; that reads the key
-        and partition columns of the whole table. Without, partitions are to be a function of the key. `batch` is read for the
-        list of partition values (metadata-sized; a longer list than MAX_TOUCHED_PARTITIONS rewrites the table) and by `make`.
+        and partition columns of the whole table. Without, partitions are to be a function of the key, and a row that leaves the
+        batch's partitions fails. `batch` is read for the list of partition values, of which there are at most as many
+        as directories in the next manifest, and by `make`.
         """
         base = self.version()
         if base is None:
             raise FileNotFoundError(f"no version of {self.path}")
         current = self.read(base)
+        if not self.partition_by:
+            return self.replace(make(current), expect=base, properties=properties)
         touched = self._touched(batch)
-        if touched is not None and keys and self.partition_by:
-            held = self._touched(current.select(*dict.fromkeys([*keys, *self.partition_by])).join(batch.select(*keys).distinct(), list(keys), "left_semi"))
-            touched = None if held is None else touched | held
-        if touched is None:
-            return self.replace(make(current), expect=base)
+        if keys:
+            touched |= self._touched(current.select(*dict.fromkeys([*keys, *self.partition_by])).join(batch.select(*keys).distinct(), list(keys), "left_semi"))
         manifest = self._manifest(base)
         schema = T.StructType.fromJson(manifest["schema"])
         keep = [d for d in manifest["dirs"] if _partition_of(d) not in touched]
@@ -234,7 +275,7 @@ class SnapshotTable:
         moved = {_partition_of(d) for d in dirs} - touched
         if moved:
             raise ValueError(f"rows left the partitions of the batch: {sorted(moved)[:3]}")
-        self._publish(base + 1, {**manifest, "dirs": keep + dirs})
+        self._publish(base + 1, _next(manifest, keep + dirs, properties))
         return base + 1
 
     def _read_dirs(self, dirs: list[str], schema: T.StructType) -> DataFrame:
@@ -245,19 +286,18 @@ class SnapshotTable:
         raw = self.spark.read.schema(with_version).option("basePath", self.path).parquet(*paths)
         return raw.select(*schema.names)
 
-    def _touched(self, batch: DataFrame) -> set[str] | None:
-        if not self.partition_by:
-            return None
+    def _touched(self, batch: DataFrame) -> set[str]:
+        """Directory spellings of the batch's partition values. As many as the directories one version of the table may list."""
         names = [
             F.concat(F.lit(f"{c}="), _escaped(F.col(c).cast("string"))) for c in self.partition_by
         ]
-        rows = (
-            batch.select(F.concat_ws("/", *names).alias("p"))
-            .distinct()
-            .limit(MAX_TOUCHED_PARTITIONS + 1)
-            .collect()
-        )
-        return None if len(rows) > MAX_TOUCHED_PARTITIONS else {r.p for r in rows}
+        return {r.p for r in batch.select(F.concat_ws("/", *names).alias("p")).distinct().toLocalIterator()}
+
+
+def _next(manifest: dict, dirs: list[str], properties: dict | None = None) -> dict:
+    """The manifest of the version after `manifest`."""
+    kept = {k: v for k, v in manifest.items() if k != "same_rows"}
+    return {**kept, "dirs": dirs, "properties": {**manifest.get("properties", {}), **(properties or {})}}
 
 
 def _partition_of(directory: str) -> str:

@@ -219,6 +219,23 @@ def test_external_id_probe(spark):
     assert [r[0] for r in with_external_id(df, "payload").select("external_id").collect()] == ["a", "b", "r", "c", None]
 
 
+@pytest.mark.parametrize("value, usable", [
+    ("0", None), ("0.0", None), ("-0", None), ("0e5", None), ("false", None), ("null", None), ('""', None),
+    ('"0"', "0"), ('"0.0"', "0.0"), ('"false"', "false"), ("true", "true"), ("7", "7"), ('"00"', "00"), ("0.5", "0.5"),
+])
+def test_ids_that_look_like_nothing(spark, value, usable):
+    """The number zero, false and empty text are no ids, whatever texts look like."""
+    df = spark.createDataFrame([(f'{{"id":{value}}}',)], "payload string")
+    assert with_external_id(df, "payload").first().external_id == usable
+    raw = raw_rows(df, "gmail", "main", "email").first()
+    assert raw.external_id == usable and raw.idem_key == (usable and f"gmail:main:email:{usable}")
+
+
+def test_ids_of_typed_columns(spark):
+    df = spark.createDataFrame([(0, "0", 1), (5, "false", 2), (None, "", 3), (0, None, 4)], "id int, uuid string, n int")
+    assert [r[0] for r in with_external_id(df).orderBy("n").select("external_id").collect()] == ["0", "5", None, None]
+
+
 def test_shape_order_of_steps(spark):
     items = spark.createDataFrame([("7", "x")], "id string, source_system string")
     out = shape_rows(
