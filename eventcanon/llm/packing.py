@@ -5,7 +5,7 @@ cut, into whole sequences and a first piece that may be shorter. What is packed
 different ones, so the plan is made from how many pieces have each length and does not grow with the data. A sequence is begun with the
 longest length left. The index of complements says for the gap that is left whether one, two or three lengths sum up to
 it; while none do, the longest length that fits is put in (best fit). The pattern found is used as often as its lengths are
-available. Pieces of a length are then numbered, in buckets of bounded size, and the number says which pattern's place a piece takes.
+available. Pieces of a length are then numbered, in buckets of bounded size, at least LEAST_BUCKETS a length, and the number says which pattern's place a piece takes.
 
 Every pattern but for ties uses up the length that bounds it, or leaves less than half of it, so there are at most CAPACITY * log2(pieces) patterns
 of at most sqrt(2 * CAPACITY) lengths: that bounds the plan on the driver and its broadcast (a few thousand places on the given tables).
@@ -17,7 +17,7 @@ A NULL doc_id stays. Very long texts are encoded whole. Columns named like a res
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,24 +27,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventcanon.llm.common import blocks, cut, text_of
+from eventcanon.llm.common import cut, modest, parts, text_of
 
 CAPACITY = 2048
 END_ID = 0
-BLOCK_CHARS = 4_000_000
-#: A task's memory of encoded words is cleared beyond so many characters.
-CACHE_CHARS = 6_000_000
+PART_BYTES = 4_000_000
 BUCKET_ROWS = 50_000
-#: A blank before white space or the end may belong to the token before it; any other blank begins a token.
-INNER_BLANK = re.compile(r" (?:[\s᠎]|\Z)")
-BLANK = re.compile(r" (?=[^\s᠎])")
+LEAST_BUCKETS = 32
+#: Fixed value: where byte-level tokenizers of this kind cut a text before they merge bytes.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_of_character() -> dict[str, int]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, others from U+0100 on, in order."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
 class Encoder:
-    """Ids of whole texts by a byte-level tokenizer.
+    """Ids of whole texts by a tokenizer's file, special tokens taken as text.
 
-    Such a tokenizer begins a token at each blank that a character other than white space follows, so the stretches between those
-    blanks are encoded once and remembered. The ids are those of the whole text.
+    A byte-level file whose merges are numbered in the order they are made gives the same ids through ranks of byte strings, some four times
+    faster. Other files, and texts that overflow that way's matcher (very long runs of blanks), go through the tokenizer itself.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -52,43 +57,38 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.end_id = end_id
-        self._forget()
-
-    def _forget(self) -> None:
-        self.code: dict[str | None, int] = {None: 0}
-        self.ids, self.lengths, self.chars = np.array([self.end_id], "<u4"), np.array([1]), 0
-
-    def _learn(self, new: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        self.ids = np.concatenate([self.ids, *(np.array(i, "<u4") for i in found)])
-        self.lengths = np.concatenate([self.lengths, [len(i) for i in found]])
-        self.chars += sum(map(len, new))
+        self.end = np.array([end_id], np.uint32)
+        self.ranked = self._ranked(json.loads(self.tokenizer.to_str()))
+
+    @staticmethod
+    def _ranked(file: dict):
+        import tiktoken
+
+        model, cut = file["model"], file.get("pre_tokenizer") or {}
+        plain = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+        if not plain or file.get("normalizer") or file.get("post_processor") or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+            return None
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        if any(model["vocab"].get(a + b) != 256 + i for i, (a, b) in enumerate(merges)):
+            return None
+        byte = byte_of_character()
+        added = {t["content"] for t in file.get("added_tokens", [])}
+        ranks = {bytes(byte[c] for c in t): i for t, i in model["vocab"].items() if t not in added}
+        return tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def ids(self, text: str) -> np.ndarray:
+        if self.ranked is not None:
+            try:
+                return self.ranked.encode_to_numpy(text, disallowed_special=())
+            except ValueError:  # the matcher's stack
+                pass
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id after it, and where each text ends."""
-        if self.chars > CACHE_CHARS:
-            self._forget()
-        code, new = self.code, []
-        at, counts = [], []
-        for text in texts:
-            first, *rest = BLANK.split(text) if INNER_BLANK.search(text) else text.split(" ")
-            before = len(at)
-            for said in (first, *(" " + w for w in rest), None) if first else (*(" " + w for w in rest), None):
-                known = code.get(said)
-                if known is None:
-                    known = code[said] = len(code)
-                    new.append(said)
-                at.append(known)
-            counts.append(len(at) - before)
-        if new:
-            self._learn(new)
-        at = np.array(at, np.int64)
-        lengths = self.lengths[at]
-        ends = np.cumsum(lengths)
-        starts = (np.cumsum(self.lengths) - self.lengths)[at]
-        ids = self.ids[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
-        return ids, ends[np.cumsum(counts) - 1] if counts else np.zeros(0, np.int64)
+        found = [a for t in texts for a in (self.ids(t), self.end)]
+        ends = np.cumsum([len(a) for a in found], dtype=np.int64)[1::2]
+        return (np.concatenate(found) if found else self.end[:0]).astype("<u4"), ends
 
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -103,12 +103,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer, end_id)
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in blocks(texts, BLOCK_CHARS):
-                ids, ends = encoder.encode(texts[lo:hi])
+            for part in parts(batch, 1, PART_BYTES):
+                ids, ends = encoder.encode(part.column(1).to_pylist())
                 out = []
                 begin = 0
-                for doc_id, end in zip(doc_ids[lo:hi], ends.tolist()):
+                for doc_id, end in zip(part.column(0).to_pylist(), ends.tolist()):
                     cuts = [begin, *range(begin + (end - begin - 1) % capacity + 1, end + 1, capacity)]
                     out += [(doc_id, k, a - begin, b - a, zlib.crc32(ids[a:b].tobytes()), a) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
                     begin = end
@@ -120,7 +119,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(arrays)])
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return read.mapInArrow(run, PIECES + (", ids array<int>" if keep_ids else ""))
+    return read.mapInArrow(modest(run), PIECES + (", ids array<int>" if keep_ids else ""))
 
 
 class Complements:
@@ -252,7 +251,7 @@ def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY, buc
     placed, _ = plan(counts)
     shared = spark.sparkContext.broadcast({k: [np.array(c, np.int64) for c in (p.first, p.sequence, p.each, p.offset)] for k, p in placed.items()})
 
-    buckets = max(1, sum(counts) // bucket_rows)
+    buckets = max(LEAST_BUCKETS, sum(counts) // bucket_rows)
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("pos"), F.lit(buckets)))
     own = Window.partitionBy("size", "bucket").orderBy("pos")
     before = Window.partitionBy("size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -274,7 +273,7 @@ def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY, buc
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sequence), pa.array(offset)], names=["item", "sequence_id", "offset"])
 
     item = rows.select("item").schema
-    out = numbered.mapInArrow(place, item.add("sequence_id", "long").add("offset", "long"))
+    out = numbered.mapInArrow(modest(place), item.add("sequence_id", "long").add("offset", "long"))
     return out.select(*[F.col("item").getField(c).alias(c) for c in names], "sequence_id", "offset")
 
 

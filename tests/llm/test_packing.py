@@ -33,9 +33,16 @@ def encoded(encoder, texts):
 def test_ids_are_those_of_whole_texts(tokenizer, sample):
     texts = [*ODD, *[t or "" for _, t in sample]]
     encoder = packing.Encoder(PATH, packing.END_ID)
-    assert encoded(encoder, texts) == whole(tokenizer, texts)
-    encoder.chars = packing.CACHE_CHARS + 1  # forgets
-    assert encoded(encoder, texts[:50]) == whole(tokenizer, texts[:50])
+    assert encoder.ranked is not None and encoded(encoder, texts) == whole(tokenizer, texts)
+    blanks = ["a" + " " * 300_000 + "b"]  # more than the matcher's stack holds
+    assert encoded(encoder, blanks) == whole(tokenizer, blanks)
+
+
+def test_files_of_other_kinds_go_through_the_tokenizer(sample):
+    path = P.path("word_bpe_49k.json")
+    encoder = packing.Encoder(path, packing.END_ID)
+    texts = [*ODD, *[t or "" for _, t in sample[:30]]]
+    assert encoder.ranked is None and encoded(encoder, texts) == whole(encoder.tokenizer, texts)
 
 
 def test_ids_of_any_blanks(tokenizer):
