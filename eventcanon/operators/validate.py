@@ -16,9 +16,6 @@ KNOWN_PATH_DEPTH = 5
 ERRORS_PER_GROUP = 3
 ERROR_TEXT_LENGTH = 1000
 
-# How often a schema that contains itself is written out.
-UNROLLED = 4
-
 # How deep payload objects may nest. A deeper payload fails the job instead of being cut.
 PAYLOAD_DEPTH = 16
 
@@ -26,7 +23,7 @@ PAYLOAD_DEPTH = 16
 # Keywords that are compiled, and those that check nothing. Any other keyword raises when the schema is read.
 CHECKED = frozenset((
     "type enum const minimum maximum exclusiveMinimum exclusiveMaximum multipleOf minLength maxLength pattern minItems maxItems uniqueItems "
-    "minProperties maxProperties required properties additionalProperties items allOf anyOf oneOf not $ref"
+    "minProperties maxProperties required properties additionalProperties items additionalItems prefixItems allOf anyOf oneOf not $ref"
 ).split())
 ANNOTATIONS = frozenset("$schema $id id $comment title description default examples definitions $defs format readOnly writeOnly deprecated".split())
 
@@ -84,6 +81,7 @@ def known_paths(schema: dict) -> list[str]:
 
 _MAP = "map<string,variant>"
 _NO_TEXT = "cast(array() as array<string>)"
+_NO_WORK = "cast(array() as array<struct<unit:int,value:variant,key:string>>)"
 _NO_ERRORS = "cast(array() as array<struct<kind:string,text:string>>)"
 
 
@@ -246,18 +244,143 @@ def _tests(v: str, path: str, node: dict) -> list[tuple[str, str, str]]:
     return [(bad, kind, f"concat({_shown(v, path)}, {sql_text(message)})") for bad, kind, message in out]
 
 
-def _checks(v: str, path: str, node: dict | bool, root: dict, depth: int = 0, refs: tuple[str, ...] = ()) -> list[str]:
-    """Arrays of the errors of the value at a path, in schema order. All levels of the schema are compiled. A schema that
-    contains itself is compiled UNROLLED times; what nests deeper is an error of its own, never a pass."""
+def _below(node: dict | bool) -> list[tuple[dict | bool, bool]]:
+    """The schemas a schema applies, each with whether it is for a member or item (True) or for the value itself."""
+    if isinstance(node, bool):
+        return []
+    if "$ref" in node:
+        return []
+    out = [(o, False) for word in ("allOf", "anyOf", "oneOf") for o in node.get(word, [])]
+    out += [(node["not"], False)] if "not" in node else []
+    out += [(c, True) for c in node.get("properties", {}).values()]
+    out += [(c, True) for c in _tuple(node)[0]]
+    return out + [(c, True) for c in (node.get("additionalProperties", True), _tuple(node)[1])]
+
+
+def _tuple(node: dict) -> tuple[list, dict | bool]:
+    """Schemas of the first items, one each, and the schema of the others."""
+    if isinstance(node.get("items"), list):
+        return node["items"], node.get("additionalItems", True)
+    return node.get("prefixItems", []), node.get("items", True)
+
+
+def recursive_refs(schema: dict) -> list[str]:
+    """References that lead to themselves again, in order of their text.
+
+    One that does so without going down into the value has no meaning and raises.
+    """
+    edges: dict[str, set[tuple[str, bool]]] = {}
+
+    def refs(node: dict | bool, down: bool) -> set[tuple[str, bool]]:
+        if isinstance(node, dict) and "$ref" in node:
+            return {(node["$ref"], down)}
+        return {r for child, deeper in _below(node) for r in refs(child, down or deeper)}
+
+    todo = [r for r, _ in refs(schema, False)]
+    while todo:
+        ref = todo.pop()
+        if ref not in edges:
+            # One step: a reference that only names another one is a step of its own.
+            node = _pointed(ref, schema)
+            edges[ref] = refs(node, False)
+            todo += [r for r, _ in edges[ref]]
+
+    def reached(start: str, only_same: bool) -> set[str]:
+        found: set[str] = set()
+        queue = [start]
+        while queue:
+            for r, down in edges[queue.pop()]:
+                if r not in found and not (only_same and down):
+                    found.add(r)
+                    queue.append(r)
+        return found
+
+    for ref in edges:
+        if ref in reached(ref, True):
+            raise ValueError(f"reference {ref!r} leads nowhere in the schema")
+    return sorted(r for r in edges if r in reached(r, False))
+
+
+def _pointed(ref: str, root: dict) -> dict | bool:
+    """The schema at a JSON pointer, which may be a reference itself."""
+    if not ref.startswith("#"):
+        raise ValueError(f"reference {ref!r} leads nowhere in the schema")
+    node = root
+    for part in ref[1:].split("/")[1:]:
+        part = part.replace("~1", "/").replace("~0", "~")
+        try:
+            node = node[int(part)] if isinstance(node, list) else node[part]
+        except (KeyError, IndexError, ValueError, TypeError):
+            raise ValueError(f"reference {ref!r} leads nowhere in the schema") from None
+    return node
+
+
+def _place(unit: int, at: str, path: str) -> str:
+    """What names a value under a reference, among all values of a payload: the work item it lies in, the reference, and the way from the item."""
+    return f"concat(n.id, ':{unit}:', {at}, {sql_text(path)})"
+
+
+def _pending(v: str, path: str, node: dict | bool, root: dict, units: tuple[str, ...], depth: int = 0, at: str = "''") -> list[str]:
+    """Arrays of (unit, value, key): the recursive references that a schema applies to the value at a path and what is below it."""
+    if isinstance(node, bool):
+        return []
+    if "$ref" in node:
+        if node["$ref"] not in units:
+            return _pending(v, path, _pointed(node["$ref"], root), root, units, depth, at)
+        value, unit = _get(v, path, "variant"), units.index(node["$ref"])
+        item = f"named_struct('unit', {unit}, 'value', {value}, 'key', {_place(unit, at, path)})"
+        return [f"CASE WHEN {value} IS NOT NULL THEN array({item}) ELSE {_NO_WORK} END"]
+    out = []
+    for option, deeper in _below(node):
+        if not deeper:
+            out += _pending(v, path, option, root, units, depth + 1, at)
+    for name, child in node.get("properties", {}).items():
+        out += _pending(v, _step(path, name), child, root, units, depth + 1, at)
+    rest = node.get("additionalProperties", True)
+    e = f"a{depth}"
+    each = _pending(f"{e}.value", "$", rest, root, units, depth + 1, _in_member(at, path, e))
+    if each:
+        out.append(f"coalesce(flatten(transform({_others(v, path, node, e)}, {e} -> concat({', '.join(each)}))), {_NO_WORK})")
+    first, others = _tuple(node)
+    for i, child in enumerate(first):
+        out += _pending(v, f"{path}[{i}]", child, root, units, depth + 1, at)
+    e = f"i{depth}"
+    each = _pending(e, "$", others, root, units, depth + 1, _in_item(at, path, depth))
+    if each:
+        out.append(f"coalesce(flatten(transform({_later_items(v, path, len(first))}, ({e}, x{depth}) -> concat({', '.join(each)}))), {_NO_WORK})")
+    return out
+
+
+def _in_member(at: str, path: str, entry: str) -> str:
+    return f"concat({at}, {sql_text(path)}, '{{', {entry}.key, '}}')"
+
+
+def _in_item(at: str, path: str, depth: int) -> str:
+    return f"concat({at}, {sql_text(path)}, '[', x{depth}, ']')"
+
+
+def _others(v: str, path: str, node: dict, e: str) -> str:
+    """Members of an object that its schema does not name."""
+    return f"filter(map_entries({_get(v, path, _MAP)}), {e} -> NOT array_contains({_texts(node.get('properties', {}))}, {e}.key))"
+
+
+def _later_items(v: str, path: str, first: int) -> str:
+    items = _get(v, path, "array<variant>")
+    return f"slice({items}, {first + 1}, greatest(size({items}) - {first}, 0))" if first else items
+
+
+def _checks(v: str, path: str, node: dict | bool, root: dict, depth: int = 0, units: tuple[str, ...] = (), at: str = "''") -> list[str]:
+    """Arrays of the errors of the value at a path, in schema order. All levels of the schema are compiled, but for references in
+    `units`: their errors are looked up in the map `done` by the value's place; `at` is the way to `v` from the work item `n`."""
     present = f"{_get(v, path, 'variant')} IS NOT NULL" if path != "$" else "true"
     if isinstance(node, bool):
         never = _error("other", f"concat({_shown(v, path)}, ' is not allowed')")
         return [] if node else [f"array_compact(array(CASE WHEN {present} THEN {never} END))"]
     if "$ref" in node:
-        if refs.count(node["$ref"]) >= UNROLLED:
-            beyond = _error("other", sql_text(f"nests {node['$ref']} more than {UNROLLED} times, which is not checked"))
-            return [f"array_compact(array(CASE WHEN {present} THEN {beyond} END))"]
-        return _checks(v, path, _resolve({"$ref": node["$ref"]}, root), root, depth, (*refs, node["$ref"]))
+        if node["$ref"] in units:
+            found = f"try_element_at(done, {_place(units.index(node['$ref']), at, path)})"
+            return [f"CASE WHEN {present} THEN coalesce({found}, {_NO_ERRORS}) ELSE {_NO_ERRORS} END"]
+        return _checks(v, path, _pointed(node["$ref"], root), root, depth, units, at)
     unknown = set(node) - CHECKED - ANNOTATIONS
     if unknown:
         raise ValueError(f"JSON schema keywords that are not checked: {', '.join(sorted(unknown))}")
@@ -266,14 +389,14 @@ def _checks(v: str, path: str, node: dict | bool, root: dict, depth: int = 0, re
     deeper: list[str] = []
 
     def valid(option: dict | bool) -> str:
-        return f"size({_joined(_checks(v, path, option, root, depth + 1, refs))}) = 0"
+        return f"size({_joined(_checks(v, path, option, root, depth + 1, units, at))}) = 0"
 
     def whole(bad: str, message: str) -> None:
         text = f"concat({_shown(v, path)}, {sql_text(message)})"
         single.append(f"CASE WHEN {present} THEN CASE WHEN {bad} THEN {_error('other', text)} END END")
 
     for option in node.get("allOf", []):
-        deeper += _checks(v, path, option, root, depth + 1, refs)
+        deeper += _checks(v, path, option, root, depth + 1, units, at)
     if "anyOf" in node:
         whole(f"NOT ({' OR '.join(valid(o) for o in node['anyOf'])})", " is not valid under any of the given schemas")
     if "oneOf" in node:
@@ -287,26 +410,29 @@ def _checks(v: str, path: str, node: dict | bool, root: dict, depth: int = 0, re
         error = _error("missing", sql_text(f"'{name}' is a required property"))
         single.append(f"CASE WHEN {absent} THEN CASE WHEN {_is_object(v, path)} THEN {error} END END")
     for name, child in node.get("properties", {}).items():
-        deeper += _checks(v, _step(path, name), child, root, depth + 1, refs)
+        deeper += _checks(v, _step(path, name), child, root, depth + 1, units, at)
     rest = node.get("additionalProperties", True)
     if rest is not True:
         e = f"a{depth}"
-        others = f"filter(map_entries({_get(v, path, _MAP)}), {e} -> NOT array_contains({_texts(node.get('properties', {}))}, {e}.key))"
+        others = _others(v, path, node, e)
         if rest is False:
             each = [f"array({_error('other', _concat(sql_text('additional property '), f'{e}.key', sql_text(' is not allowed')))})"]
         else:
-            each = _checks(f"{e}.value", "$", rest, root, depth + 1, refs)
+            each = _checks(f"{e}.value", "$", rest, root, depth + 1, units, _in_member(at, path, e))
         if each:
             found = f"flatten(transform({others}, {e} -> {_joined(each)}))"
             deeper.append(f"CASE WHEN {_is_object(v, path)} THEN coalesce({found}, {_NO_ERRORS}) ELSE {_NO_ERRORS} END")
-    items = node.get("items", True)
-    if isinstance(items, list):
-        raise ValueError("a list of item schemas is not checked")
-    if items is not True:
+    first, items = _tuple(node)
+    for i, child in enumerate(first):
+        deeper += _checks(v, f"{path}[{i}]", child, root, depth + 1, units, at)
+    if first and items is False:
+        more = f"size({_get(v, path, 'array<variant>')}) > {len(first)}"
+        single.append(f"CASE WHEN {present} THEN CASE WHEN {more} THEN {_error('other', _concat(_shown(v, path), sql_text(' has additional items')))} END END")
+    elif items is not True:
         e = f"i{depth}"
-        each = _checks(e, "$", items, root, depth + 1, refs)
+        each = _checks(e, "$", items, root, depth + 1, units, _in_item(at, path, depth))
         if each:
-            found = f"flatten(transform({_get(v, path, 'array<variant>')}, {e} -> {_joined(each)}))"
+            found = f"flatten(transform({_later_items(v, path, len(first))}, ({e}, x{depth}) -> {_joined(each)}))"
             deeper.append(f"coalesce({found}, {_NO_ERRORS})")
     return ([f"array_compact(array({', '.join(single)}))"] if single else []) + deeper
 
@@ -319,10 +445,45 @@ def _joined(arrays: list[str]) -> str:
     return f"concat({', '.join(arrays)})" if arrays else _NO_ERRORS
 
 
+def _deep_errors(variant: str, schema: dict, units: tuple[str, ...]) -> str:
+    """Errors under a schema that contains itself, for payloads of any depth.
+
+    A worklist inside the row: first, level by level, every value that a recursive reference applies to, until a level has none; then
+    their errors from the deepest up, each looking up those of the values below it by their place.
+    """
+    nodes = [_pointed(u, schema) for u in units]
+    start = len(units)  # the whole document under the whole schema
+
+    def by_unit(of) -> str:
+        return f"CASE n.unit {' '.join(f'WHEN {i} THEN {of(node)}' for i, node in enumerate([*nodes, schema]))} END"
+
+    def pending(node: dict | bool) -> str:
+        return f"concat({', '.join([_NO_WORK, *_pending('n.value', '$', node, schema, units)])})"
+
+    def errors(node: dict | bool) -> str:
+        return _joined(_checks("n.value", "$", node, schema, 0, units))
+
+    work = "array<struct<id:int,unit:int,value:variant,key:string>>"
+    text = f"to_json({variant})"
+    opened = f"length({text}) - length(translate({text}, '{{[', ''))"
+    levels = f"sequence(1, ({opened} + 1) * {len(units) + 1})"
+    below = f"flatten(transform(w.level, n -> {by_unit(pending)}))"
+    numbered = "transform(b, (x, i) -> named_struct('id', size(w.found) + i, 'unit', x.unit, 'value', x.value, 'key', x.key))"
+    down = f"element_at(transform(array({below}), b -> element_at(transform(array({numbered}), c -> named_struct('level', c, 'found', concat(w.found, c))), 1)), 1)"
+    first = f"cast(array(named_struct('id', 0, 'unit', {start}, 'value', {variant}, 'key', '')) as {work})"
+    state = f"struct<level:{work},found:{work}>"
+    found = f"aggregate({levels}, cast(named_struct('level', {first}, 'found', {first}) as {state}), (w, l) -> CASE WHEN size(w.level) = 0 THEN w ELSE cast({down} as {state}) END, w -> w.found)"
+    memo = "map<string,array<struct<kind:string,text:string>>>"
+    step = f"CASE WHEN map_contains_key(done, n.key) THEN done ELSE map_concat(done, map(n.key, {by_unit(errors)})) END"
+    return f"aggregate(reverse({found}), cast(map() as {memo}), (done, n) -> cast({step} as {memo}), done -> element_at(done, ''))"
+
+
 def validation_errors(variant: str, schema: dict) -> Column:
     """All errors of a parsed payload as ``array<struct<kind,text>>``, in schema order."""
     unreadable = f"array({_error('other', sql_text('payload is not JSON'))})"
-    return F.expr(f"CASE WHEN {variant} IS NULL THEN {unreadable} ELSE {_joined(_checks(variant, '$', schema, schema))} END")
+    units = tuple(recursive_refs(schema))
+    checked = _deep_errors(variant, schema, units) if units else _joined(_checks(variant, "$", schema, schema))
+    return F.expr(f"CASE WHEN {variant} IS NULL THEN {unreadable} ELSE {checked} END")
 
 
 def error_text(errors: Column) -> Column:
@@ -341,9 +502,12 @@ def error_text(errors: Column) -> Column:
 
 def validate(
     df: DataFrame, schema: dict, payload: str = "payload", schema_iglu: str | None = None,
-    schema_source: str | None = None, stamp: str | None = None,
+    schema_source: str | None = None, stamp: str | None = None, all_errors: str | None = None,
 ) -> DataFrame:
-    """Add validation_status (pass/fail), validation_error and unknown_fields, and the stamp columns."""
+    """Add validation_status (pass/fail), validation_error and unknown_fields, and the stamp columns.
+
+    `validation_error` shows a few errors of each group up to a length; `all_errors` names a column for all of them, uncut.
+    """
     parsed = df.withColumn("__v", F.try_parse_json(F.col(payload)))
     out = parsed.withColumns({"__errors": validation_errors("__v", schema), "unknown_fields": unknown_fields("__v", schema)})
     out = out.withColumns(
@@ -351,7 +515,10 @@ def validate(
             "validation_status": F.when(F.size("__errors") == 0, "pass").otherwise("fail"),
             "validation_error": error_text(F.col("__errors")),
         }
-    ).drop("__errors", "__v")
+    )
+    if all_errors:
+        out = out.withColumn(all_errors, F.col("__errors"))
+    out = out.drop("__errors", "__v")
     extra = {"schema_iglu": schema_iglu, "schema_source": schema_source, "validation_stamp": stamp}
     return out.withColumns({n: F.lit(v) for n, v in extra.items() if v is not None})
 

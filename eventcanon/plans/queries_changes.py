@@ -1,9 +1,10 @@
-"""Registered queries for change feeds, incremental runs by cursor and keyed streaming state."""
+"""Registered queries for change feeds, incremental runs by cursor, keyed streaming state and schemas that contain themselves."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from eventcanon.operators import validate
 from eventcanon.operators.merge import merge_into
 from eventcanon.plans import derived as d
 from eventcanon.plans import forms as fm
@@ -12,6 +13,7 @@ from eventcanon.plans.queries import query
 from eventcanon.plans.queries_tables import workspace
 from eventcanon.sources.catalog import Catalog
 from eventcanon.sources.changes import changes, new_rows
+from eventcanon.streaming.keyed import current_rows, start_keyed_fold
 
 
 @query("change_feed", f"""
@@ -69,3 +71,47 @@ def _(spark, sf):
     responses, events = _two_runs(spark, sf)
     responses.compact()
     return new_rows(responses, events, ["idem_key"], reader="intake_01", columns=["idem_key"])[0]
+
+
+@query("keyed_stream_fold", core.FOLD_SQL)
+def _(spark, sf):
+    """The event table landed in shuffled parts, one of them twice, and folded by a stream that is started twice; states live in the state store."""
+    root = workspace(spark)
+    e = d.load(spark, sf, "events").withColumns(
+        {"last_purchase": F.expr("case when event_type = 'purchase' then value end"), "last_error": F.expr("case when event_type = 'error' then props end")}
+    ).select("user_id", "ts", "event_id", "last_purchase", "last_error")
+    table = Catalog(spark, root).table("derived", "state")
+    fields = ["last_purchase", "last_error"]
+    part = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for parts in ((2, 0), (1, 0)):
+        for p in parts:
+            e.where(part == p).coalesce(1).write.mode("append").parquet(f"{root}/landed")
+        events = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+        start_keyed_fold(events, table, "user_id", fields, ["ts", "event_id"], checkpoint=f"{root}/checkpoint").awaitTermination()
+    return current_rows(table, "user_id").select("user_id", *fields, "row_id", "row_version", "row_state")
+
+
+NESTED = {
+    "$ref": "#/definitions/node",
+    "definitions": {
+        "node": {"type": "object", "required": ["v"], "properties": {"v": {"type": "integer"}, "next": {"$ref": "#/definitions/next"}}},
+        "next": {"anyOf": [{"type": "null"}, {"$ref": "#/definitions/node"}]},
+    },
+}
+
+
+@query("validate_nested", """
+WITH e AS (SELECT event_id, CASE WHEN event_id % 20 = 0 THEN event_id // 20 % 51 ELSE event_id % 4 END AS depth FROM events)
+SELECT event_id, depth, CASE WHEN event_id % 3 = 0 THEN 'fail' ELSE 'pass' END AS validation_status,
+  CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS errors,
+  CASE WHEN event_id % 3 = 0 THEN CASE WHEN depth = 0 THEN 'type' ELSE 'alternatives' END END AS said FROM e""")
+def _(spark, sf):
+    """Payloads under a schema that contains itself, through alternatives, one of twenty up to fifty levels deep; all errors, uncut."""
+    e = d.load(spark, sf, "events").selectExpr("event_id", "if(event_id % 20 = 0, event_id div 20 % 51, event_id % 4) AS depth")
+    leaf = F.when(F.col("event_id") % 3 == 0, F.lit('{"v":"x","next":null}')).otherwise(F.lit('{"v":1}'))
+    deep = F.col("depth").cast("int")
+    rows = e.withColumn("payload", F.concat(F.repeat(F.lit('{"v":1,"next":'), deep), leaf, F.repeat(F.lit("}"), deep)))
+    out = validate.validate(rows, NESTED, all_errors="all")
+    text = F.get("all", F.lit(0))["text"]
+    said = F.when(text.endswith("is not valid under any of the given schemas"), "alternatives").when(text.endswith("is not of type 'integer'"), "type").otherwise(text)
+    return out.select("event_id", "depth", "validation_status", F.size("all").alias("errors"), said.alias("said"))

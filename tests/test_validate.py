@@ -1,6 +1,7 @@
 """Validation and drift, against a plain Python reading of the same rules."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -207,9 +208,97 @@ def test_what_is_not_checked_raises(schema):
         validate.validation_errors("v", schema)
 
 
-def test_recursive_schemas_never_pass_unseen(spark):
+@pytest.mark.parametrize("depth", [0, 4, 8, 50])
+def test_recursive_schemas_at_any_depth(spark, depth):
     schema = {"type": "object", "properties": {"v": {"type": "integer"}, "next": {"$ref": "#"}}}
     nested = lambda n, v: '{"v": 1, "next": ' * n + f'{{"v": {v}}}' + "}" * n
-    df = spark.createDataFrame([(n, v, nested(n, v)) for n in range(9) for v in ("1", '"x"')], "n int, v string, p string").selectExpr("n", "v", "try_parse_json(p) AS j")
-    for r in df.select("n", "v", F.size(validate.validation_errors("j", schema)).alias("errors")).collect():
-        assert (r.errors == 0) == (r.v == "1" and r.n <= validate.UNROLLED)
+    df = spark.createDataFrame([(v, nested(depth, v)) for v in ("1", '"x"')], "v string, payload string")
+    out = {r.v: r for r in validate.validate(df, schema, all_errors="errors").collect()}
+    assert out["1"].validation_status == "pass" and out["1"].errors == []
+    assert out['"x"'].validation_error == "Type mismatch: 'x' is not of type 'integer'"
+    assert [tuple(e) for e in out['"x"'].errors] == [("type", "'x' is not of type 'integer'")]
+
+
+TREE = {
+    "$ref": "#/definitions/node",
+    "definitions": {
+        "node": {
+            "type": "object", "required": ["k"],
+            "properties": {
+                "k": {"enum": ["leaf", "pair", "list", "map", "odd"]}, "n": {"type": "integer", "minimum": 0},
+                "left": {"$ref": "#/definitions/maybe"}, "right": {"$ref": "#/definitions/maybe"},
+                "all": {"type": "array", "items": {"$ref": "#/definitions/node"}},
+                "by": {"type": "object", "additionalProperties": {"$ref": "#/definitions/node"}},
+                "two": {"items": [{"type": "integer"}, {"$ref": "#/definitions/node"}], "additionalItems": False},
+                "no": {"not": {"$ref": "#/definitions/node"}},
+            },
+        },
+        "maybe": {"oneOf": [{"type": "null"}, {"$ref": "#/definitions/node"}]},
+    },
+}
+
+
+def valid(value, node):
+    """A plain reading of the keywords that TREE uses."""
+    if "$ref" in node:
+        return valid(value, TREE["definitions"][node["$ref"].split("/")[-1]])
+    kinds = {"object": dict, "array": list, "integer": int, "null": type(None)}
+    ok = "type" not in node or isinstance(value, kinds[node["type"]])
+    ok &= "enum" not in node or value in node["enum"]
+    ok &= "minimum" not in node or not isinstance(value, int) or value >= node["minimum"]
+    ok &= "not" not in node or not valid(value, node["not"])
+    ok &= "oneOf" not in node or sum(valid(value, o) for o in node["oneOf"]) == 1
+    if isinstance(value, dict):
+        own = node.get("properties", {})
+        ok &= all(r in value for r in node.get("required", [])) and all(valid(v, own[k]) for k, v in value.items() if k in own)
+        ok &= all(valid(v, node["additionalProperties"]) for k, v in value.items() if k not in own and "additionalProperties" in node)
+    if isinstance(value, list) and "items" in node:
+        each = node["items"]
+        ok &= all(valid(v, each) for v in value) if isinstance(each, dict) else len(value) <= len(each) and all(map(valid, value, each))
+    return bool(ok)
+
+
+def grown(rng, depth):
+    """A node of the tree, now and then a wrong one."""
+    out = {"k": rng.choice(["leaf", "pair", "list", "map"])} if rng.random() < 0.97 else {"x": 1}
+    if depth:
+        kind = rng.choice(["left", "both", "all", "by", "two", "no"])
+        sub = lambda: grown(rng, depth - 1 - rng.randrange(min(depth, 3)))
+        if kind in ("left", "both"):
+            out["left"] = grown(rng, depth - 1)
+        if kind == "both":
+            out["right"] = rng.choice([None, sub()])
+        if kind == "all":
+            out["all"] = [sub() for _ in range(rng.randrange(3))]
+        if kind == "by":
+            out["by"] = {c: sub() for c in "pq"[: rng.randrange(3)]}
+        if kind == "two":
+            out["two"] = [rng.choice([1, 1, 1, "x"]), sub(), 3][: rng.choice([1, 2, 2, 2, 3])]
+        if kind == "no":
+            out["no"] = rng.choice([sub(), {}, 5, {}])
+    elif rng.random() < 0.3:
+        out["n"] = rng.choice([1, 0, -1, "1"])
+    return out
+
+
+def test_random_trees_against_a_plain_reading(spark):
+    rng = random.Random(6)
+    trees = [grown(rng, rng.choice([0, 1, 2, 3, 4, 5, 6, 7, 12, 20])) for _ in range(300)]
+    df = spark.createDataFrame([(i, json.dumps(t)) for i, t in enumerate(trees)], "i int, payload string")
+    got = {r.i: r.validation_status for r in validate.validate(df, TREE).select("i", "validation_status").collect()}
+    want = {i: "pass" if valid(t, TREE) else "fail" for i, t in enumerate(trees)}
+    assert got == want and len(set(want.values())) == 2 and sum(v == "pass" for v in want.values()) > 60
+
+
+def test_references_that_go_nowhere_raise():
+    for bad in ({"$ref": "#"}, {"allOf": [{"$ref": "#"}]}, {"properties": {"a": {"anyOf": [{"$ref": "#/properties/a"}]}}}):
+        with pytest.raises(ValueError):
+            validate.validation_errors("v", bad)
+
+
+def test_items_by_place(spark):
+    for schema in ({"items": [{"type": "integer"}, {"type": "string"}], "additionalItems": {"type": "boolean"}}, {"prefixItems": [{"type": "integer"}, {"type": "string"}], "items": {"type": "boolean"}}):
+        texts = ['[1, "a", true, false]', "[1]", "[]", '["a"]', "[1, 2]", '[1, "a", 3]', '"none"']
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, p string").selectExpr("i", "try_parse_json(p) AS v")
+        out = [r[0] for r in df.orderBy("i").select(F.size(validate.validation_errors("v", schema))).collect()]
+        assert out == [0, 0, 0, 1, 1, 1, 0]
