@@ -47,3 +47,59 @@ def test_given_pages(spark):
         said = [" ".join(html.unescape(re.sub(r"</?b>", "", p).replace("<br>", " ")).split()) for p in parts]
         want[r.page_id] = "\n".join(s for s in said if s)
     assert {r.page_id: r.text for r in html_text.extract(pages).collect()} == want
+
+
+LONG = "Prose of the article. " * 10
+SAID = LONG.strip()
+CELLS = "cell " * 80
+FORMS = [
+    (f"<article><h1>T</h1><p>lead</p><div class=body><p>{LONG}</p></div></article>", f"T\nlead\n{SAID}"),
+    (f"<section class='intro'><p>Intro text here.</p></section><section class='story'><p>{LONG}</p></section>", f"Intro text here.\n{SAID}"),
+    (f"<article><p>{LONG}</p><table><tr><td>{CELLS}</td><td>x</td></tr></table></article>", f"{SAID}\n{CELLS.strip()}\nx"),
+    (f"<p>{LONG}</p><table><tr><td>{CELLS}</td></tr></table>", f"{SAID}\n{CELLS.strip()}"),
+    (f"<div class='layout has-sidebar'><article><p>{LONG}</p></article><div class=sidebar>side</div></div>", SAID),
+    (f"<div class='sidebar layout'><article><p>{LONG}</p></article></div>", SAID),
+    (f"<div id='page' class='with-header'><div class='post'><p>{LONG}</p></div></div>", SAID),
+    (f"<section class='no-comments'><p>{LONG}</p></section>", SAID),
+    (f"<div class='search-result'><p>{LONG}</p></div><div class='related-work'>Short.</div>", SAID),
+    (f"<div class='form'><p>{LONG}</p></div><div class='sidebar-left'>left side</div>", SAID),
+    (f"<div class=post><p>{LONG}</p></div><div class=comments><article class=comment><p>{LONG * 3}</p></article></div>", SAID),
+    (f"<div class=wrap><div class=story><p>{LONG}</p></div><ul class=menu><li><a href=x>menu</a></ul><div><a href=1>one</a> <a href=2>two</a></div></div>", SAID),
+    (f"<div class=ad-slot>buy</div><div class=cookieBanner>cookies</div><main><p>{LONG}</p><div class='share-buttons'>share</div></main>", f"{SAID}"),
+]
+
+
+def test_usual_forms():
+    from eventcanon.llm.html_text import Page
+
+    for source, want in FORMS[:-1]:
+        page = Page(f"<html><body>{source}</body></html>")
+        assert page.text(page.best()) == want, source
+    page = Page(FORMS[-1][0])
+    assert page.text(page.best()).startswith(SAID) and "buy" not in page.text(page.best()) and "cookies" not in page.text(page.best())
+
+
+def test_names_of_what_is_no_main_text():
+    from eventcanon.llm.html_text import mark_of
+
+    assert [mark_of(n) for n in ("sidebar", "page-sidebar", "sidebar-left", "ad-slot", "cookieNotice", "footer_links", "comment-list", "comments")] == [2, 2, 2, 2, 1, 2, 3, 3]
+    assert not any(map(mark_of, ("has-sidebar", "with-header", "no-comments", "search-result", "related-work", "content", "left", "", "42", "padding", "main-content")))
+
+
+def test_time_is_linear_in_what_is_left_open():
+    import time
+
+    from eventcanon.llm.html_text import Page
+
+    for part in ("<div ", "<div \"", "<a '<b \"", "<!", "</script ", "<script></script ", "<div>", "</p>", "<li>", "<span><li>", "<a href=\"x>", "<!--", "<p class=\"", "<?"):
+        start = time.perf_counter()
+        Page(part * 20_000)
+        assert time.perf_counter() - start < 10, part
+    assert Page("<p>a <b class=x>b</b> c").text("html") == "a b c"
+
+
+def test_many_hosts_are_joined_over_salted_keys(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, f"http://h{i % 3}.example/{i}", PAGE % (i, "y")) for i in range(12)], SCHEMA)
+    want = sorted(map(tuple, html_text.extract(pages).collect()))
+    monkeypatch.setattr(html_text, "WINNER_BYTES", 0)
+    assert sorted(map(tuple, html_text.extract(pages).collect())) == want
