@@ -1,44 +1,69 @@
 """Language identification with string kernels.
 
 Two texts are as alike as the character n-grams (n = 1 to 3, a blend of spectra) that both hold: shared n-grams over the root of the product of
-how many each holds. Landmark texts, LANDMARKS for each language, stand for the rest (Nyström); one-versus-rest kernel ridge regression
+how many each holds. N-grams are of the letters (and combining marks) of any script, lower-cased, by code point, with one gap for each stretch of other
+characters, and are numbered by a hash of GRAM_BITS bits. Landmark texts, LANDMARKS for each language, stand for the rest (Nyström); one-versus-rest kernel ridge regression
 gives each language's weight of each landmark. Documents are scored in blocks: presence vectors times the landmarks' presence vectors, then times
 the weights.
 
 Languages are learned from rows whose crc32(doc_id as text) mod 4 is not 2 and whose lang is not NULL, at most SAMPLE rows
-for each language, those with the least hash of doc_id and text. Documents with NULL text or without a letter are `und` with score 0, as
+for each language, those with the least hash of doc_id and text; rows with the same doc_id, text and lang count once. Documents with NULL text or without a letter are `und` with score 0, as
 is every document if nothing can be learned. Repeated rows get the same answer; other columns are not read.
 """
 
 from __future__ import annotations
 
+import functools
+import sys
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventcanon.llm.common import learning_rows, map_batches, remainder, text_of
-from eventcanon.llm.letters import SIZE, codes
 
 MODULUS, HELD_OUT = 4, 2
 SAMPLE, LANDMARKS = 300, 32
 RIDGE = 1e-3
 BLOCK = 64
-#: Numbers of 1-, 2- and 3-grams one after the other.
-AT = np.array([0, SIZE, SIZE + SIZE**2, SIZE + SIZE**2 + SIZE**3])
+GRAM_BITS = 18
+N_GRAMS = 1 << GRAM_BITS
+#: Odd factors that spread the code points at each place of an n-gram, and the sum, over 64 bits.
+FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+SPREAD = np.uint64(0xFF51AFD7ED558CCD)
+
+
+@functools.cache
+def letters() -> np.ndarray:
+    """For each code point whether it is a letter or a mark that belongs to one."""
+    return np.fromiter((unicodedata.category(chr(c))[0] in "LM" for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
+
+
+def points_of(text: str) -> np.ndarray:
+    """Code points of the letters of lower-cased text, with one 0 for each stretch of other characters and at both ends."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
+    out = np.zeros(len(points) + 2, np.uint64)
+    out[1:-1] = np.where(letters()[points], points, 0)
+    return out[~((out == 0) & (np.concatenate(([1], out[:-1])) == 0))]
 
 
 class Grams:
-    """Which n-grams a text holds, as sorted numbers below AT[-1]."""
+    """Which n-grams a text holds, as sorted numbers below N_GRAMS."""
 
     def __init__(self):
-        self.seen = np.zeros(AT[-1], bool)
+        self.seen = np.zeros(N_GRAMS, bool)
 
     def __call__(self, text: str) -> np.ndarray:
-        c = codes(text).astype(np.int32)
-        for part in (c, AT[1] + (c[:-1] << 6) + c[1:], AT[2] + (c[:-2] << 12) + (c[1:-1] << 6) + c[2:]):
-            self.seen[part] = True
-        self.seen[0] = False  # every text has an end
+        c = points_of(text)
+        one = c * FACTORS[0]
+        two = one[:-1] + c[1:] * FACTORS[1] + np.uint64(1)
+        three = two[:-1] + c[2:] * FACTORS[2] + np.uint64(1)
+        for n in (one[c > 0], two, three):
+            n *= SPREAD
+            n ^= n >> np.uint64(32)
+            self.seen[(n * SPREAD) >> np.uint64(64 - GRAM_BITS)] = True
         out = np.flatnonzero(self.seen)
         self.seen[out] = False
         return out.astype(np.int32)
@@ -60,7 +85,7 @@ class Model:
     def __init__(self, landmarks: list[np.ndarray], texts: list[np.ndarray], langs: list[str]):
         self.langs = sorted(set(langs))
         known = np.unique(np.concatenate(landmarks)) if landmarks else np.empty(0, np.int32)
-        self.place = np.full(AT[-1], -1, np.int32)
+        self.place = np.full(N_GRAMS, -1, np.int32)
         self.place[known] = np.arange(len(known))
         self.marks = np.zeros((len(known), len(landmarks)), np.float32)
         for j, g in enumerate(landmarks):
@@ -100,8 +125,11 @@ def learn(docs: DataFrame) -> Model | None:
     own = Window.partitionBy("lang").orderBy("order", "doc_id")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text_of().alias("text")).where("lang is not null")
     rows = learning_rows(rows, "doc_id", MODULUS, HELD_OUT).withColumn("order", F.xxhash64("doc_id", "text"))
-    picked = rows.select("lang", "order", "doc_id").withColumn("nth", F.row_number().over(own)).where(F.col("nth") <= SAMPLE)
-    chosen = rows.join(picked.select("lang", "order", "doc_id"), ["lang", "order", "doc_id"], "left_semi").select("lang", "order", "text")
+    key = ["lang", "order", "doc_id"]
+    picked = rows.select(*key).distinct().withColumn("nth", F.row_number().over(own)).where(F.col("nth") <= SAMPLE)
+    matches = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key]
+    same = rows.join(picked.select(*[F.col(c).alias(f"__{c}") for c in key]), matches, "left_semi")
+    chosen = same.groupBy(*key).agg(F.first("text").alias("text")).select("lang", "order", "text")  # one of rows that repeat
 
     def start():
         grams = Grams()
