@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
+import re
 import sys
 import tempfile
 from collections.abc import Callable, Iterator
@@ -24,11 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own only where that is unset (tests on one machine)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named by ``spark.checkpoint.dir``. Where that is unset, one of our own if all tasks run in this process (tests); else it fails."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_llm_shared_folder", None)
     if not root:
-        root = getattr(spark, "_llm_shared_folder", None) or tempfile.mkdtemp(prefix="llm-shared-")
-        spark._llm_shared_folder = root
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        root = spark._llm_shared_folder = tempfile.mkdtemp(prefix="llm-shared-")
     return root.rstrip("/")
 
 

@@ -77,11 +77,9 @@ def replicate(
         F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("n_bytes"))
     rated = rates(sizes, weights, epochs, temperature).select(*[F.col(c).alias(f"__{c}") for c in ("source_key", "rate", "parts", "upto")])
     known = mixed.join(rated, F.col("__source") == F.col("__source_key"), "left")
-    draw = lambda part: uniform(F.lit(seed), F.col("__source"), F.col("__id"), F.col("__text"), part)
-    count = F.aggregate(
-        F.sequence(F.lit(1), F.col("__parts")), F.lit(0),
-        lambda acc, part: acc + F.size(F.filter("__upto", lambda c: c <= draw(part))),
-    )
+    # One draw a part; the search among the probabilities then compares numbers only.
+    draws = F.transform(F.sequence(F.lit(1), F.col("__parts")), lambda part: uniform(F.lit(seed), F.col("__source"), F.col("__id"), F.col("__text"), part))
+    count = F.aggregate(draws, F.lit(0), lambda acc, u: acc + F.size(F.filter("__upto", lambda c: c <= u)))
     counted = known.withColumn("__n", F.when(F.col("__rate") > 0, count).otherwise(F.lit(0)))
     copies = counted.where("__n > 0").withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
     said = F.concat_ws("|", F.lit(str(seed)), F.lit("order"), F.coalesce("__id", F.lit("null")), "__text", F.col("__copy").cast("string"))
