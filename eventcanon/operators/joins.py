@@ -6,17 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan, the number its own broadcast decision uses."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def is_small(df: DataFrame) -> bool:
-    """True when Spark would broadcast `df` by its own threshold."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= plan_bytes(df) <= limit
-
-
 def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     """Keys holding more than `share` of the rows: at most ``1 / share`` of them by arithmetic."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"))

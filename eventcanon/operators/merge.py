@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from eventcanon.operators.joins import is_small
 from eventcanon.operators.latest import latest_per_key
 from eventcanon.sources.reads import Filters, predicate
 
@@ -55,10 +54,9 @@ def merge_into(
     the source, unmatched source rows are added, other target rows stay. Source rows are reduced to
     one per key by `order`. `with_action` adds ``_merge_action``: insert, update or keep.
 
-    Small batch (Spark's own broadcast threshold): the target is not shuffled at all; it is read
-    once with the batch broadcast, and once more for its keys alone to find the inserts. Otherwise
-    one full outer join on the keys. Target keys are unique, source keys are made unique, so no
-    task sees more than two rows per key.
+    One plan whatever the sizes: the target takes its updates by a left join, and the batch loses the keys that the target holds by
+    an anti join with those. Spark broadcasts the batch by its own threshold, and then the target is not shuffled at all.
+    Target keys are unique, source keys are made unique, so no task sees more than two rows per key.
     """
     source = one_per_key(source, keys, order)
     columns = target.columns
@@ -71,10 +69,7 @@ def merge_into(
     types = {f.name: f.dataType for f in target.schema.fields}
     source = source.select(*[F.col(c).cast(types[c]).alias(c) for c in source.columns])
 
-    if is_small(source):
-        out = _merge_small(target, source, keys, columns, update, types)
-    else:
-        out = _merge_large(target, source, keys, columns, update, types)
+    out = _merge(target, source, keys, columns, update, types)
     return out if with_action else out.drop(ACTION)
 
 
@@ -82,7 +77,7 @@ def _sided(df: DataFrame, flag: str) -> DataFrame:
     return df.withColumn(flag, F.lit(True))
 
 
-def _merge_small(target, source, keys, columns, update, types) -> DataFrame:
+def _merge(target, source, keys, columns, update, types) -> DataFrame:
     s = _sided(source, "__s").alias("s")
     hit = F.col("s.__s").isNotNull()
     kept = target.alias("t").join(s, _same("t", "s", keys), "left").select(
@@ -101,27 +96,6 @@ def _merge_small(target, source, keys, columns, update, types) -> DataFrame:
     return kept.unionByName(new)
 
 
-def _merge_large(target, source, keys, columns, update, types) -> DataFrame:
-    t, s = _sided(target, "__t").alias("t"), _sided(source, "__s").alias("s")
-    in_t, in_s = F.col("t.__t").isNotNull(), F.col("s.__s").isNotNull()
-
-    def pick(c: str) -> Column:
-        mine = F.col(f"t.{c}")
-        if c not in source.columns:
-            return mine
-        theirs = F.col(f"s.{c}")
-        if c in keys:
-            return F.coalesce(mine, theirs)
-        if c in update:
-            return F.when(in_s, theirs).otherwise(mine)
-        return F.when(in_t, mine).otherwise(theirs)
-
-    action = F.when(in_s & in_t, "update").when(in_s, "insert").otherwise("keep")
-    return t.join(s, _same("t", "s", keys), "full_outer").select(
-        *[pick(c).alias(c) for c in columns], action.alias(ACTION)
-    )
-
-
 def merge_counts(merged: DataFrame) -> DataFrame:
     """True counts of a merge made ``with_action``: inserted, updated, deleted, unchanged."""
     a = F.col(ACTION)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,9 +24,9 @@ from eventcanon.streaming.ingest import start_ingest
 
 
 def workspace(spark: SparkSession) -> str:
-    """A new folder on the cluster's shared storage; a temporary one where none is configured."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = checkpoint_root(spark, shared or tempfile.mkdtemp(prefix="eventcanon-"))
+    """A new folder on the cluster's shared storage. Where none is configured, a temporary one if all tasks run in this process; else it fails."""
+    alone = re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", ""))
+    root = checkpoint_root(spark, tempfile.gettempdir() if alone else None)
     return f"{root.rstrip('/')}/eventcanon-{uuid.uuid4().hex}"
 
 

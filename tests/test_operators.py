@@ -61,7 +61,8 @@ def test_merge_both_ways(spark, threshold):
         source = spark.sql(f"SELECT * FROM VALUES {SOURCE[0]}, {SOURCE[1]} AS t(k, v, first_seen, last_seen)")
         out = merge.merge_into(target, source, ["k"], with_action=True)
         assert rows(out) == MERGED
-        assert ("FullOuter" in plan_of(out)) == (threshold == "-1")
+        # one plan: whether the batch is broadcast is Spark's choice, and then the target is not shuffled
+        assert "FullOuter" not in plan_of(out) and ("BroadcastHashJoin" in plan_of(out) or threshold == "-1")
         assert tuple(merge.merge_counts(out).collect()[0]) == (1, 1, 0, 2)
         once = out.drop(merge.ACTION)
         assert rows(merge.merge_into(once, source, ["k"])) == rows(once)
