@@ -197,8 +197,8 @@ class Reader:
 def language_model(docs: DataFrame) -> np.ndarray:
     """Log probabilities of character trigrams over all documents."""
     counts = np.zeros(SIZE**3, np.int64)
-    for r in trigram_counts(docs).toLocalIterator():
-        counts[r.code] = r.n
+    found = trigram_counts(docs).toArrow()  # at most SIZE ** 3 rows, in one job
+    counts[found.column("code").to_numpy()] = found.column("n").to_numpy()
     return log_probabilities(counts)
 
 
