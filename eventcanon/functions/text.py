@@ -20,18 +20,30 @@ def sender_domain(email: str | Column) -> Column:
     return regex_group(email, r"@(.+)$")
 
 
+def search_terms(query: str) -> list[str]:
+    """The words of a search text, lower-cased."""
+    terms = [t for t in re.split(r"[^\w]+", query.lower()) if t]
+    if not terms:
+        raise ValueError("empty search text")
+    return terms
+
+
+def text_words(text: str | Column) -> Column:
+    """The lower-cased words of a text, and an empty one where it begins or ends with something else."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.split(F.lower(text), r"[^\p{L}\p{N}_]+")
+
+
 def contains_terms(text: str | Column, query: str) -> Column:
     """True where every whole word of `query` occurs as a word of `text`, ignoring case."""
     text = F.col(text) if isinstance(text, str) else text
     low = F.lower(text)
-    terms = [t for t in re.split(r"[^\w]+", query.lower()) if t]
-    if not terms:
-        raise ValueError("empty search text")
+    terms = search_terms(query)
     # Most rows fail the plain substring test and are never split into words.
     found = F.lit(True)
     for t in terms:
         found = found & low.contains(t)
-    words = F.split(low, r"[^\p{L}\p{N}_]+")
+    words = text_words(text)
     whole = F.forall(F.array(*[F.lit(t) for t in terms]), lambda t: F.array_contains(words, t))
     return F.when(found, whole).otherwise(found)
 

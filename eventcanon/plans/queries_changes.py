@@ -1,10 +1,11 @@
-"""Registered queries for change feeds, incremental runs by cursor, keyed streaming state and schemas that contain themselves."""
+"""Registered queries for change feeds, incremental runs by cursor, keyed streaming state, schemas that contain themselves, as-of joins and indexed search."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventcanon.operators import validate
+from eventcanon.operators import search_index, validate
+from eventcanon.operators.asof import asof_join
 from eventcanon.operators.merge import merge_into
 from eventcanon.plans import derived as d
 from eventcanon.plans import forms as fm
@@ -115,3 +116,29 @@ def _(spark, sf):
     text = F.get("all", F.lit(0))["text"]
     said = F.when(text.endswith("is not valid under any of the given schemas"), "alternatives").when(text.endswith("is not of type 'integer'"), "type").otherwise(text)
     return out.select("event_id", "depth", "validation_status", F.size("all").alias("errors"), said.alias("said"))
+
+
+@query("asof_last_view", """
+SELECT e.event_id, e.user_id, (SELECT max(v.event_id) FROM events v WHERE v.event_type = 'view' AND v.user_id = e.user_id
+  AND v.ts = (SELECT max(w.ts) FROM events w WHERE w.event_type = 'view' AND w.user_id = e.user_id AND w.ts <= e.ts)) AS view_id
+FROM events e WHERE e.event_type IN ('error', 'purchase')""")
+def _(spark, sf):
+    """Each error and purchase with the view that its user had open then."""
+    e = d.load(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    views = e.where("event_type = 'view'").select("user_id", F.col("ts").alias("seen_at"), F.col("event_id").alias("view_id"))
+    asked = e.where("event_type in ('error', 'purchase')").drop("event_type")
+    return asof_join(asked, views, ["user_id"], "ts", "seen_at", order=["view_id"]).select("event_id", "user_id", "view_id")
+
+
+@query("indexed_search", r"""
+SELECT doc_id, lang FROM documents
+WHERE list_has_all(regexp_split_to_array(lower(text), '[^\p{L}\p{N}_]+'), ['the', 'of', 'and'])""")
+def _(spark, sf):
+    """A search by a posting table that was made in two parts; only the postings of its words and the buckets with hits are read."""
+    catalog = Catalog(spark, workspace(spark))
+    texts = catalog.table("raw", "documents", partition_by=[search_index.ROW_BUCKET])
+    index = catalog.table("derived", "postings", partition_by=[search_index.TOKEN_BUCKET], sort_by=["token"])
+    rows = d.load(spark, sf, "documents").select("doc_id", "lang", "text")
+    for part in (F.col("doc_id") % 2 == 0, F.coalesce(F.col("doc_id") % 2 != 0, F.lit(True))):
+        search_index.add_rows(texts, index, rows.where(part), "doc_id", "text", token_buckets=16, row_buckets=16)
+    return search_index.search(texts, index, "of AND the", "doc_id", "text").select("doc_id", "lang")
