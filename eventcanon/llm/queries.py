@@ -105,4 +105,4 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN items USING (rid) LEFT JOIN spans USING (rid)
 """
 
-ORACLES = {"op2_stream_dedup": DEDUP_SQL, "op6_decontaminate": LEAKS_SQL, "op9_mixing": mixing.MIX_SQL}
+ORACLES = {"op2_stream_dedup": DEDUP_SQL, "op6_decontaminate": LEAKS_SQL, "op9_mixing": mixing.MIX_SQL, "op11_structure": structure.REPAIR_SQL}

@@ -448,3 +448,53 @@ def damaged(turns: DataFrame) -> DataFrame:
 def report(turns: DataFrame) -> DataFrame:
     """The contract's columns for each conv_id of damaged conversations."""
     return repair(damaged(turns), turns.select("conv_id"))
+
+
+REPAIR_SQL = r"""
+WITH RECURSIVE marked AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, o: CASE WHEN o >= 0 THEN xor(c, o) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) % 20 AS d
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role, CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN d = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM marked WHERE d <> 0
+), placed AS (
+  SELECT coalesce(conv_id::VARCHAR, '') AS c, turn, role, text, left(role, 1) AS ini, right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS ends,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again
+  FROM damaged
+), faults AS (
+  SELECT *, CASE WHEN ends = '' THEN 1 WHEN again THEN 2 WHEN ends NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault, lag(ini) OVER (PARTITION BY c ORDER BY i) AS before FROM placed
+), sums AS (
+  SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+    count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (i > 1 AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY c
+), ins(state, mid, label, cost, said) AS (
+  VALUES ('', '', '', 0, ''), ('', 'u', 'I', 5, chr(10) || 'user:'), ('', 'a', 'II', 10, chr(10) || 'user:' || chr(10) || 'assistant:'),
+    ('s', 's', '', 0, ''), ('s', 'u', 'I', 5, chr(10) || 'user:'), ('s', 'a', 'II', 10, chr(10) || 'user:' || chr(10) || 'assistant:'),
+    ('u', 'u', '', 0, ''), ('u', 'a', 'I', 5, chr(10) || 'assistant:'), ('a', 'a', '', 0, ''), ('a', 'u', 'I', 5, chr(10) || 'user:')
+), edits AS (
+  SELECT c, i, mid, 'D' AS label, 2 AS cost, mid AS after, '' AS said FROM faults, (VALUES (''), ('s'), ('u'), ('a')) AS m(mid)
+  UNION ALL SELECT c, i, mid, 'K', CASE WHEN fault = 3 THEN 5 ELSE 0 END, ini, chr(10) || role || ':' || text
+  FROM faults JOIN (VALUES ('', 's'), ('', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')) AS m(mid, next) ON next = ini WHERE fault IN (0, 3)
+  UNION ALL SELECT c, i, mid, 'R', CASE WHEN fault = 3 THEN 6 ELSE 1 END, next, chr(10) || CASE next WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text
+  FROM faults, (VALUES ('', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')) AS m(mid, next) WHERE fault IN (0, 3)
+), dp(c, i, state, best) AS (
+  SELECT c, 0::BIGINT, '', {'cost': 0::BIGINT, 'audit': '', 'said': ''} FROM sums
+  UNION ALL
+  SELECT c, i, state, min(best) FROM (
+    SELECT dp.c, edits.i, edits.after AS state,
+      {'cost': dp.best.cost + ins.cost + edits.cost, 'audit': dp.best.audit || ins.label || edits.label, 'said': dp.best.said || ins.said || edits.said} AS best
+    FROM dp JOIN ins ON ins.state = dp.state JOIN edits ON edits.c = dp.c AND edits.i = dp.i + 1 AND edits.mid = ins.mid) AS step
+  GROUP BY c, i, state
+), done AS (
+  SELECT dp.c, min({'cost': dp.best.cost + ins.cost, 'audit': dp.best.audit || ins.label, 'said': dp.best.said || ins.said}) AS best
+  FROM dp JOIN sums ON sums.c = dp.c AND sums.n = dp.i JOIN ins ON ins.state = dp.state AND ins.mid = CASE dp.state WHEN '' THEN '' ELSE 'a' END
+  GROUP BY dp.c
+)
+SELECT k.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(substr(best.said, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS k LEFT JOIN sums ON sums.c = coalesce(k.conv_id::VARCHAR, '') LEFT JOIN done ON done.c = sums.c
+"""

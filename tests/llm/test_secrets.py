@@ -50,3 +50,15 @@ def test_queries_and_candidates():
     index = secrets.TrigramIndex([g.encode() for g in keys(queries["assign"])])
     found = secrets.candidates(queries["assign"], index.postings(texts), len(texts)).tolist()
     assert found == [1, 3, 4, 6]  # the last holds all trigrams of token; verification drops it
+
+
+def test_time_is_linear_in_long_runs():
+    import time
+
+    for part in ("eyJ", "eyJabcdefghi.", "eyJaaaaaaaaaeyJ-", "0f", "AKIA", "ghp_a", "xoxb-", "-----BEGIN ", "token="):
+        start = time.perf_counter()
+        for _, expression, *_ in secrets.RULES:
+            sum(1 for _ in re.compile(expression).finditer(part * 60_000))
+        assert time.perf_counter() - start < 10, part
+    jwt = dict((k, e) for k, e, *_ in secrets.RULES)["jwt"]
+    assert re.search(jwt, "id=eyJabcdefgh.eyJabcdefgh.abcdefgh;").span() == (3, 35)
