@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Mapping, Sequence
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -176,24 +173,15 @@ def table_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], normalize
     columns += [c for c in right.columns if c not in keys and c not in columns]
     gone = F.lit("(missing)")
 
-    def side(df: DataFrame, name: str) -> DataFrame:
+    def side(df: DataFrame, number: int) -> DataFrame:
         values = [(F.col(c).cast("string") if c in df.columns else gone).alias(c) for c in columns]
-        return df.select(*[F.col(k).alias(f"{name}_{k}") for k in keys], F.struct(*values).alias(name) if values else F.struct(F.lit(1)).alias(name))
-
-    a, b = side(left, "left"), side(right, "right")
+        return df.select(*keys, F.lit(number).alias("__side"), F.struct(*values or [F.lit(1)]).alias("__row"))
 
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*[F.col(k).alias(f"r_{k}") for k in keys]).agg(F.count(F.lit(1)).alias(name))
-
-    mine, theirs = counted(left, "n_left").withColumn("n_right", F.lit(0)), counted(right, "n_right").withColumn("n_left", F.lit(0))
-    sums = mine.unionByName(theirs).groupBy(*[f"r_{k}" for k in keys]).agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
-    repeated = sums.where("n_left > 1 or n_right > 1")
-    a, b = (
-        df.join(repeated.drop("n_left", "n_right"), reduce(operator.and_, [F.col(f"{name}_{k}").eqNullSafe(F.col(f"r_{k}")) for k in keys]), "left_anti")
-        for df, name in ((a, "left"), (b, "right"))
-    )
-    on = [F.col(f"left_{k}").eqNullSafe(F.col(f"right_{k}")) for k in keys]
-    in_a, in_b = F.col("left").isNotNull(), F.col("right").isNotNull()
+    # Both sides in one shuffle: a key's rows are counted and one of each side kept before they are dealt, so a repeated key is one row a task.
+    mine, theirs = F.col("__side") == 0, F.col("__side") == 1
+    met = side(left, 0).unionByName(side(right, 1)).groupBy(*keys).agg(
+        F.count_if(mine).alias("__n_left"), F.count_if(theirs).alias("__n_right"),
+        F.first(F.when(mine, F.col("__row")), ignorenulls=True).alias("left"), F.first(F.when(theirs, F.col("__row")), ignorenulls=True).alias("right"))
 
     def entry(c: str) -> Column:
         x, y = F.col("left")[c], F.col("right")[c]
@@ -207,12 +195,10 @@ def table_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], normalize
     changed = F.array_compact(F.array(*[entry(c) for c in columns]))
     null = F.lit(None).cast("string")
 
-    def one(kind: str) -> Column:
-        return F.array(F.struct(F.lit(kind).alias("kind"), null.alias("column"), null.alias("left_value"), null.alias("right_value")))
+    def one(kind: str, x: Column = null, y: Column = null) -> Column:
+        return F.array(F.struct(F.lit(kind).alias("kind"), null.alias("column"), x.alias("left_value"), y.alias("right_value")))
 
-    found = F.when(~in_b, one("left_only")).when(~in_a, one("right_only")).otherwise(changed)
-    key_columns = [F.coalesce(f"left_{k}", f"right_{k}").alias(k) for k in keys]
-    differing = a.join(b, on, "full_outer").select(*key_columns, F.explode(found).alias("d")).select(*keys, "d.*")
-    return differing.unionByName(repeated.select(
-        *[F.col(f"r_{k}").alias(k) for k in keys], F.lit("repeated").alias("kind"), null.alias("column"),
-        F.col("n_left").cast("string").alias("left_value"), F.col("n_right").cast("string").alias("right_value")))
+    n_left, n_right = F.col("__n_left"), F.col("__n_right")
+    repeated = one("repeated", n_left.cast("string"), n_right.cast("string"))
+    found = F.when((n_left > 1) | (n_right > 1), repeated).when(n_right == 0, one("left_only")).when(n_left == 0, one("right_only")).otherwise(changed)
+    return met.select(*keys, F.explode(found).alias("d")).select(*keys, "d.*")
