@@ -84,12 +84,12 @@ def scoring_items(events: DataFrame, unknown: str = UNKNOWN_SUBJECT) -> DataFram
 def scored_items(items: DataFrame, keys: DataFrame, values: DataFrame) -> DataFrame:
     """Each mapped answer with its instrument, item and number; unknown answers give NULL.
 
-    Key and value tables are settings-sized; Spark broadcasts them when their size allows and joins
-    by shuffle when not. A reversed item counts ``reverse_from - value``.
+    Key and value tables are settings (a row for each question and each answer) and are broadcast: items have few different
+    questions and answers, so a shuffle by them would bring most items into a few tasks. A reversed item counts ``reverse_from - value``.
     """
-    keyed = items.join(keys, ["binding_id", "field_key"])
+    keyed = items.join(F.broadcast(keys), ["binding_id", "field_key"])
     lowered = values.select("instrument", F.lower(F.trim("answer")).alias("__answer"), F.col("value").alias("__value"))
-    valued = keyed.withColumn("__answer", F.lower(F.trim("answer"))).join(lowered, ["instrument", "__answer"], "left")
+    valued = keyed.withColumn("__answer", F.lower(F.trim("answer"))).join(F.broadcast(lowered), ["instrument", "__answer"], "left")
     reverse = F.col("reverse_from")
     value = F.when(reverse.isNotNull(), reverse - F.col("__value")).otherwise(F.col("__value"))
     return valued.withColumn("value", value.cast("double")).drop("__answer", "__value", "reverse_from")

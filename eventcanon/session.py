@@ -16,11 +16,22 @@ SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
+PLANNED, MEASURED = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the library's runtime settings to a session and return it."""
+    """Apply the library's runtime settings to a session and return it.
+
+    The session's broadcast threshold is kept, but holds for measured sizes only. Sizes guessed from Parquet files are far too small for
+    rows that come out of JSON payloads: millions of them passed for less than 10 MB and went through the driver.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    planned = spark.conf.get(PLANNED)
+    if not planned.startswith("-"):
+        if spark.conf.get(MEASURED, None) is None:
+            spark.conf.set(MEASURED, planned)
+        spark.conf.set(PLANNED, "-1")
     return spark
 
 
