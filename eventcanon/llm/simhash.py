@@ -14,7 +14,7 @@ only a shortest spanning forest of the links found is kept (at most one link per
 Cells with more than CELL fingerprints are split by hash into a grid of chunks; every pair of chunks meets in one
 task, so no cell grows with the data and none is cut.
 
-For a similarity below what a small radius reaches (`near_groups`), cells come from drawn sets of bits of a 128-bit fingerprint, and links
+For a similarity below what a small radius reaches (`near_groups`), further cells come from drawn sets of bits of a 128-bit fingerprint, and links
 are verified by the shingles' Jaccard similarity: first those of each cell's forest, then all others between groups that are still apart
 (`apart_links`), so no candidate goes unverified. The recall of the cells is measured in the tests.
 
@@ -257,12 +257,12 @@ def cell_links(cells: DataFrame, radius: int, cell: int = CELL, keys: list[list[
     """Links (a, b: fingerprints) of a shortest forest of each cell; `cells` as made by `cell_rows`.
 
     With `width`, only so many leading bytes of fp are the fingerprint; what follows tells apart what has the same one.
-    With `keys`, the 64-bit `exact_keys` that made the cells, cells of more than radius + 1 chunks are parted first.
+    With `keys`, the `exact_keys` of the whole fingerprint that made the cells, cells of more than radius + 1 chunks are parted first.
     """
     large = _large(cells, cell)
     sized = cells.join(large, ["table", "key"], "left")
     if keys:
-        parted = finer_rows(cells.join(large.where(F.col("chunks") > radius + 1), ["table", "key"], "left_semi"), keys, radius)
+        parted = finer_rows(cells.join(large.where(F.col("chunks") > radius + 1), ["table", "key"], "left_semi"), keys, radius, 8 * (width or 8))
         sized = sized.where(F.coalesce("chunks", F.lit(1)) <= radius + 1).unionByName(parted.join(_large(parted, cell), ["table", "key"], "left"))
     dealt = _grid(sized)
 
@@ -497,13 +497,15 @@ def apart_links(nodes: DataFrame, texts: DataFrame, keys: list[list[int]], size:
 
 
 NEAR = {"bits": 128, "tables": 24, "width": 12, "radius": 32}
+EXACT = 4
 
 
 def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, cell: int = CELL) -> DataFrame:
     """Columns of `docs` with `near_group`, the least doc_id of the documents linked by a similarity of at least `similarity`, and
     `near_first`, true for the row that stands for its group (of equal rows, for each).
 
-    128-bit fingerprints of the distinct shingles, whose similarity is what counts, meet in 24 tables of 12 drawn bits and link within 32 bits; links are then verified on the
+    128-bit fingerprints of the distinct shingles, whose similarity is what counts, meet in the cells of op10 (by pigeonhole, so that
+    every link of at most EXACT bits is found) and in 24 tables of 12 drawn bits, where they link within 32 bits; links are then verified on the
     shingles themselves: first those of the cells' forests, then every candidate whose ends are still in two groups. Only texts with the same set of shingles are taken as one; different sets under one fingerprint are links like others.
     A document without doc_id goes by a negative number made from its text. Columns named like the new ones are replaced.
     """
@@ -517,7 +519,10 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, cell: i
     prints = cut(map_batches(keyed, lambda: work, "me struct<rid: bigint, tid: bigint>, fp binary"))
     distinct = cut(prints.groupBy("fp").agg(F.min("me").alias("least")))
     keys, width = drawn_keys(NEAR["tables"], NEAR["width"], NEAR["bits"]), NEAR["bits"] // 8
-    edges = cut(cell_links(cell_rows(distinct, keys), NEAR["radius"], cell, width=width).distinct())
+    # op10's own cells: whatever is within EXACT bits meets for certain; the drawn bits reach further, but by chance
+    sure = exact_keys(EXACT, NEAR["bits"])
+    certain = cell_links(cell_rows(distinct, sure), EXACT, cell, sure, width)
+    edges = cut(certain.union(cell_links(cell_rows(distinct, keys), NEAR["radius"], cell, width=width)).distinct())
     ends = edges.select(F.col("a").alias("fp")).union(edges.select("b")).distinct()
     chosen = distinct.join(ends, "fp", "left_semi").select("fp", F.col("least").alias("me"))
     read = cut(chosen.join(keyed, "me").groupBy("fp").agg(F.min("text").alias("text")))

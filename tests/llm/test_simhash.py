@@ -169,6 +169,21 @@ def test_repeats_do_not_hide_near_copies(docs_of):
     assert all(found[d] // 2 == d // 2 for d in found)
 
 
+def test_what_drawn_bits_part_meets_by_pigeonhole(docs_of, monkeypatch):
+    def apart(s, t):
+        a, b = (np.unpackbits(np.frombuffer(simhash.set_print(x, 5, 2)[:16], np.uint8)) for x in (s, t))
+        return np.flatnonzero(a != b).tolist()
+
+    words = [f"w{i}" for i in range(600)]
+    whole = " ".join(words)
+    other = next(t for t in (" ".join([*words[:-1], f"v{i}"]) for i in range(200)) if 1 <= len(apart(whole, t)) <= simhash.EXACT)
+    texts, differ = [(1, whole), (2, other), (3, " ".join(f"x{i}" for i in range(400)))], apart(whole, other)
+    monkeypatch.setattr(simhash, "drawn_keys", lambda *_: [differ])  # the only table parts them
+    for cell in (1, simhash.CELL):
+        got = {r.doc_id: r.near_group for r in simhash.near_groups(docs_of(texts), cell=cell).collect()}
+        assert got == {1: 1, 2: 1, 3: 3}
+
+
 def test_no_candidate_goes_unverified(docs_of):
     """A family of alike texts, most below the similarity and within the radius: every pair above it that shares a cell is joined."""
     rng = random.Random(6)
