@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
+# Spark's own size of a shuffled partition, and ours: a task that sorts or hashes a few of them at once holds many times their packed
+# size, so that a task's memory grew with the input until partitions had 64 MB. A session that says otherwise keeps its size.
+ADVISED, SPARKS_OWN, PARTITION = "spark.sql.adaptive.advisoryPartitionSizeInBytes", ("64MB", "67108864b"), "16MB"
 PLANNED, MEASURED = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
 
 
@@ -27,6 +30,8 @@ def tune(spark: SparkSession) -> SparkSession:
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if spark.conf.get(ADVISED) in SPARKS_OWN:
+        spark.conf.set(ADVISED, PARTITION)
     planned = spark.conf.get(PLANNED)
     if not planned.startswith("-"):
         if spark.conf.get(MEASURED, None) is None:

@@ -8,7 +8,7 @@ from eventcanon.plans import client_views as cv
 from eventcanon.plans import derived as d
 from eventcanon.plans import forms as fm
 from eventcanon.plans import reports as rp
-from eventcanon.session import MEASURED, PLANNED, tune
+from eventcanon.session import ADVISED, MEASURED, PLANNED, tune
 
 KEYS = "binding_id string, field_key string, instrument string, item string, reverse_from int"
 
@@ -39,6 +39,16 @@ def test_the_threshold_holds_for_measured_sizes_and_stays(fresh):
     assert (fresh.conf.get(PLANNED), fresh.conf.get(MEASURED)) == ("-1", "10MB")
 
 
+def test_partitions_are_small_unless_the_session_says_otherwise(fresh):
+    before = fresh.conf.get(ADVISED)
+    try:
+        for own, held in (("64MB", "16MB"), ("8m", "8m")):
+            fresh.conf.set(ADVISED, own)
+            assert tune(fresh).conf.get(ADVISED) == held
+    finally:
+        fresh.conf.set(ADVISED, before)
+
+
 def test_parsed_rows_are_not_broadcast_by_a_guess(fresh, folder):
     canonical = d.canonical_objects(fresh, folder, d.contacts, d.form_responses)
     forms = rp.client_forms(cv.proj_clients(canonical), cv.proj_form_responses(canonical))
