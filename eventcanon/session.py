@@ -19,6 +19,9 @@ SETTINGS = {
 # Spark's own size of a shuffled partition, and ours: a task that sorts or hashes a few of them at once holds many times their packed
 # size, so that a task's memory grew with the input until partitions had 64 MB. A session that says otherwise keeps its size.
 ADVISED, SPARKS_OWN, PARTITION = "spark.sql.adaptive.advisoryPartitionSizeInBytes", ("64MB", "67108864b"), "16MB"
+# The same for what a task reads of a file: newest rows and folds sort their rows before the shuffle too, and 128 MB of Parquet are
+# gigabytes of parsed payloads, which spilled. Files are cut between row groups only.
+SPLIT, SPARKS_SPLIT = "spark.sql.files.maxPartitionBytes", ("128MB", "134217728b", "134217728")
 PLANNED, MEASURED = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
 
 
@@ -32,6 +35,8 @@ def tune(spark: SparkSession) -> SparkSession:
         spark.conf.set(key, value)
     if spark.conf.get(ADVISED) in SPARKS_OWN:
         spark.conf.set(ADVISED, PARTITION)
+    if spark.conf.get(SPLIT) in SPARKS_SPLIT:
+        spark.conf.set(SPLIT, PARTITION)
     planned = spark.conf.get(PLANNED)
     if not planned.startswith("-"):
         if spark.conf.get(MEASURED, None) is None:
