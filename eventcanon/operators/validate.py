@@ -91,6 +91,8 @@ def sql_text(value: str) -> str:
 
 
 def _get(v: str, path: str, kind: str) -> str:
+    if (path, kind) == ("$", "variant"):
+        return v  # getting a variant out of one copies all that is below it
     return f"try_variant_get({v}, {sql_text(path)}, '{kind}')"
 
 
@@ -103,6 +105,11 @@ def _is_object(v: str, path: str) -> str:
     return f"{_get(v, path, 'struct<x:variant>')} IS NOT NULL"
 
 
+def _is_there(v: str, path: str) -> str:
+    """Whether there is a value at a path, be it a null. Objects, which may hold much, are seen by their header."""
+    return f"({_is_object(v, path)} OR {_get(v, path, 'variant')} IS NOT NULL)"
+
+
 def _deep_paths(v: str) -> str:
     """What `object_paths` gives, walked level by level inside the row: slower, but for any depth.
 
@@ -329,7 +336,7 @@ def _pending(v: str, path: str, node: dict | bool, root: dict, units: tuple[str,
             return _pending(v, path, _pointed(node["$ref"], root), root, units, depth, at)
         value, unit = _get(v, path, "variant"), units.index(node["$ref"])
         item = f"named_struct('unit', {unit}, 'value', {value}, 'key', {_place(unit, at, path)})"
-        return [f"CASE WHEN {value} IS NOT NULL THEN array({item}) ELSE {_NO_WORK} END"]
+        return [f"CASE WHEN {_is_there(v, path)} THEN array({item}) ELSE {_NO_WORK} END"]
     out = []
     for option, deeper in _below(node):
         if not deeper:
@@ -371,14 +378,14 @@ def _later_items(v: str, path: str, first: int) -> str:
 
 def _checks(v: str, path: str, node: dict | bool, root: dict, depth: int = 0, units: tuple[str, ...] = (), at: str = "''") -> list[str]:
     """Arrays of the errors of the value at a path, in schema order. All levels of the schema are compiled, but for references in
-    `units`: their errors are looked up in the map `done` by the value's place; `at` is the way to `v` from the work item `n`."""
-    present = f"{_get(v, path, 'variant')} IS NOT NULL" if path != "$" else "true"
+    `units`: their errors are looked up in `done` by the value's place; `at` is the way to `v` from the work item `n`."""
+    present = _is_there(v, path) if path != "$" else "true"
     if isinstance(node, bool):
         never = _error("other", f"concat({_shown(v, path)}, ' is not allowed')")
         return [] if node else [f"array_compact(array(CASE WHEN {present} THEN {never} END))"]
     if "$ref" in node:
         if node["$ref"] in units:
-            found = f"try_element_at(done, {_place(units.index(node['$ref']), at, path)})"
+            found = f"get(done.errors, cast(array_position(done.keys, {_place(units.index(node['$ref']), at, path)}) as int) - 1)"
             return [f"CASE WHEN {present} THEN coalesce({found}, {_NO_ERRORS}) ELSE {_NO_ERRORS} END"]
         return _checks(v, path, _pointed(node["$ref"], root), root, depth, units, at)
     unknown = set(node) - CHECKED - ANNOTATIONS
@@ -406,7 +413,7 @@ def _checks(v: str, path: str, node: dict | bool, root: dict, depth: int = 0, un
     if "not" in node:
         whole(valid(node["not"]), " is valid under a schema that is not allowed")
     for name in node.get("required", []):
-        absent = f"{_get(v, _step(path, name), 'variant')} IS NULL"
+        absent = f"NOT {_is_there(v, _step(path, name))}"
         error = _error("missing", sql_text(f"'{name}' is a required property"))
         single.append(f"CASE WHEN {absent} THEN CASE WHEN {_is_object(v, path)} THEN {error} END END")
     for name, child in node.get("properties", {}).items():
@@ -449,7 +456,8 @@ def _deep_errors(variant: str, schema: dict, units: tuple[str, ...]) -> str:
     """Errors under a schema that contains itself, for payloads of any depth.
 
     A worklist inside the row: first, level by level, every value that a recursive reference applies to, until a level has none; then
-    their errors from the deepest up, each looking up those of the values below it by their place.
+    their errors, level by level from the deepest up, each looking up those of the values below it by their place. Those are all in the
+    level below, so only that one is held, and a value costs the same at any depth.
     """
     nodes = [_pointed(u, schema) for u in units]
     start = len(units)  # the whole document under the whole schema
@@ -468,14 +476,16 @@ def _deep_errors(variant: str, schema: dict, units: tuple[str, ...]) -> str:
     opened = f"length({text}) - length(translate({text}, '{{[', ''))"
     levels = f"sequence(1, ({opened} + 1) * {len(units) + 1})"
     below = f"flatten(transform(w.level, n -> {by_unit(pending)}))"
-    numbered = "transform(b, (x, i) -> named_struct('id', size(w.found) + i, 'unit', x.unit, 'value', x.value, 'key', x.key))"
-    down = f"element_at(transform(array({below}), b -> element_at(transform(array({numbered}), c -> named_struct('level', c, 'found', concat(w.found, c))), 1)), 1)"
-    first = f"cast(array(named_struct('id', 0, 'unit', {start}, 'value', {variant}, 'key', '')) as {work})"
-    state = f"struct<level:{work},found:{work}>"
-    found = f"aggregate({levels}, cast(named_struct('level', {first}, 'found', {first}) as {state}), (w, l) -> CASE WHEN size(w.level) = 0 THEN w ELSE cast({down} as {state}) END, w -> w.found)"
-    memo = "map<string,array<struct<kind:string,text:string>>>"
-    step = f"CASE WHEN map_contains_key(done, n.key) THEN done ELSE map_concat(done, map(n.key, {by_unit(errors)})) END"
-    return f"aggregate(reverse({found}), cast(map() as {memo}), (done, n) -> cast({step} as {memo}), done -> element_at(done, ''))"
+    numbered = "transform(b, (x, i) -> named_struct('id', w.items + i, 'unit', x.unit, 'value', x.value, 'key', x.key))"
+    added = "named_struct('level', c, 'items', w.items + size(c), 'found', CASE WHEN size(c) = 0 THEN w.found ELSE concat(w.found, array(c)) END)"
+    down = f"element_at(transform(array({below}), b -> element_at(transform(array({numbered}), c -> {added}), 1)), 1)"
+    first = f"array(named_struct('id', 0, 'unit', {start}, 'value', {variant}, 'key', ''))"
+    # Only the starts are cast, which names the types with NULLs allowed everywhere: a cast in a step would rebuild all that was found before.
+    state = f"cast(named_struct('level', {first}, 'items', 1, 'found', array({first})) as struct<level:{work},items:int,found:array<{work}>>)"
+    found = f"aggregate({levels}, {state}, (w, l) -> CASE WHEN size(w.level) = 0 THEN w ELSE {down} END, w -> w.found)"
+    none = "cast(named_struct('keys', array(), 'errors', array()) as struct<keys:array<string>,errors:array<array<struct<kind:string,text:string>>>>)"
+    step = f"named_struct('keys', transform(level, n -> n.key), 'errors', transform(level, n -> {by_unit(errors)}))"
+    return f"aggregate(reverse({found}), {none}, (done, level) -> {step}, done -> element_at(done.errors, 1))"
 
 
 def validation_errors(variant: str, schema: dict) -> Column:
@@ -507,7 +517,11 @@ def validate(
     """Add validation_status (pass/fail), validation_error and unknown_fields, and the stamp columns.
 
     `validation_error` shows a few errors of each group up to a length; `all_errors` names a column for all of them, uncut.
+    A schema that contains itself costs so much time a row that rows are dealt evenly over the session's shuffled partitions first, however few
+    files they come from.
     """
+    if recursive_refs(schema):
+        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     parsed = df.withColumn("__v", F.try_parse_json(F.col(payload)))
     out = parsed.withColumns({"__errors": validation_errors("__v", schema), "unknown_fields": unknown_fields("__v", schema)})
     out = out.withColumns(

@@ -28,3 +28,27 @@ def test_a_task_reads_16_mb_unless_the_session_says_otherwise(kept):
     assert tune(kept).conf.get(READ) == "16MB"
     kept.conf.set(READ, "77MB")
     assert tune(kept).conf.get(READ) == "77MB"
+
+
+def test_rows_of_one_file_are_checked_by_all_tasks(spark):
+    df = spark.range(0, 40, 1, 1).selectExpr("id", """'{"v":1,"next":{"v":"x"}}' AS payload""")
+    out = validate.validate(df, LIST, all_errors="all").select("id", F.spark_partition_id().alias("task"), "all")
+    got = out.collect()
+    assert sorted(r.id for r in got) == list(range(40)) and len({r.task for r in got}) == 4
+    assert all([(e.kind, e.text) for e in r["all"]] == [("type", "'x' is not of type 'integer'")] for r in got)
+
+
+def test_values_below_values_are_found_by_their_place(spark):
+    """Null, missing, scalars and arrays in the place of an object; errors in the order of the schema, the same value many times."""
+    cases = {
+        '{"v":1,"next":null}': ["null is not of type 'object'"],
+        '{"v":1,"next":{}}': ["'v' is a required property"],
+        '{"v":null,"next":[1]}': ["null is not of type 'integer'", "[1] is not of type 'object'"],
+        '{"next":{"v":"a","next":{"v":"b","more":[{"v":2},{"v":"c"},7]}},"more":[{},{"v":"a"},{"v":"a"}]}': [
+            "'v' is a required property", "'a' is not of type 'integer'", "'b' is not of type 'integer'", "'c' is not of type 'integer'", "7 is not of type 'object'",
+            "'v' is a required property", "'a' is not of type 'integer'", "'a' is not of type 'integer'"],
+        "[]": ["[] is not of type 'object'"], "null": ["null is not of type 'object'"], "{": ["payload is not JSON"], '{"v":3}': [],
+    }
+    df = spark.createDataFrame([(t,) for t in cases], "payload string")
+    got = {r.payload: [e.text for e in r["all"]] for r in validate.validate(df, LIST, all_errors="all").collect()}
+    assert got == cases
