@@ -23,16 +23,22 @@ def _bucket(value: str | Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(value), F.lit(buckets)).cast("int")
 
 
+def _postings(rows: DataFrame, key: str, column: str, token_buckets: int, row_buckets: int) -> DataFrame:
+    """What `postings` gives, with repeats where rows repeat a key."""
+    words = rows.select(F.col(key).alias("key"), F.explode(F.array_distinct(text_words(column))).alias("token"))
+    return words.where("token <> ''").select("token", "key", _bucket("key", row_buckets).alias(ROW_BUCKET), _bucket("token", token_buckets).alias(TOKEN_BUCKET))
+
+
 def postings(rows: DataFrame, key: str, column: str, token_buckets: int = 256, row_buckets: int = 256) -> DataFrame:
     """token, key, row bucket and token bucket: a row for each different word of each text. NULL texts have none; NULL is a key like any other."""
-    words = rows.select(F.col(key).alias("key"), F.explode(F.array_distinct(text_words(column))).alias("token"))
-    return words.where("token <> ''").select("token", "key", _bucket("key", row_buckets).alias(ROW_BUCKET), _bucket("token", token_buckets).alias(TOKEN_BUCKET)).distinct()
+    return _postings(rows, key, column, token_buckets, row_buckets).distinct()
 
 
 def add_rows(texts: SnapshotTable, index: SnapshotTable, rows: DataFrame, key: str, column: str, token_buckets: int = 256, row_buckets: int = 256) -> None:
     """Append rows to the texts and their words to the index. Both tables are made on first use, which settles the numbers of buckets.
 
-    `texts` is partitioned by ``row_bucket``, `index` by ``token_bucket`` and sorted by token.
+    `texts` is partitioned by ``row_bucket``, `index` by ``token_bucket`` and sorted by token, or by token and key, which cuts the
+    postings of a word that most texts have into several tasks and files.
     """
     if index.exists():
         settled = index.properties()
@@ -40,7 +46,7 @@ def add_rows(texts: SnapshotTable, index: SnapshotTable, rows: DataFrame, key: s
     settled = {"token_buckets": token_buckets, "row_buckets": row_buckets}
     # Texts first: a posting without its text finds nothing, a text without postings would be missed by readers of the index.
     texts.append(rows.withColumn(ROW_BUCKET, _bucket(key, row_buckets)), settled)
-    index.append(postings(rows, key, column, token_buckets, row_buckets), settled)
+    index.append(_postings(rows, key, column, token_buckets, row_buckets), settled, distinct=True)
 
 
 def candidates(index: SnapshotTable, words: Sequence[str]) -> DataFrame:

@@ -137,7 +137,7 @@ def _(spark, sf):
     """A search by a posting table that was made in two parts; only the postings of its words and the buckets with hits are read."""
     catalog = Catalog(spark, workspace(spark))
     texts = catalog.table("raw", "documents", partition_by=[search_index.ROW_BUCKET])
-    index = catalog.table("derived", "postings", partition_by=[search_index.TOKEN_BUCKET], sort_by=["token"])
+    index = catalog.table("derived", "postings", partition_by=[search_index.TOKEN_BUCKET], sort_by=["token", "key"])
     rows = d.load(spark, sf, "documents").select("doc_id", "lang", "text")
     for part in (F.col("doc_id") % 2 == 0, F.coalesce(F.col("doc_id") % 2 != 0, F.lit(True))):
         search_index.add_rows(texts, index, rows.where(part), "doc_id", "text", token_buckets=16, row_buckets=16)

@@ -122,25 +122,28 @@ class SnapshotTable:
 
     # --- writing ----------------------------------------------------------------------------
 
-    def _layout(self, df: DataFrame) -> DataFrame:
+    def _layout(self, df: DataFrame, distinct: bool = False) -> DataFrame:
         """Arrange rows so that a write makes few, well-sized files.
 
         With cluster columns: a range exchange over partition and cluster columns, sorted inside
         files, so row groups can be skipped on read and one big partition is cut into several files.
         Without: a rebalance on the partition columns, which AQE splits where a partition is large
         and joins where partitions are small; otherwise every task would write to every partition.
+        With both, `distinct` drops repeated rows behind the range exchange, where they lie together, so that it needs no exchange of its own.
         """
         if self.sort_by:
             keys = [*self.partition_by, *self.sort_by]
-            return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+            dealt = df.repartitionByRange(*keys)
+            return (dealt.distinct() if distinct else dealt).sortWithinPartitions(*keys)
+        df = df.distinct() if distinct else df
         if self.partition_by:
             return df.hint("rebalance", *self.partition_by)
         return df
 
-    def _write_dirs(self, df: DataFrame, version: int, columns: list[str]) -> list[str]:
+    def _write_dirs(self, df: DataFrame, version: int, columns: list[str], distinct: bool = False) -> list[str]:
         # A folder of its own per attempt: a writer that loses the race never touches the winner's files.
         folder = f"snapshot_version={version}-{uuid.uuid4().hex[:12]}"
-        writer = self._layout(df.select(*columns)).write.mode("overwrite")
+        writer = self._layout(df.select(*columns), distinct).write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.path}/{folder}")
@@ -157,11 +160,11 @@ class SnapshotTable:
                 found += self._leaf_dirs(f"{folder}/{name}", depth - 1)
         return sorted(found)
 
-    def replace(self, df: DataFrame, expect: int | None = None, properties: dict | None = None) -> int:
-        """Publish `df` as the whole next version. `expect` is the version `df` was made from."""
+    def replace(self, df: DataFrame, expect: int | None = None, properties: dict | None = None, distinct: bool = False) -> int:
+        """Publish `df` (its different rows, if `distinct`) as the whole next version. `expect` is the version `df` was made from."""
         base = self.version() if expect is None else expect
         version = 0 if base is None else base + 1
-        dirs = self._write_dirs(df, version, df.columns)
+        dirs = self._write_dirs(df, version, df.columns, distinct)
         kept = {} if base is None else self._manifest(base).get("properties", {})
         self._publish(version, {"schema": _nullable(df).jsonValue(), "dirs": dirs, "properties": {**kept, **(properties or {})}})
         return version
@@ -171,14 +174,14 @@ class SnapshotTable:
         known = self.version()
         return {} if known is None else self._manifest(known).get("properties", {})
 
-    def append(self, df: DataFrame, properties: dict | None = None) -> int:
-        """Publish the next version as the current directories plus `df`."""
+    def append(self, df: DataFrame, properties: dict | None = None, distinct: bool = False) -> int:
+        """Publish the next version as the current directories plus `df` (its different rows, if `distinct`)."""
         base = self.version()
         if base is None:
-            return self.replace(df, properties=properties)
+            return self.replace(df, properties=properties, distinct=distinct)
         manifest = self._manifest(base)
         columns = T.StructType.fromJson(manifest["schema"]).names
-        dirs = self._write_dirs(df, base + 1, columns)
+        dirs = self._write_dirs(df, base + 1, columns, distinct)
         self._publish(base + 1, _next(manifest, manifest["dirs"] + dirs, properties))
         return base + 1
 

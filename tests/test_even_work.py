@@ -52,3 +52,17 @@ def test_values_below_values_are_found_by_their_place(spark):
     df = spark.createDataFrame([(t,) for t in cases], "payload string")
     got = {r.payload: [e.text for e in r["all"]] for r in validate.validate(df, LIST, all_errors="all").collect()}
     assert got == cases
+
+
+def test_postings_are_dealt_once_and_distinct(spark, tmp_path, monkeypatch):
+    texts = spark.createDataFrame([(i % 50, f"word{i % 7} the and") for i in range(200)], "id int, said string")
+    catalog = Catalog(spark, str(tmp_path))
+    raw = catalog.table("raw", "texts", partition_by=[search_index.ROW_BUCKET])
+    index = catalog.table("derived", "postings", partition_by=[search_index.TOKEN_BUCKET], sort_by=["token", "key"])
+    plans = []
+    layout = type(index)._layout
+    monkeypatch.setattr(type(index), "_layout", lambda self, *a: plans.append(layout(self, *a)) or plans[-1])
+    search_index.add_rows(raw, index, texts, "id", "said", token_buckets=4, row_buckets=4)
+    assert plan_of(plans[-1]).count("Exchange ") == 1
+    want = search_index.postings(texts, "id", "said", 4, 4)
+    assert rows(index.read().select(want.columns)) == rows(want)
