@@ -243,6 +243,12 @@ def _large(cells: DataFrame, cell: int) -> DataFrame:
     return counted.select("table", "key", F.ceil(F.col("n") / cell).cast("int").alias("chunks"))
 
 
+def _sized(cells: DataFrame, large: DataFrame, few: bool = False) -> DataFrame:
+    """`cells` with their number of chunks (NULL: one). `few`: keys of so few bits made the cells that what is `large` can be broadcast,
+    which spares a shuffle of all rows."""
+    return cells.join(F.broadcast(large) if few else large, ["table", "key"], "left")
+
+
 def _grid(sized: DataFrame) -> DataFrame:
     """Cells with their number of chunks (NULL: one), dealt so that every pair of chunks (i, j) of a cell lies together."""
     n = F.coalesce("chunks", F.lit(1))
@@ -253,17 +259,20 @@ def _grid(sized: DataFrame) -> DataFrame:
     return grid.repartition("table", "key", "i", "j").sortWithinPartitions("table", "key", "i", "j", "side")
 
 
-def cell_links(cells: DataFrame, radius: int, cell: int = CELL, keys: list[list[int]] | None = None, width: int | None = None) -> DataFrame:
+def cell_links(
+    cells: DataFrame, radius: int, cell: int = CELL, keys: list[list[int]] | None = None, width: int | None = None, few: bool = False
+) -> DataFrame:
     """Links (a, b: fingerprints) of a shortest forest of each cell; `cells` as made by `cell_rows`.
 
     With `width`, only so many leading bytes of fp are the fingerprint; what follows tells apart what has the same one.
     With `keys`, the `exact_keys` of the whole fingerprint that made the cells, cells of more than radius + 1 chunks are parted first.
+    `few` as in `_sized`.
     """
     large = _large(cells, cell)
-    sized = cells.join(large, ["table", "key"], "left")
+    sized = _sized(cells, large, few)
     if keys:
         parted = finer_rows(cells.join(large.where(F.col("chunks") > radius + 1), ["table", "key"], "left_semi"), keys, radius, 8 * (width or 8))
-        sized = sized.where(F.coalesce("chunks", F.lit(1)) <= radius + 1).unionByName(parted.join(_large(parted, cell), ["table", "key"], "left"))
+        sized = sized.where(F.coalesce("chunks", F.lit(1)) <= radius + 1).unionByName(_sized(parted, _large(parted, cell)))
     dealt = _grid(sized)
 
     def solve(rows: list[np.ndarray], sides: list[np.ndarray], out: list) -> None:
@@ -453,14 +462,16 @@ def verified_links(a: np.ndarray, b: np.ndarray, group: np.ndarray, sets: list[n
     return out
 
 
-def apart_links(nodes: DataFrame, texts: DataFrame, keys: list[list[int]], size: int, similarity: float, radius: int, width: int, cell: int = CELL) -> DataFrame:
+def apart_links(
+    nodes: DataFrame, texts: DataFrame, keys: list[list[int]], size: int, similarity: float, radius: int, width: int, cell: int = CELL, few: bool = False
+) -> DataFrame:
     """Links that pass between groups: every two `nodes` (fp, group: 16 bytes) that share a cell, are within the radius and in two
     groups are verified on their distinct shingles, but for those joined by such links in the same task before -> a, b: groups.
 
     Fingerprints meet first; only those with such a partner get their shingles (`texts`: fp, text), and a pair counts in the first table it meets in.
     """
     cells = cell_rows(nodes.select(F.concat("fp", "group").alias("fp")), keys)
-    dealt = _grid(cells.join(_large(cells, cell), ["table", "key"], "left"))
+    dealt = _grid(_sized(cells, _large(cells, cell), few))
 
     def meet(at: tuple, rows: pa.Table) -> Iterator[pa.RecordBatch]:
         if rows.num_rows < 2:
@@ -500,17 +511,20 @@ NEAR = {"bits": 128, "tables": 24, "width": 12, "radius": 32}
 EXACT = 4
 
 
-def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, cell: int = CELL) -> DataFrame:
-    """Columns of `docs` with `near_group`, the least doc_id of the documents linked by a similarity of at least `similarity`, and
-    `near_first`, true for the row that stands for its group (of equal rows, for each).
+def _me() -> tuple[Column, Column]:
+    """What names a row: its doc_id, or a negative number made from its text where that is NULL, and a hash of its text."""
+    rid = F.coalesce(F.col("doc_id").cast("long"), -F.pmod(F.xxhash64(text_of()), F.lit(1 << 62)) - 1)
+    return rid.alias("rid"), F.xxhash64(text_of()).alias("tid")
+
+
+def _groups(docs: DataFrame, size: int, similarity: float, cell: int) -> DataFrame:
+    """me (rid, tid) of each different row of `docs` and group, the me that stands for its group of near duplicates.
 
     128-bit fingerprints of the distinct shingles, whose similarity is what counts, meet in the cells of op10 (by pigeonhole, so that
     every link of at most EXACT bits is found) and in 24 tables of 12 drawn bits, where they link within 32 bits; links are then verified on the
     shingles themselves: first those of the cells' forests, then every candidate whose ends are still in two groups. Only texts with the same set of shingles are taken as one; different sets under one fingerprint are links like others.
-    A document without doc_id goes by a negative number made from its text. Columns named like the new ones are replaced.
     """
-    rid = F.coalesce(F.col("doc_id").cast("long"), -F.pmod(F.xxhash64(text_of()), F.lit(1 << 62)) - 1)
-    keyed = docs.select(F.struct(rid.alias("rid"), F.xxhash64(text_of()).alias("tid")).alias("me"), text_of().alias("text"))
+    keyed = docs.select(F.struct(*_me()).alias("me"), text_of().alias("text"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps = [set_print(t, size, NEAR["bits"] // 64) for t in batch.column(1).to_pylist()]
@@ -518,11 +532,12 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, cell: i
 
     prints = cut(map_batches(keyed, lambda: work, "me struct<rid: bigint, tid: bigint>, fp binary"))
     distinct = cut(prints.groupBy("fp").agg(F.min("me").alias("least")))
+    # few: at most 24 * 2 ** 12 cells, however many rows
     keys, width = drawn_keys(NEAR["tables"], NEAR["width"], NEAR["bits"]), NEAR["bits"] // 8
     # op10's own cells: whatever is within EXACT bits meets for certain; the drawn bits reach further, but by chance
     sure = exact_keys(EXACT, NEAR["bits"])
     certain = cell_links(cell_rows(distinct, sure), EXACT, cell, sure, width)
-    edges = cut(certain.union(cell_links(cell_rows(distinct, keys), NEAR["radius"], cell, width=width)).distinct())
+    edges = cut(certain.union(cell_links(cell_rows(distinct, keys), NEAR["radius"], cell, width=width, few=True)).distinct())
     ends = edges.select(F.col("a").alias("fp")).union(edges.select("b")).distinct()
     chosen = distinct.join(ends, "fp", "left_semi").select("fp", F.col("least").alias("me"))
     read = cut(chosen.join(keyed, "me").groupBy("fp").agg(F.min("text").alias("text")))
@@ -530,18 +545,33 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, cell: i
     own = cut(distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "least").alias("group")))
     named = F.concat(*[F.unhex(F.lpad(F.hex(F.col(f"group.{c}")), 16, "0")) for c in ("rid", "tid")])
     # the forests leave out links that hold where shorter ones joined their ends and then failed: those are verified here
-    more = cut(apart_links(own.join(ends, "fp", "left_semi").select("fp", named.alias("group")), read, keys, size, similarity, NEAR["radius"], width, cell).distinct())
+    more = cut(apart_links(own.join(ends, "fp", "left_semi").select("fp", named.alias("group")), read, keys, size, similarity, NEAR["radius"], width, cell, few=True).distinct())
     if more.limit(1).count():
         groups = own.select(named.alias("node"), F.col("group").alias("least")).distinct()
         joined = components(groups, more).withColumnRenamed("component", "joined")
         own = own.withColumn("node", named).join(joined, "node", "left").select("fp", F.coalesce("joined", "group").alias("group"))
-    of_doc = prints.join(own, "fp").groupBy("me").agg(F.min("group").alias("group"))
-    joined = docs.withColumn("__me", F.struct(rid.alias("rid"), F.xxhash64(text_of()).alias("tid"))).join(of_doc.withColumnRenamed("me", "__me").withColumnRenamed("group", "__group"), "__me")
+    return prints.join(own, "fp").groupBy("me").agg(F.min("group").alias("group"))
+
+
+def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, cell: int = CELL) -> DataFrame:
+    """Columns of `docs` with `near_group`, the least doc_id of the documents linked by a similarity of at least `similarity`, and
+    `near_first`, true for the row that stands for its group (of equal rows, for each). The links are those of `_groups`.
+
+    A document without doc_id goes by a negative number made from its text. Columns named like the new ones are replaced.
+    """
+    of_doc = _groups(docs, size, similarity, cell)
+    joined = docs.withColumn("__me", F.struct(*_me())).join(of_doc.withColumnRenamed("me", "__me").withColumnRenamed("group", "__group"), "__me")
     return with_new(joined, near_group=F.col("__group.rid"), near_first=F.col("__me") == F.col("__group")).select(
         *[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("near_group", "near_first")], "near_group", "near_first", "__me")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """`docs` with one document of each group of near duplicates: the one with the least doc_id. Of repeated rows one stays."""
-    kept = near_groups(docs).where("near_first").dropDuplicates(["__me"])
+def one_of_each(docs: DataFrame, size: int = 5, similarity: float = 0.8, cell: int = CELL) -> DataFrame:
+    """`docs` with one document of each group of near duplicates: the one with the least doc_id. Of repeated rows one stays.
+
+    Who stays is settled without the texts, which are then dealt once, by what names a row, for the lookup and for repeated rows alike.
+    """
+    first = _groups(docs, size, similarity, cell).where("me = group").select(F.col("me.rid").alias("__rid"), F.col("me.tid").alias("__tid"))
+    rid, tid = _me()
+    named = docs.select("*", rid.alias("__rid"), tid.alias("__tid")).repartition("__rid", "__tid")
+    kept = named.join(first, ["__rid", "__tid"], "left_semi").dropDuplicates(["__rid", "__tid"])
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("near_group", "near_first")])

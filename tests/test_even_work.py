@@ -66,3 +66,20 @@ def test_postings_are_dealt_once_and_distinct(spark, tmp_path, monkeypatch):
     assert plan_of(plans[-1]).count("Exchange ") == 1
     want = search_index.postings(texts, "id", "said", 4, 4)
     assert rows(index.read().select(want.columns)) == rows(want)
+
+
+def test_texts_are_dealt_once_to_keep_one_of_each(kept):
+    kept.conf.set(PLANNED, "10MB")  # as in a session that was not tuned
+    words = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(20)]
+    df = kept.createDataFrame([(i, words[i % 20]) for i in range(60)] + [(3, words[3]), (None, "x")], "doc_id long, text string")
+    out = simhash.one_of_each(df)
+    assert rows(out) == rows(kept.createDataFrame([(i, w) for i, w in enumerate(words)] + [(None, "x")], df.schema))
+    lines = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    leaf = max(i for i, line in enumerate(lines) if "text#" in line and "Scan" in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    above, at = 0, depth(lines[leaf])
+    for line in reversed(lines[:leaf]):
+        if depth(line) < at and ("+- " in line or ":- " in line or line is lines[0]):
+            at = depth(line)
+            above += "Exchange " in line
+    assert above == 1
