@@ -245,7 +245,9 @@ def _large(cells: DataFrame, cell: int) -> DataFrame:
 
 def _sized(cells: DataFrame, large: DataFrame, few: bool = False) -> DataFrame:
     """`cells` with their number of chunks (NULL: one). `few`: keys of so few bits made the cells that what is `large` can be broadcast,
-    which spares a shuffle of all rows."""
+    which spares a shuffle of all rows. Where nothing is `large` (written down by `cut`, so that it is counted once) nothing is joined."""
+    if not large.limit(1).count():
+        return cells.withColumn("chunks", F.lit(None).cast("int"))
     return cells.join(F.broadcast(large) if few else large, ["table", "key"], "left")
 
 
@@ -268,11 +270,12 @@ def cell_links(
     With `keys`, the `exact_keys` of the whole fingerprint that made the cells, cells of more than radius + 1 chunks are parted first.
     `few` as in `_sized`.
     """
-    large = _large(cells, cell)
+    large = cut(_large(cells, cell))
     sized = _sized(cells, large, few)
-    if keys:
-        parted = finer_rows(cells.join(large.where(F.col("chunks") > radius + 1), ["table", "key"], "left_semi"), keys, radius, 8 * (width or 8))
-        sized = sized.where(F.coalesce("chunks", F.lit(1)) <= radius + 1).unionByName(_sized(parted, _large(parted, cell)))
+    crowded = large.where(F.col("chunks") > radius + 1)
+    if keys and crowded.limit(1).count():
+        parted = finer_rows(cells.join(crowded, ["table", "key"], "left_semi"), keys, radius, 8 * (width or 8))
+        sized = sized.where(F.coalesce("chunks", F.lit(1)) <= radius + 1).unionByName(_sized(parted, cut(_large(parted, cell))))
     dealt = _grid(sized)
 
     def solve(rows: list[np.ndarray], sides: list[np.ndarray], out: list) -> None:
@@ -471,7 +474,7 @@ def apart_links(
     Fingerprints meet first; only those with such a partner get their shingles (`texts`: fp, text), and a pair counts in the first table it meets in.
     """
     cells = cell_rows(nodes.select(F.concat("fp", "group").alias("fp")), keys)
-    dealt = _grid(_sized(cells, _large(cells, cell), few))
+    dealt = _grid(_sized(cells, cut(_large(cells, cell)), few))
 
     def meet(at: tuple, rows: pa.Table) -> Iterator[pa.RecordBatch]:
         if rows.num_rows < 2:

@@ -1,5 +1,6 @@
 """What a task reads, sorts and checks at once stays bounded, and rows are dealt no more often than needed."""
 
+import numpy as np
 import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
@@ -83,3 +84,18 @@ def test_texts_are_dealt_once_to_keep_one_of_each(kept):
             at = depth(line)
             above += "Exchange " in line
     assert above == 1
+
+
+def test_no_join_where_no_cell_is_large(spark):
+    """Rows of cells pass no join, and no shuffle for one, unless a cell has more fingerprints than meet at once."""
+    rng = np.random.default_rng(12)
+    fps = np.unique(rng.integers(0, 2**63, 30, dtype=np.uint64)[rng.integers(0, 30, 200)] ^ (np.uint64(1) << rng.integers(0, 64, 200).astype(np.uint64)))
+    keys = simhash.exact_keys(4)
+    cells = simhash.cell_rows(spark.createDataFrame([(bytearray(int(f).to_bytes(8, "big")),) for f in fps.tolist()], "fp binary"), keys)
+    whole = {few: simhash.cell_links(cells, 4, keys=keys, few=few) for few in (False, True)}
+    for df in whole.values():
+        assert plan_of(df).count("Join") == 0 and plan_of(df).count("Exchange ") == 1
+    assert plan_of(simhash.cell_links(cells, 4, 8)).count("Join") == 1  # cells of more than 8: looked up, and met in chunks
+    nodes = spark.createDataFrame([(bytearray(int(f).to_bytes(8, "big")), i) for i, f in enumerate(fps.tolist())], "node binary, least long")
+    groups = [rows(simhash.components(nodes, links)) for links in (*whole.values(), simhash.cell_links(cells, 4, 8), simhash.cell_links(cells, 4, 3, keys))]
+    assert len(groups[0]) > 100 and all(g == groups[0] for g in groups)
