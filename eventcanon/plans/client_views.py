@@ -257,7 +257,7 @@ def invoice_events(canonical: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def money_events(canonical: DataFrame, strict: bool = False) -> DataFrame:
-    """Payments and refunds. A refund belongs to the customer of its payment; customers are looked up once for both."""
+    """Payments and refunds. A refund belongs to the customer of its payment, in ``__customer``; address and contact are still to be found by it."""
     payments = _deduped(
         canonical, "payment", "payment_id",
         {
@@ -277,15 +277,26 @@ def money_events(canonical: DataFrame, strict: bool = False) -> DataFrame:
     both = _money(payments, "payment", "payment_id", "customer_id", "payment_method_type").unionByName(
         _money(refunds, "refund", "refund_id", "p_customer", "reason")
     )
-    found = left_lookup(both, billing_customers(canonical), "customer", "cust_id")
-    return _by_address(
-        found, F.col("cust_email"),
-        contact_email=F.col("cust_email"), event_type=F.col("kind"), event_name=F.col("status"), event_source=F.lit("stripe"),
-        event_timestamp=text_to_timestamp("event_time", strict), source_system=F.concat(F.lit("stripe_"), "kind"),
-        source_record_id=F.col("record"), payload=F.col("details"),
+    cols = dict(
+        contact_id=F.lit(None).cast("string"), contact_email=F.lit(None).cast("string"), event_type=F.col("kind"),
+        event_name=F.col("status"), event_source=F.lit("stripe"), event_timestamp=text_to_timestamp("event_time", strict),
+        source_system=F.concat(F.lit("stripe_"), "kind"), source_record_id=F.col("record"), payload=F.col("details"),
+    )
+    return both.select(*[cols[c].alias(c) for c in TIMELINE_COLUMNS], F.col("customer").alias("__customer"))
+
+
+def _who(clients: DataFrame, customers: DataFrame) -> DataFrame:
+    """``__who`` (an address or a billing customer), contact and address: what events are looked up in. Every ``__who`` is there once."""
+    billed = left_lookup(customers, clients, "cust_email", "c_email")
+    return clients.select(_who_key("c_email", "address").alias("__who"), "c_id", F.lit(None).cast("string").alias("c_mail")).unionByName(
+        billed.select(_who_key("cust_id", "customer").alias("__who"), "c_id", F.col("cust_email").alias("c_mail"))
     )
 
 
+def _who_key(col: str, kind: str) -> Column:
+    return F.concat(F.lit(f"{kind}:"), col)
+
+
 def _money(rows: DataFrame, kind: str, record: str, customer: str, detail: str) -> DataFrame:
     return rows.select(
         F.lit(kind).alias("kind"), F.col(record).alias("record"), F.col(customer).alias("customer"), "status", "event_time",
@@ -302,9 +313,9 @@ def proj_contact_events(
 ) -> DataFrame:
     """Every touch of a contact in one ledger: forms, sessions, mail, invoices, payments, refunds.
 
-    All branches that know a contact by address are united first and share one lookup; sessions have one by id. Both
-    read the same clients, whose exchange Spark computes once. Clients are dealt again for each lookup, so that
-    AQE can split a contact with very many events.
+    All branches that know a contact by address or by billing customer are united first and share one lookup, for which customers
+    get their contacts beforehand, so that payments and refunds are dealt once for both; sessions have a lookup by id. Clients are
+    dealt again for each lookup, so that AQE can split a contact or customer with very many events.
     """
     clients = therapy_clients(canonical)
     addressed = reduce(
@@ -313,8 +324,12 @@ def proj_contact_events(
             form_events(measurement_events),
             email_events(canonical, own_addresses, strict, subject_length),
             invoice_events(canonical, strict),
-            money_events(canonical, strict),
         ],
     )
-    found = left_lookup(addressed, clients, "__address", "c_email").withColumn("contact_id", F.col("c_id"))
+    known = addressed.withColumn("__by", _who_key("__address", "address")).drop("__address").unionByName(
+        money_events(canonical, strict).withColumn("__by", _who_key("__customer", "customer")).drop("__customer")
+    )
+    found = left_lookup(known, _who(clients, billing_customers(canonical)), "__by", "__who").withColumns(
+        {"contact_id": F.col("c_id"), "contact_email": F.coalesce("contact_email", "c_mail")}
+    )
     return found.select(*TIMELINE_COLUMNS).unionByName(session_events(canonical, clients, strict))
